@@ -43,11 +43,11 @@ def value_counts(df: DataFrame, keys: Sequence[str], measures: dict[str, Column]
 
 def _bucket_totals(bucketed: DataFrame, group: list[str]) -> DataFrame:
     """Per bucket: rows in it, rows before it and rows of the whole group."""
-    totals = bucketed.groupBy(*group, "bucket").agg(F.sum("n").alias("bucket_n"))
-    along = Window.partitionBy(*group).orderBy("bucket")
+    totals = bucketed.groupBy(*group, "_bucket").agg(F.sum("n").alias("bucket_n"))
+    along = Window.partitionBy(*group).orderBy("_bucket")
     return totals.select(
         *group,
-        "bucket",
+        "_bucket",
         "bucket_n",
         (F.sum("bucket_n").over(along) - F.col("bucket_n")).alias("before"),
         F.sum("bucket_n").over(Window.partitionBy(*group)).alias("group_n"),
@@ -56,7 +56,7 @@ def _bucket_totals(bucketed: DataFrame, group: list[str]) -> DataFrame:
 
 def _rows_below(bucketed: DataFrame, totals: DataFrame, group: list[str]) -> DataFrame:
     """Per distinct value: rows of the group below it (``below``) and in the group."""
-    place = [*group, "bucket"]
+    place = [*group, "_bucket"]
     t = totals.select(*[F.col(c).alias(f"_t_{c}") for c in place], "before", "group_n")
     cond = F.lit(True)
     for c in place:
@@ -74,7 +74,7 @@ def _rows_below(bucketed: DataFrame, totals: DataFrame, group: list[str]) -> Dat
 def rows_below(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Extend :func:`value_counts` with the rows below each value and the group size."""
     group = [*keys, "measure"]
-    bucketed = counts.withColumn("bucket", value_bucket(F.col("v")))
+    bucketed = counts.withColumn("_bucket", value_bucket(F.col("v")))
     return _rows_below(bucketed, _bucket_totals(bucketed, group), group)
 
 
@@ -89,7 +89,7 @@ def exact_quantiles(
     """
     group = [*keys, "measure"]
     counts = value_counts(df, keys, measures)
-    bucketed = counts.withColumn("bucket", value_bucket(F.col("v")))
+    bucketed = counts.withColumn("_bucket", value_bucket(F.col("v")))
     totals = _bucket_totals(bucketed, group)
 
     def position(q: float) -> Column:

@@ -17,10 +17,15 @@ def scratch_dir(spark: SparkSession) -> str:
     return named
 
 
+def scratch_path(spark: SparkSession, label: str) -> str:
+    """A fresh folder name in the shared scratch folder."""
+    return f"{scratch_dir(spark).rstrip('/')}/logsight/{label}-{uuid.uuid4().hex}"
+
+
 def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
     """Write a result once and read it back: later uses scan it with known size and statistics."""
     spark = df.sparkSession
-    path = f"{scratch_dir(spark).rstrip('/')}/logsight/{label}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, label)
     writer = df.write.option("compression", "lz4")
     if partition_by:
         writer = writer.partitionBy(*partition_by)

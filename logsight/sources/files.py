@@ -98,8 +98,8 @@ def training_windows(days: DataFrame, window_days: int) -> DataFrame:
     The day list has one row per calendar day, so ordering it in one place is cheap.
     """
     ordered = days.select("day", F.row_number().over(Window.orderBy("day")).alias("i"))
-    offsets = F.explode(F.sequence(F.lit(1), F.lit(window_days)))
-    wanted = ordered.select(F.col("day").alias("eval_day"), (F.col("i") - offsets).alias("i"))
+    before = F.sequence(F.col("i") - window_days, F.col("i") - 1)
+    wanted = ordered.select(F.col("day").alias("eval_day"), F.explode(before).alias("i"))
     return wanted.join(ordered.withColumnRenamed("day", "train_day"), "i").select("eval_day", "train_day")
 
 

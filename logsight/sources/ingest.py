@@ -22,7 +22,10 @@ def decode_json(messages: DataFrame, value: str = "value") -> DataFrame:
         fields,
         {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt},
     )
-    parsed = messages.select(F.col(value).cast("string").alias("raw"), event.alias("event"))
+    # a generator keeps later filters from parsing every message a second time
+    parsed = messages.select(
+        F.col(value).cast("string").alias("raw"), F.explode(F.array(event)).alias("event")
+    )
     bad_json = F.col("event").isNull() | F.col(f"event.{corrupt}").isNotNull()
     bad_time = F.try_to_timestamp(F.col(f"event.{S.TIME}")).isNull()
     return parsed.select(
@@ -45,7 +48,7 @@ def accepted(decoded: DataFrame) -> DataFrame:
 def _id_text(col: Column, dtype: T.DataType) -> Column:
     """Ids as comma-joined text; a JSON list kept as text is unpacked first."""
     if isinstance(dtype, T.ArrayType):
-        return V.ids_to_csv(col, dtype)
+        return F.when(col.isNotNull(), V.ids_to_csv(col, dtype))
     as_list = F.from_json(col.cast("string"), "array<string>")
     return F.when(col.cast("string").startswith("["), F.array_join(as_list, ",")).otherwise(
         col.cast("string")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import asdict
 from datetime import date
 
@@ -38,7 +39,7 @@ def versions(lake: Lakehouse) -> DataFrame:
 
 def latest(lake: Lakehouse, stage: str) -> DataFrame:
     """The newest version of a stage (no row when there is none)."""
-    best = F.max_by(F.struct("tag", "path", "trained_on"), F.struct("created_at", "trained_on", "tag")).alias("m")
+    best = F.max_by(F.struct("tag", "path", "trained_on", "created_at"), F.struct("created_at", "trained_on", "tag")).alias("m")
     return versions(lake).where(F.col("stage") == stage).agg(best).where(F.col("m").isNotNull()).select("m.*")
 
 
@@ -51,7 +52,7 @@ def register(lake: Lakehouse, models: StageModels, trained_on: date, keep: int =
     """Save a version, make it the latest and retire all but the newest few; returns its tag."""
     stage = models.config.stage
     tag = f"model_{stage}_{trained_on.isoformat()}"
-    path = f"{lake.path('model_files')}/{tag}"
+    path = f"{lake.path('model_files')}/{tag}-{uuid.uuid4().hex[:8]}"
     save_models(models, path)
     entry = lake.spark.range(1).select(
         F.lit(tag).alias("tag"),

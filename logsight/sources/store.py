@@ -44,6 +44,8 @@ class Lakehouse:
         self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{self.name}` LOCATION '{self.root}/{self.name}'")
         self.spark.sql(f"DROP TABLE IF EXISTS {full}")
         self.spark.catalog.createTable(f"{self.name}.{table}", path=self.path(table), source="parquet")
+        if any(c.isPartition for c in self.spark.catalog.listColumns(f"{self.name}.{table}")):
+            self.spark.catalog.recoverPartitions(f"{self.name}.{table}")
         return full
 
     def resolve(self, table: str, fallback: "Lakehouse | None" = None) -> DataFrame:

@@ -45,10 +45,10 @@ def start_scoring(
         row = registry.latest(lake, stage).first()
         if row is None:
             return None
-        if row["tag"] not in loaded:
+        if row["path"] not in loaded:
             loaded.clear()
-            loaded[row["tag"]] = registry.load_models(lake.spark, row["path"])
-        return loaded[row["tag"]]
+            loaded[row["path"]] = registry.load_models(lake.spark, row["path"])
+        return loaded[row["path"]]
 
     def run(batch: DataFrame, batch_id: int) -> None:
         models = current()

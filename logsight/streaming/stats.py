@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logsight import schema as S
@@ -63,6 +63,14 @@ def remember_cluster_size(windows: DataFrame) -> DataFrame:
     )
 
 
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Remembered values need several state columns, which the RocksDB store offers."""
+    spark.conf.set(
+        "spark.sql.streaming.stateStore.providerClass",
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    )
+
+
 def start_stats(
     events: DataFrame,
     lake: Lakehouse,
@@ -72,6 +80,7 @@ def start_stats(
     delay: str = "0 seconds",
 ):
     """Write closed windows to the statistics table; a replayed batch replaces itself."""
+    keep_state_on_disk(lake.spark)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         lake.replace_batch(MINUTE_STATS_TABLE, batch.select(*S.MINUTE_STATS.names), batch_id, "window_start")
