@@ -73,8 +73,11 @@ def flag_rows(
 
 
 def is_long(true_col: str, t: AnomalyThresholds) -> Column:
-    """Only a long query can be flagged, whatever was predicted."""
-    return _ms(true_col) >= t.min_long_ms
+    """Only a long query can be flagged, whatever was predicted.
+
+    A plain comparison (NaN sorts above every number) that the Parquet scan can filter by.
+    """
+    return (F.col(true_col) >= t.min_long_ms) & ~F.isnan(F.col(true_col).cast("double"))
 
 
 def flag(

@@ -35,17 +35,17 @@ def lookup(
 
     cold_keys = [F.col(k).alias(f"_ck_{k}") for k in keys]
     cold_values = [F.col(v).alias(f"_cv_{v}") for v in values]
-    cold = table.where(~is_hot).select(*cold_keys, *cold_values, F.lit(0).alias("_csalt"))
+    # always 0, but not a constant: the optimizer would drop a constant from the shuffle keys
+    zero = F.pmod(F.col(weight).cast("long"), F.lit(1)).cast("long")
+    cold = table.where(~is_hot).select(*cold_keys, *cold_values, zero.alias("_csalt"))
 
     served = F.coalesce(F.col("_hot"), F.lit(False))
     no_key = F.lit(False)
     for k in keys:
         no_key = no_key | F.col(k).isNull()
+    # a NULL key matches nothing, so those rows are spread as well
     salt = F.when(served | no_key, F.pmod(F.xxhash64(*spread_by), F.lit(1 << 20)) + 1).otherwise(0)
-    # a NULL key matches nothing; a stand-in keeps such rows from meeting in one partition
-    on_cold = [F.col("_salt") == F.col("_csalt").cast("long")] + [
-        F.col(k) == F.col(f"_ck_{k}") for k in keys
-    ]
+    on_cold = [F.col("_salt") == F.col("_csalt")] + [F.col(k) == F.col(f"_ck_{k}") for k in keys]
     spread = rows.join(F.broadcast(hot), on_hot, "left").withColumn("_salt", salt)
     joined = spread.join(cold, on_cold, "left")
     found = [F.coalesce(F.col(f"_hv_{v}"), F.col(f"_cv_{v}")).alias(v) for v in values]

@@ -22,7 +22,9 @@ SHIFT = 1100 * STEPS
 def value_bucket(v: Column) -> Column:
     """Bucket number that never decreases as the value grows."""
     size = F.floor(F.log2(F.abs(v)) * STEPS) + SHIFT
-    return F.when(v > 0, size).when(v < 0, -size).otherwise(F.lit(0).cast("long"))
+    zero = F.lit(0).cast("long")
+    # known not to be NULL, so that a join on it needs no filter and the shuffle below is reused
+    return F.coalesce(F.when(v > 0, size).when(v < 0, -size), zero)
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], measures: dict[str, Column]) -> DataFrame:
@@ -41,29 +43,39 @@ def value_counts(df: DataFrame, keys: Sequence[str], measures: dict[str, Column]
     return usable.groupBy(*keys, "measure", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _bucket_totals(bucketed: DataFrame, group: list[str]) -> DataFrame:
+#: Keys wrapped in a struct: never NULL itself, so that one shuffle serves join and window alike.
+GROUP = ["_k", "measure"]
+PLACE = [*GROUP, "_bucket"]
+
+
+def _bucketed(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
+    wrapped = F.struct(*keys) if keys else F.lit(0)
+    return counts.select(
+        wrapped.alias("_k"), "measure", "v", "n", value_bucket(F.col("v")).alias("_bucket")
+    )
+
+
+def _unwrapped(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    return df.select(*[F.col(f"_k.{k}").alias(k) for k in keys], *[c for c in df.columns if c != "_k"])
+
+
+def _bucket_totals(bucketed: DataFrame) -> DataFrame:
     """Per bucket: rows in it, rows before it and rows of the whole group."""
-    totals = bucketed.groupBy(*group, "_bucket").agg(F.sum("n").alias("bucket_n"))
-    along = Window.partitionBy(*group).orderBy("_bucket")
+    totals = bucketed.groupBy(*PLACE).agg(F.sum("n").alias("bucket_n"))
+    along = Window.partitionBy(*GROUP).orderBy("_bucket")
     return totals.select(
-        *group,
-        "_bucket",
+        *PLACE,
         "bucket_n",
         (F.sum("bucket_n").over(along) - F.col("bucket_n")).alias("before"),
-        F.sum("bucket_n").over(Window.partitionBy(*group)).alias("group_n"),
+        F.sum("bucket_n").over(Window.partitionBy(*GROUP)).alias("group_n"),
     )
 
 
-def _rows_below(bucketed: DataFrame, totals: DataFrame, group: list[str]) -> DataFrame:
+def _rows_below(bucketed: DataFrame, totals: DataFrame) -> DataFrame:
     """Per distinct value: rows of the group below it (``below``) and in the group."""
-    place = [*group, "_bucket"]
-    t = totals.select(*[F.col(c).alias(f"_t_{c}") for c in place], "before", "group_n")
-    cond = F.lit(True)
-    for c in place:
-        cond = cond & F.col(c).eqNullSafe(F.col(f"_t_{c}"))
-    inside = Window.partitionBy(*place).orderBy("v")
-    return bucketed.join(t, cond).select(
-        *group,
+    inside = Window.partitionBy(*PLACE).orderBy("v")
+    return bucketed.join(totals.select(*PLACE, "before", "group_n"), PLACE).select(
+        *GROUP,
         "v",
         "n",
         (F.col("before") + F.sum("n").over(inside) - F.col("n")).alias("below"),
@@ -73,9 +85,8 @@ def _rows_below(bucketed: DataFrame, totals: DataFrame, group: list[str]) -> Dat
 
 def rows_below(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Extend :func:`value_counts` with the rows below each value and the group size."""
-    group = [*keys, "measure"]
-    bucketed = counts.withColumn("_bucket", value_bucket(F.col("v")))
-    return _rows_below(bucketed, _bucket_totals(bucketed, group), group)
+    bucketed = _bucketed(counts, keys)
+    return _unwrapped(_rows_below(bucketed, _bucket_totals(bucketed)), keys)
 
 
 def exact_quantiles(
@@ -87,23 +98,21 @@ def exact_quantiles(
     Groups with no usable value of any measure are absent (without keys: one row of NULLs).
     Only buckets that hold a wanted position are sorted.
     """
-    group = [*keys, "measure"]
-    counts = value_counts(df, keys, measures)
-    bucketed = counts.withColumn("_bucket", value_bucket(F.col("v")))
-    totals = _bucket_totals(bucketed, group)
+    bucketed = _bucketed(value_counts(df, keys, measures), keys)
+    totals = _bucket_totals(bucketed)
 
     def position(q: float) -> Column:
         return F.lit(float(q)) * (F.col("group_n") - 1)
 
-    def holds(q: float, start: str, size: str) -> Column:
+    def holds(q: float) -> Column:
+        start, end = F.col("before"), F.col("before") + F.col("bucket_n")
         lo, hi = F.floor(position(q)), F.ceil(position(q))
-        end = F.col(start) + F.col(size)
-        return ((lo >= F.col(start)) & (lo < end)) | ((hi >= F.col(start)) & (hi < end))
+        return ((lo >= start) & (lo < end)) | ((hi >= start) & (hi < end))
 
     wanted = F.lit(False)
     for q in qs:
-        wanted = wanted | holds(q, "before", "bucket_n")
-    ranked = _rows_below(bucketed, totals.where(wanted), group)
+        wanted = wanted | holds(q)
+    ranked = _rows_below(bucketed, totals.where(wanted))
 
     def element(measure: str, index: Column) -> Column:
         here = (F.col("measure") == measure) & (F.col("below") <= index) & (index < F.col("below") + F.col("n"))
@@ -120,7 +129,9 @@ def exact_quantiles(
                 F.max(F.when(F.col("measure") == name, pos - F.floor(pos))).alias(at),
             ]
             results.append((F.col(lo) + (F.col(hi) - F.col(lo)) * F.col(at)).alias(f"{name}_q{i}"))
-    return ranked.groupBy(*keys).agg(*parts).select(*keys, *results)
+    grouped = ranked.groupBy("_k") if keys else ranked.groupBy()
+    picked = grouped.agg(*parts)
+    return picked.select(*[F.col(f"_k.{k}").alias(k) for k in keys], *results)
 
 
 def with_quantiles(

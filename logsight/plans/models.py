@@ -59,7 +59,7 @@ class ModelConfig:
     step_size: float = 0.05
     min_leaf_rows: int = 50
     validation_fraction: float = 0.1
-    validation_tol: float = 1e-4
+    validation_tol: float = 1e-5
     seed: int = 0
 
 
@@ -196,16 +196,16 @@ def _fit_classifiers(frame: DataFrame, models: StageModels) -> None:
     ).fit(frame.withColumn("quartile", quartile_label(y, q25, q50, q75)))
     labelled = frame.withColumn("explodes", explode_label(y, c.explode_threshold_ms))
     if labelled.agg(F.count_distinct("explodes")).first()[0] == 2:
-        models.explode = GBTClassifier(
+        boosted = GBTClassifier(
             labelCol="explodes",
             maxDepth=c.max_depth,
             maxIter=min(c.max_iter, 250),
             minInstancesPerNode=c.min_leaf_rows,
             seed=c.seed,
             predictionCol="_explodes",
-            rawPredictionCol="_explodes_raw",
-            probabilityCol="_explodes_p",
-        ).fit(labelled)
+        )
+        boosted = boosted.setRawPredictionCol("_explodes_raw").setProbabilityCol("_explodes_p")
+        models.explode = boosted.fit(labelled)
 
 
 def predict(models: StageModels, prepared: DataFrame) -> DataFrame:

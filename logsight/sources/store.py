@@ -78,21 +78,13 @@ class Lakehouse:
         """Write one micro-batch under its own partitions; a replay replaces itself."""
         keyed = df.withColumns({"day": F.to_date(day_of), "batch_id": F.lit(int(batch_id)).cast("long")})
         (
-            keyed.write.mode("overwrite")
+            keyed.hint("rebalance", "day")  # few files per day, and a busy day is split
+            .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("day", "batch_id")
             .parquet(self.path(table))
         )
 
-    def replace_days(self, table: str, df: DataFrame, day_col: str = "day") -> None:
-        """Write whole days; a rerun of a day replaces it."""
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(day_col)
-            .parquet(self.path(table))
-        )
-
     def drop_day_partitions(self, table: str, days: list[date]) -> None:
         hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
         conf = self.spark._jsc.hadoopConfiguration()
