@@ -19,7 +19,8 @@ from logsight.scratch import materialise, scratch_path
 from logsight.session import use_utc
 from logsight.sources import files, ingest, kafka, registry, store
 from logsight.sources.query_log import fixture_predictions, query_log, query_log_from_events
-from logsight.streaming import landing, scoring, stats as stream_stats
+from logsight.streaming import landing, scoring
+from logsight.streaming import stats as stream_stats
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -478,6 +479,30 @@ def control_sample(spark, sf):
     return sampling.sample_rows(rest, 200, seed=1).select("query_id", "true_ms", "under_ratio")
 
 
+@query
+def daily_control_sample(spark, sf):
+    """G-06, K-12: exact-size sample of the unflagged rows of every day."""
+    rest = materialise(_flagged(spark, sf), "flagged").where(~F.col("is_anomaly"))
+    daily = rest.select("query_id", F.to_date(S.TIME).alias("day"), "true_ms")
+    return sampling.sample_per_group(daily, 15, ["day"], seed=2)
+
+
+@query
+def daily_instance_ranks(spark, sf):
+    """F-01 to F-04 within each day and instance, as a backtest takes them."""
+    log = fixture_predictions(query_log(spark, sf)).withColumn("day", F.to_date(S.TIME))
+    return ranks.with_instance_ranks(log, S.TARGET, "pred_execution_ms", backtest.RANKED_BY).select(
+        "query_id", *ranks.RANK_COLUMNS
+    )
+
+
+@query
+def daily_user_summary(spark, sf):
+    """E-05 per day, as a backtest writes it."""
+    hits = materialise(_hits(spark, sf).withColumn("day", F.to_date(S.TIME)), "hits")
+    return anomaly.anomaly_summary(hits, "user_id", ["day"])
+
+
 # --- reports -----------------------------------------------------------------------------------
 
 
@@ -610,10 +635,9 @@ def anomaly_table(spark, sf):
 
 @query
 def ledger(spark, sf):
-    """E-15: rows scored and flagged."""
-    flagged = materialise(_flagged(spark, sf), "flagged")
-    row = store.ledger_row(flagged, flagged.where("is_anomaly"), CHECK_DAY, S.STAGE)
-    return row.drop("inserted_at")
+    """E-15: rows scored and flagged per day."""
+    flagged = materialise(_flagged(spark, sf).withColumn("day", F.to_date(S.TIME)), "flagged")
+    return store.ledger_rows(flagged, flagged.where("is_anomaly"), S.STAGE).drop("inserted_at")
 
 
 @query
@@ -755,15 +779,15 @@ def model_hits(spark, sf):
 
 @query
 def backtest_ledger(spark, sf):
-    """K-12, K-13, K-15: the days of the last week scored one after another."""
+    """K-12, K-13, K-15: every day scored by a model of the week before, retrained every fortnight."""
     lake = _new_lake(spark, "backtest")
     log = materialise(query_log(spark, sf), "log")
     config = backtest.BacktestConfig(
         model=models.ModelConfig(max_iter=3, drop_cached_train=True, train_window_days=7),
-        retrain_every_days=3,
+        retrain_every_days=14,
         control_sample=10,
     )
-    backtest.run_backtest(spark, log, lake, config, start=date(2024, 1, 25))
+    backtest.run_backtest(spark, log, lake, config)
     return lake.read(backtest.LEDGER, S.PROCESSED_DAYS).select("day", "stage", "rows_scored", "rows_anoms")
 
 

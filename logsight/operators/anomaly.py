@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -66,9 +67,10 @@ def flag_rows(
     true_col: str = S.TARGET,
     pred_col: str = "pred_execution_ms",
     t: AnomalyThresholds = AnomalyThresholds(),
+    by: Sequence[str] = (S.INSTANCE,),
 ) -> DataFrame:
     """Ranks, errors and flags for some rows, given the rank table of all."""
-    ranked = look_up_ranks(rows, ranks, true_col, pred_col)
+    ranked = look_up_ranks(rows, ranks, true_col, pred_col, by)
     return with_flags(with_errors(ranked, true_col, pred_col), t)
 
 
@@ -120,14 +122,18 @@ def hits(flagged: DataFrame) -> DataFrame:
     return flagged.select(*[field(f.name, f.dataType).alias(f.name) for f in S.ANOMALY_HIT])
 
 
-def anomaly_summary(flagged: DataFrame, key: str) -> DataFrame:
-    """Count, sums and exact medians of the anomalies per key, worst first; a NULL key is a group."""
-    totals = flagged.groupBy(key).agg(
+def anomaly_summary(flagged: DataFrame, key: str, per: Sequence[str] = ()) -> DataFrame:
+    """Count, sums and exact medians of the anomalies per key, worst first; a NULL key is a group.
+
+    With ``per`` every combination of those columns has its own summary.
+    """
+    keys = [*per, key]
+    totals = flagged.groupBy(*keys).agg(
         F.count_if("is_anomaly").alias("anoms"),
         F.sum("true_ms").alias("true_sum_ms"),
         F.sum("abs_err_ms").alias("abs_err_sum_ms"),
     )
     medians = {"median_true_ms": F.col("true_ms"), "median_under_ratio": F.col("under_ratio")}
-    return with_quantiles(totals, flagged, [key], medians).orderBy(
-        F.col("anoms").desc(), F.col("true_sum_ms").desc(), F.col(key)
+    return with_quantiles(totals, flagged, keys, medians).orderBy(
+        *per, F.col("anoms").desc(), F.col("true_sum_ms").desc(), F.col(key)
     )

@@ -20,28 +20,51 @@ def draw(id_cols: Sequence[str], seed: int) -> Column:
 def sample_rows(df: DataFrame, n: int, id_cols: Sequence[str] = ("query_id",), seed: int = 0) -> DataFrame:
     """The ``n`` rows with the smallest draws; all rows when there are no more than ``n``.
 
-    ``id_cols`` identify a row. The cut-off draw comes from counts per draw prefix (at most 65,536
-    rows), then from the few rows sharing the cut-off prefix, so the rows themselves are only
-    filtered and never sorted or gathered.
+    ``id_cols`` identify a row (copies of one row share its draw and stay together). The cut-off
+    draw comes from counts per draw prefix (at most 65,536 rows), then from counts per draw of the
+    cut-off prefix, so the rows themselves are only filtered and never sorted or gathered.
     """
     if n <= 0:
         return df
     drawn = df.withColumn("_draw", draw(id_cols, seed))
     prefix = F.substring("_draw", 1, PREFIX)
-    counts = drawn.groupBy(prefix.alias("p")).agg(F.count(F.lit(1)).alias("c"))
+    size = F.count(F.lit(1)).alias("c")
+    per_prefix = drawn.groupBy(prefix.alias("p")).agg(size)
     running = F.sum("c").over(Window.orderBy("p"))
-    crossing = (
-        counts.select("p", running.alias("upto"), "c")
-        .where((F.col("upto") >= n) & (F.col("upto") - F.col("c") < n))
-        .select("p", (F.lit(n) - (F.col("upto") - F.col("c"))).alias("take"))
+    crossing = per_prefix.select("p", running.alias("upto"), "c").where(
+        (F.col("upto") >= n) & (F.col("upto") - F.col("c") < n)
     )
     cut_prefix = crossing.select("p").scalar()
-    take = crossing.select("take").scalar()
-    near = drawn.where(prefix == cut_prefix).select("_draw")
-    cut = (
-        near.withColumn("i", F.row_number().over(Window.orderBy("_draw")))
-        .where(F.col("i") == take)
-        .select("_draw")
-        .scalar()
-    )
+    before = crossing.select(F.col("upto") - F.col("c")).scalar()
+    per_draw = drawn.where(prefix == cut_prefix).groupBy("_draw").agg(size)
+    upto = before + F.sum("c").over(Window.orderBy("_draw"))
+    cut = per_draw.select("_draw", upto.alias("upto")).where(F.col("upto") >= n).agg(F.min("_draw")).scalar()
     return drawn.where(cut.isNull() | (F.col("_draw") <= cut)).drop("_draw")
+
+
+def sample_per_group(
+    df: DataFrame, n: int, by: Sequence[str], id_cols: Sequence[str] = ("query_id",), seed: int = 0
+) -> DataFrame:
+    """:func:`sample_rows` within each group of a few, such as the days of a run."""
+    drawn = df.withColumns({"_draw": draw(id_cols, seed), "_p": F.substring(draw(id_cols, seed), 1, PREFIX)})
+    size = F.count(F.lit(1)).alias("c")
+    upto = F.sum("c").over(Window.partitionBy(*by).orderBy("_p"))
+    crossing = (
+        drawn.groupBy(*by, "_p")
+        .agg(size)
+        .select(*by, "_p", upto.alias("_upto"), (upto - F.col("c")).alias("_before"))
+        .where((F.col("_upto") >= n) & (F.col("_before") < n))
+        .drop("_upto")
+    )
+    inside = F.col("_before") + F.sum("c").over(Window.partitionBy(*by).orderBy("_draw"))
+    cuts = (
+        drawn.join(crossing, [*by, "_p"])
+        .groupBy(*by, "_before", "_draw")
+        .agg(size)
+        .select(*by, "_draw", inside.alias("_upto"))
+        .where(F.col("_upto") >= n)
+        .groupBy(*by)
+        .agg(F.min("_draw").alias("_cut"))
+    )
+    kept = drawn.join(cuts, list(by), "left").where(F.col("_cut").isNull() | (F.col("_draw") <= F.col("_cut")))
+    return kept.select(*df.columns)

@@ -131,6 +131,8 @@ errors AS (
 )"""
 )
 
+PREDICTED_DAILY = PREDICTED.replace("PARTITION BY instance_id", "PARTITION BY CAST(arrival_timestamp AS DATE), instance_id")
+
 
 def _flagged(ratio: float = 10.0, delta: float = 120_000.0) -> str:
     by_ratio, by_delta = f"under_ratio >= {ratio}", f"true_ms - pred_ms_used >= {delta}"
@@ -235,10 +237,12 @@ TOTALS = (
 )
 
 
-def _summary(key: str) -> str:
-    return f"""WITH {FLAGGED} SELECT {key}, count(*) AS anoms, sum(true_ms) AS true_sum_ms, sum(abs_err_ms) AS abs_err_sum_ms,
+def _summary(key: str, *per: str) -> str:
+    keys = ", ".join([key, *per])
+    groups = ", ".join(str(i + 1) for i in range(1 + len(per)))
+    return f"""WITH {FLAGGED} SELECT {keys}, count(*) AS anoms, sum(true_ms) AS true_sum_ms, sum(abs_err_ms) AS abs_err_sum_ms,
   {_q("true_ms", 0.5)} AS median_true_ms, {_q("under_ratio", 0.5)} AS median_under_ratio
-  FROM flagged WHERE is_anomaly GROUP BY {key}"""
+  FROM flagged WHERE is_anomaly GROUP BY {groups}"""
 
 
 def _bucket(col: str, edges: tuple) -> str:
@@ -479,8 +483,12 @@ SQL: dict[str, str] = {
       CASE WHEN query_id % 2 = 1 THEN num_scans END AS num_scans FROM query_log""",
     "stats_table": f"WITH {_stats('1 hour')} SELECT * FROM stats",
     "anomaly_table": f"WITH {HITS} SELECT window_start, query_id, anomaly_reason, true_ms, pred_ms FROM hits",
-    "ledger": f"""WITH {FLAGGED} SELECT DATE '2024-01-10' AS day, 'postcompile' AS stage, count(*) AS rows_scored,
-      count(*) FILTER (WHERE is_anomaly) AS rows_anoms FROM flagged""",
+    "ledger": f"""WITH {FLAGGED} SELECT CAST(arrival_timestamp AS DATE) AS day, 'postcompile' AS stage, count(*) AS rows_scored,
+      count(*) FILTER (WHERE is_anomaly) AS rows_anoms FROM flagged GROUP BY 1""",
+    "daily_control_sample": f"""WITH {FLAGGED}, d AS (SELECT query_id, CAST(arrival_timestamp AS DATE) AS day, true_ms FROM flagged WHERE NOT is_anomaly)
+      SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY day ORDER BY {_draw(2)}) <= 15""",
+    "daily_instance_ranks": f"""WITH {PREDICTED_DAILY} SELECT query_id, true_quantile, pred_quantile, true_rank_desc, pred_rank_desc, rank_gap_desc FROM errors""",
+    "daily_user_summary": _summary("user_id", "CAST(arrival_timestamp AS DATE) AS day"),
     "pending_days": f"WITH {DAYS} SELECT day FROM days WHERE day(day) % 2 = 1",
     "waiting_writers": f"""WITH {LOG}, p AS (SELECT DISTINCT CAST(arrival_timestamp AS DATE) AS day, 'w' || CAST(user_id % 4 AS VARCHAR) AS writer FROM query_log)
       SELECT p.day, p.writer FROM p WHERE day = (SELECT max(q.day) FROM p q WHERE q.writer = p.writer)""",

@@ -16,11 +16,11 @@ from logsight.operators.anomaly import (
     is_long,
 )
 from logsight.operators.ranks import instance_ranks
-from logsight.operators.sampling import sample_rows
+from logsight.operators.sampling import sample_per_group
 from logsight.plans.models import ModelConfig, StageModels, score, train_on
 from logsight.scratch import materialise
 from logsight.sources import files, registry
-from logsight.sources.store import Lakehouse, ledger_row, metadata_rows, pending_days
+from logsight.sources.store import Lakehouse, ledger_rows, metadata_rows, pending_days
 
 
 @dataclass(frozen=True)
@@ -40,36 +40,41 @@ class BacktestConfig:
 LEDGER = "processed_days"
 
 
-def process_day(lake: Lakehouse, day: date, events: DataFrame, models: StageModels, config: BacktestConfig) -> None:
-    """Score one day and write its anomalies, controls, summaries and ledger row.
+#: Ranks are taken within a day and instance.
+RANKED_BY = ("day", S.INSTANCE)
 
-    All rows count in the ranks, but only long ones can be flagged and need theirs looked up. All
-    tables are written per (day, stage), so running a day again replaces it.
+
+def process_days(lake: Lakehouse, events: DataFrame, models: StageModels, config: BacktestConfig) -> None:
+    """Score the days of a frame with one model; write anomalies, controls, summaries and ledger.
+
+    All days of a model go through the same few jobs. All rows count in the ranks of their day, but
+    only long ones can be flagged and need theirs looked up. All tables are written per (day,
+    stage), so running a day again replaces it.
     """
     c, stage, target, pred = config, models.config.stage, models.config.target, "pred_execution_ms"
-    scored = materialise(score(models, events), "scored")
-    ranks = instance_ranks(scored, target, pred)
+    scored = materialise(score(models, events).withColumn("stage", F.lit(stage)), "scored")
+    ranks = instance_ranks(scored, target, pred, RANKED_BY)
     long = is_long(target, c.thresholds)
-    checked = materialise(flag_rows(scored.where(long), ranks, target, pred, c.thresholds), "checked")
 
-    def stamped(rows: DataFrame) -> DataFrame:
-        return rows.withColumns({"stage": F.lit(stage), "day": F.lit(day)})
+    def flagged(rows: DataFrame) -> DataFrame:
+        return flag_rows(rows, ranks, target, pred, c.thresholds, RANKED_BY)
 
+    checked = materialise(flagged(scored.where(long)), "checked")
     hits = checked.where("is_anomaly")
-    _write_day(lake, "anomalies", stamped(hits))
+    _write_days(lake, "anomalies", hits)
     for key, table in (("instance_id", "daily_instance_anomaly_summary"), ("user_id", "daily_user_anomaly_summary")):
-        _write_day(lake, table, stamped(anomaly_summary(hits, key)))
+        _write_days(lake, table, anomaly_summary(hits, key, ["day", "stage"]))
     if c.control_sample > 0:
         cleared = checked.where(~F.col("is_anomaly")).select(*scored.columns)
         pool = scored.where(~long).unionByName(cleared)
-        controls = sample_rows(pool, c.control_sample, seed=c.seed)
-        _write_day(lake, "controls", stamped(flag_rows(controls, ranks, target, pred, c.thresholds)))
-    lake.append(LEDGER, ledger_row(scored, hits, day, stage))
+        _write_days(lake, "controls", flagged(sample_per_group(pool, c.control_sample, ["day"], seed=c.seed)))
+    lake.append(LEDGER, ledger_rows(scored, hits, stage))
 
 
-def _write_day(lake: Lakehouse, table: str, rows: DataFrame) -> None:
+def _write_days(lake: Lakehouse, table: str, rows: DataFrame) -> None:
     (
-        rows.write.mode("overwrite")
+        rows.hint("rebalance", "day")
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("day", "stage")
         .parquet(lake.path(table))
@@ -78,28 +83,25 @@ def _write_day(lake: Lakehouse, table: str, rows: DataFrame) -> None:
 
 def _run(lake: Lakehouse, days: list[date], read_days, config: BacktestConfig, first: int, meta: dict) -> list[date]:
     """Walk the days in order. Each step is a Spark job; only the day list is on the driver."""
-    stage = config.model.stage
+    stage, every = config.model.stage, config.retrain_every_days
     lake.append("run_metadata", metadata_rows(lake.spark, meta))
     day_frame = lake.spark.createDataFrame([(d,) for d in days], "day date")
     todo = {r["day"] for r in pending_days(day_frame, lake.read(LEDGER, S.PROCESSED_DAYS), stage).collect()}
     processed: list[date] = []
-    models, trained_at = None, None
-    for i in range(first, len(days)):
-        if days[i] not in todo:
+    i = first
+    while i < len(days):
+        window = days[max(0, i - config.model.train_window_days): i]
+        models = None
+        if days[i] in todo and len(window) >= config.min_train_days:
+            models = train_on(read_days(window), config.model)
+        if models is None:
+            i += 1
             continue
-        stale = trained_at is None or i - trained_at >= config.retrain_every_days
-        if stale:
-            window = days[max(0, i - config.model.train_window_days): i]
-            if len(window) < config.min_train_days:
-                continue
-            fresh = train_on(read_days(window), config.model)
-            if fresh is None:
-                continue
-            models, trained_at = fresh, i
-            registry.register(lake, fresh, days[i])
-        events = read_days([days[i]])
-        process_day(lake, days[i], events, models, config)
-        processed.append(days[i])
+        registry.register(lake, models, days[i])
+        block = [d for d in days[i: i + every] if d in todo]
+        process_days(lake, read_days(block), models, config)
+        processed += block
+        i += every
     return processed
 
 
@@ -119,8 +121,10 @@ def run_backtest(
     columns = [c for c in files_columns(config) if c in log.columns]
 
     def read_days(window: list[date]) -> DataFrame:
-        # days without rows are not listed, so the window is one contiguous time range
-        return files.between_times(log, window[0], window[-1]).select(*columns)
+        # one time range reaches the scan; days in between that are not wanted are few
+        ranged = files.between_times(log, window[0], window[-1]).select(*columns)
+        dated = ranged.withColumn("day", F.to_date(S.TIME))
+        return dated.where(F.col("day").isin(window))
 
     return _run(lake, days, read_days, config, 1, _meta("simulate", config, start=start, end=end))
 
@@ -143,7 +147,9 @@ def run_follow(
 
     def read_days(window: list[date]) -> DataFrame:
         paths = [p for d in window for p in by_day[d]]
-        return files.keep_present(spark.read.option("mergeSchema", "true").parquet(*paths), columns)
+        rows = spark.read.option("mergeSchema", "true").parquet(*paths)
+        dated = rows.withColumn("day", files.day_of_path(F.col("_metadata.file_path")))
+        return files.keep_present(dated, [*columns, "day"])
 
     meta = _meta("follow", config, folder=folder, pattern=pattern)
     return _run(lake, sorted(by_day), read_days, config, 0, meta)

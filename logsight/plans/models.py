@@ -233,7 +233,8 @@ def predict(models: StageModels, prepared: DataFrame) -> DataFrame:
 
 def train_on(raw: DataFrame, config: ModelConfig) -> StageModels | None:
     """Cap, count fingerprints, prepare and fit; None when too few usable rows remain."""
-    capped = sample_rows(raw, config.max_train_rows, seed=config.seed)
+    needed = [c for c in S.scoring_columns(config.target) if c in raw.columns]
+    capped = sample_rows(raw.select(*needed), config.max_train_rows, seed=config.seed)
     fingerprints = materialise(fingerprint_counts(capped), "fingerprints")
     prepared = prepare(
         capped,

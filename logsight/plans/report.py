@@ -65,6 +65,16 @@ def time_window(stats: DataFrame, period: str) -> TimeWindow:
     return TimeWindow(end - length, end - 2 * length)
 
 
+def recent(df: DataFrame, since: datetime) -> DataFrame:
+    """Only the day partitions that can hold rows since then, where a table has such partitions.
+
+    A window may start the day before the event it holds, hence one day more.
+    """
+    if "day" not in df.columns:
+        return df
+    return df.where(F.col("day") >= F.lit((since - timedelta(days=1)).date()))
+
+
 def for_instances(df: DataFrame, ids: list[int] | DataFrame | None) -> DataFrame:
     """Rows of the given instances; ids are a list or a one-column frame, None means all."""
     if ids is None:
@@ -80,13 +90,13 @@ def parse_ids(text: str) -> list[int]:
 
 
 def instance_ids(stats: DataFrame, tw: TimeWindow) -> DataFrame:
-    return stats.where(tw.current()).select("instance_id").distinct().orderBy("instance_id")
+    return recent(stats, tw.start).where(tw.current()).select("instance_id").distinct().orderBy("instance_id")
 
 
 def _per_instance(stats: DataFrame, tw: TimeWindow) -> DataFrame:
     sums = [F.sum(f"{p}_queries").alias(p) for p in S.PROBLEM_TYPES]
     total = F.sum("total_queries").alias("total")
-    return stats.where(tw.current()).groupBy("instance_id").agg(total, *sums)
+    return recent(stats, tw.start).where(tw.current()).groupBy("instance_id").agg(total, *sums)
 
 
 def _is_critical(problem: str, count: int, share: float) -> Column:
@@ -171,7 +181,7 @@ METRICS = ("cluster_size", "score", "spilled_mb", "queue_time", "queue_ratio", "
 
 def anomaly_count(anomalies: DataFrame, tw: TimeWindow, ids: list[int] | DataFrame | None = None) -> DataFrame:
     """Anomalies of the current and the previous window by arrival time."""
-    rows = for_instances(anomalies, ids).where(tw.both(S.TIME))
+    rows = recent(for_instances(anomalies, ids), tw.previous_start).where(tw.both(S.TIME))
     return rows.agg(
         F.count_if(tw.current(S.TIME)).alias("anomalies_count"),
         F.count_if(tw.previous(S.TIME)).alias("anomalies_prev"),
@@ -187,7 +197,7 @@ def fleet_metrics(
     """
     current = _metric_columns(tw.current())
     previous = _metric_columns(tw.previous())
-    row = for_instances(stats, ids).where(tw.both()).agg(
+    row = recent(for_instances(stats, ids), tw.previous_start).where(tw.both()).agg(
         *[c.alias(n) for n, c in current.items()],
         *[c.alias(f"{n}_prev") for n, c in previous.items()],
     )
@@ -209,7 +219,7 @@ def fleet_metrics(
 
 
 def anomaly_details(anomalies: DataFrame, tw: TimeWindow, ids: list[int] | DataFrame | None = None) -> DataFrame:
-    return for_instances(anomalies, ids).where(tw.current(S.TIME)).select(
+    return recent(for_instances(anomalies, ids), tw.start).where(tw.current(S.TIME)).select(
         "instance_id",
         "arrival_timestamp",
         "query_id",
@@ -223,7 +233,7 @@ def anomaly_details(anomalies: DataFrame, tw: TimeWindow, ids: list[int] | DataF
 
 def class_chart(stats: DataFrame, tw: TimeWindow, ids: list[int] | DataFrame | None = None) -> DataFrame:
     """Class counts per window over time."""
-    rows = for_instances(stats, ids).where(tw.current())
+    rows = recent(for_instances(stats, ids), tw.start).where(tw.current())
     return rows.groupBy("window_start").agg(*[F.sum(c).alias(c) for c in S.CLASSES]).orderBy("window_start")
 
 
@@ -245,7 +255,7 @@ def class_totals(
 
     A window with anomalies but no queries has no fraction; one with neither has zero.
     """
-    rows = for_instances(stats, ids).where(tw.current())
+    rows = recent(for_instances(stats, ids), tw.start).where(tw.current())
     sums = rows.agg(F.sum("total_queries").alias("total_queries"), *[F.sum(c).alias(c) for c in S.CLASSES])
     counted = anomaly_count(anomalies, tw, ids).select("anomalies_count").scalar()
     total, found = F.coalesce(F.col("total_queries"), F.lit(0)), F.col("anomalies_count")

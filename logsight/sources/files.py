@@ -51,12 +51,21 @@ def read_daily_file(spark: SparkSession, path: str, columns: list[str]) -> DataF
     return keep_present(spark.read.parquet(path), columns)
 
 
+def _file(path: Column) -> Column:
+    """The path of a daily file; a file written by Spark is a folder of parts."""
+    return F.regexp_replace(path, r"/part-[^/]*$", "")
+
+
+def day_of_path(path: Column) -> Column:
+    """The day in the name of a daily file."""
+    return V.day_from_name(F.regexp_extract(_file(path), r"([^/]+)$", 1))
+
+
 def daily_files(
     spark: SparkSession, folder: str, pattern: str = "*.parquet", undated: str = "drop"
 ) -> DataFrame:
     """One row per file with the day in its name; contents are not read.
 
-    A file written by Spark is a folder of parts, so the day may be in the folder's name.
     ``undated='mtime'`` falls back to the day the file was last changed.
     """
     listing = (
@@ -66,13 +75,11 @@ def daily_files(
         .load(folder)
         .select("path", "modificationTime")
     )
-    parts = r"/part-[^/]*$"
-    file = F.regexp_replace("path", parts, "")
-    day = V.day_from_name(F.regexp_extract(file, r"([^/]+)$", 1))
+    day = day_of_path(F.col("path"))
     if undated == "mtime":
         day = F.coalesce(day, F.to_date("modificationTime"))
     return (
-        listing.select(day.alias("day"), file.alias("path"))
+        listing.select(day.alias("day"), _file(F.col("path")).alias("path"))
         .where(F.col("day").isNotNull())
         .distinct()
         .orderBy("day", "path")

@@ -33,10 +33,12 @@ class Lakehouse:
             return False
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
-        """A table; with a schema, an absent table reads as empty."""
-        if schema is not None and not self.exists(table):
+        """A table. With a schema no file is opened to find one, and an absent table is empty."""
+        if schema is None:
+            return self.spark.read.option("mergeSchema", "true").parquet(self.path(table))
+        if not self.exists(table):
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.option("mergeSchema", "true").parquet(self.path(table))
+        return self.spark.read.schema(schema).parquet(self.path(table))
 
     def register(self, table: str) -> str:
         """Make a table known to the catalog, so that SQL can name it."""
@@ -69,6 +71,8 @@ class Lakehouse:
             df = df.select(
                 *[F.col(c).try_cast(known[c]).alias(c) if c in known else F.col(c) for c in df.columns]
             )
+        if partition_by:
+            df = df.hint("rebalance", *partition_by)  # few files per partition, busy ones split
         writer = df.write.mode("append")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
@@ -102,15 +106,21 @@ def metadata_rows(spark: SparkSession, meta: dict) -> DataFrame:
     return spark.createDataFrame(rows, "k string, v string")
 
 
-def ledger_row(scored: DataFrame, hits: DataFrame, day: date, stage: str) -> DataFrame:
-    """How many rows of a day were scored and flagged; exactly one row, also for an empty day."""
-    found = hits.agg(F.count(F.lit(1)).alias("n")).scalar()
-    return scored.agg(F.count(F.lit(1)).alias("rows_scored")).select(
-        F.lit(day).alias("day"),
-        F.lit(stage).alias("stage"),
-        "rows_scored",
-        found.alias("rows_anoms"),
-        F.current_timestamp().alias("inserted_at"),
+def ledger_rows(scored: DataFrame, hits: DataFrame, stage: str) -> DataFrame:
+    """Per day: how many rows were scored and how many flagged."""
+    size = F.count(F.lit(1))
+    found = hits.groupBy("day").agg(size.alias("found"))
+    return (
+        scored.groupBy("day")
+        .agg(size.alias("rows_scored"))
+        .join(found, "day", "left")
+        .select(
+            "day",
+            F.lit(stage).alias("stage"),
+            "rows_scored",
+            F.coalesce("found", F.lit(0).cast("long")).alias("rows_anoms"),
+            F.current_timestamp().alias("inserted_at"),
+        )
     )
 
 

@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from logsight import schema as S
 from logsight.sources.ingest import accepted, decode_json, rejects
 
 
@@ -36,3 +38,7 @@ def with_watermark(stream: DataFrame, delay: str) -> DataFrame:
     return stream.withWatermark("arrival_timestamp", delay)
 
 
+def hit_events(messages: DataFrame) -> DataFrame:
+    """Anomaly hits that were published as JSON."""
+    hit = F.from_json("value", S.ANOMALY_HIT)
+    return messages.select(F.explode(F.array(hit)).alias("hit")).select("hit.*").where(F.col(S.TIME).isNotNull())

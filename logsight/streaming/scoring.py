@@ -16,8 +16,6 @@ from logsight.sources import registry
 from logsight.sources.ingest import normalise_batch
 from logsight.sources.store import ANOMALIES_TABLE, Lakehouse
 
-STREAM_TABLE = f"stream_{ANOMALIES_TABLE}"
-
 
 def detect(models: StageModels, raw: DataFrame, t: AnomalyThresholds = AnomalyThresholds()) -> DataFrame:
     """Raw events to anomaly hits. Ranks are taken within the given rows."""
@@ -56,7 +54,7 @@ def start_scoring(
             return
         found = materialise(stamp_window(detect(models, batch, t), width), "hits")
         rows = found.select(*[F.col(f.name).cast(f.dataType) for f in S.ANOMALIES])
-        lake.replace_batch(STREAM_TABLE, rows, batch_id, "window_start")
+        lake.replace_batch(ANOMALIES_TABLE, rows, batch_id, "window_start")
         if publish is not None:
             publish(rows)
 
@@ -72,7 +70,10 @@ def start_anomaly_windows(
     trigger: dict,
     width: str = DEFAULT_WIDTH,
 ):
-    """Give each anomaly of a stream its window and append it; no state is needed for that."""
+    """Give each anomaly of a stream its window and keep it; no state is needed for that.
+
+    For anomalies that come from a topic: a lakehouse is filled by this or by scoring, not both.
+    """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = stamp_window(batch, width).select(*[F.col(f.name).cast(f.dataType) for f in S.ANOMALIES])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from logsight import schema as S
 from logsight.functions.classify import ClassThresholds
@@ -96,6 +95,5 @@ def start_stats(
 
 
 def read_stats(lake: Lakehouse) -> DataFrame:
-    return lake.read(MINUTE_STATS_TABLE).select(
-        *[F.col(f.name).cast(f.dataType) for f in S.MINUTE_STATS], "day"
-    )
+    """The statistics table with its partition column ``day``, by which reports prune."""
+    return lake.read(MINUTE_STATS_TABLE, S.MINUTE_STATS).select(*S.MINUTE_STATS.names, "day")

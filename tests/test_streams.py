@@ -10,6 +10,7 @@ from logsight import schema as S
 from logsight.operators.windows import minute_stats
 from logsight.plans import models
 from logsight.sources import kafka, registry
+from logsight.sources.store import ANOMALIES_TABLE
 from logsight.streaming import events, landing, scoring, stats
 
 NOW = {"availableNow": True}
@@ -108,13 +109,13 @@ def test_scoring_needs_a_model_and_picks_up_a_new_one(spark, lake, log, tmp_path
 
     day1.write.mode("append").parquet(str(folder))
     run()
-    assert not lake.exists(scoring.STREAM_TABLE)
+    assert not lake.exists(ANOMALIES_TABLE)
     fitted = models.train_on(log, models.ModelConfig(max_iter=1))
     registry.register(lake, fitted, date(2024, 1, 1))
     day2.write.mode("append").parquet(str(folder))
     run()
     expected = scoring.detect(fitted, day2)
-    found = lake.read(scoring.STREAM_TABLE)
+    found = lake.read(ANOMALIES_TABLE)
     assert found.count() == expected.count() == published[0] > 0
     assert found.select(*S.ANOMALIES.names).where("window_start > arrival_timestamp").count() == 0
 
