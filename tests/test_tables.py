@@ -127,9 +127,9 @@ def test_too_few_rows(log):
 
 def test_registry(spark, lake, log, fitted):
     assert registry.load_latest(lake, S.STAGE) is None
-    for d in range(1, 6):
-        registry.register(lake, fitted, date(2024, 1, d))
-    assert registry.versions(lake).count() == 3
+    for d in (1, 3, 5):
+        registry.register(lake, fitted, date(2024, 1, d), keep=2)
+    assert registry.versions(lake).count() == 2
     tag, loaded = registry.load_latest(lake, S.STAGE)
     assert tag == "model_postcompile_2024-01-05"
     a = models.score(fitted, log).agg(F.sum("pred_execution_ms")).first()[0]
