@@ -35,7 +35,10 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--window", default=DEFAULT_WIDTH)
         return p
 
-    streaming("stats", "windowed statistics").add_argument("--delay", default="0 seconds")
+    windowed = streaming("stats", "windowed statistics")
+    windowed.add_argument("--delay", default="0 seconds")
+    windowed.add_argument("--keep-days", type=int, help="days to keep in the table")
+    windowed.add_argument("--archive", help="folder for older days")
     streaming("score", "anomalies of a stream").add_argument("--publish", help="topic for anomalies")
     streaming("collect", "published anomalies into the anomalies table")
     land = streaming("land", "training events by day")
@@ -148,7 +151,9 @@ def run(spark: SparkSession, args) -> DataFrame | None:
     trigger = {"availableNow": True} if args.once else {"processingTime": "10 seconds"}
     raw = messages(spark, args)
     if args.job == "stats":
-        query = stats.start_stats(events.events(raw), lake, args.checkpoint, trigger, args.window, args.delay)
+        query = stats.start_stats(
+            events.events(raw), lake, args.checkpoint, trigger, args.window, args.delay, args.keep_days, args.archive
+        )
     elif args.job == "land":
         query = landing.start_landing(events.events(raw), args.out, args.checkpoint, trigger, args.codec)
     elif args.job == "collect":

@@ -104,12 +104,12 @@ def latest_days(spark, sf):
 @query
 def daily_file_scan(spark, sf):
     """A-03, A-04: dated files found by name, then read and counted."""
-    log = query_log(spark, sf).select("query_id", "arrival_timestamp", F.to_date(S.TIME).alias("day"))
+    log = query_log(spark, sf).select("query_id", "arrival_timestamp")
     root = scratch_path(spark, "daily")
-    for r in files.latest_days(files.distinct_days(log), 3).collect():
-        log.where(F.col("day") == F.lit(r["day"])).drop("day").write.parquet(f"{root}/queries_{r['day']}_shard.parquet")
+    named = log.withColumn("queries", F.concat(F.date_format(S.TIME, "yyyy-MM-dd"), F.lit(".parquet")))
+    named.write.partitionBy("queries").parquet(root)
     listed = files.daily_files(spark, root)
-    paths = [r["path"] for r in listed.collect()]
+    paths = [r["path"] for r in listed.collect()]  # one row per daily file
     scanned = files.scan_training_files(spark, paths, ["query_id", "arrival_timestamp"])
     rows = scanned.groupBy(F.to_date(S.TIME).alias("day")).agg(F.count(F.lit(1)).alias("rows"))
     return listed.select("day").distinct().join(rows, "day")

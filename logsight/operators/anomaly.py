@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logsight import schema as S
 from logsight.operators.order_stats import with_quantiles
@@ -74,12 +76,16 @@ def flag_rows(
     return with_flags(with_errors(ranked, true_col, pred_col), t)
 
 
-def is_long(true_col: str, t: AnomalyThresholds) -> Column:
+def is_long(df: DataFrame, true_col: str, t: AnomalyThresholds) -> Column:
     """Only a long query can be flagged, whatever was predicted.
 
-    A plain comparison (NaN sorts above every number) that the Parquet scan can filter by.
+    A comparison in the column's own type (NaN sorts above every number), which a Parquet scan can
+    filter by.
     """
-    return (F.col(true_col) >= t.min_long_ms) & ~F.isnan(F.col(true_col).cast("double"))
+    col = F.col(true_col)
+    if isinstance(df.schema[true_col].dataType, T.IntegralType):
+        return col >= F.lit(math.ceil(t.min_long_ms)).cast(df.schema[true_col].dataType)
+    return (col >= t.min_long_ms) & ~F.isnan(col)
 
 
 def flag(
@@ -103,7 +109,7 @@ def anomalies(
     Every row counts in the ranks, but only the long ones are looked up and shuffled.
     """
     ranks = instance_ranks(df, true_col, pred_col)
-    return flag_rows(df.where(is_long(true_col, t)), ranks, true_col, pred_col, t).where("is_anomaly")
+    return flag_rows(df.where(is_long(df, true_col, t)), ranks, true_col, pred_col, t).where("is_anomaly")
 
 
 def hits(flagged: DataFrame) -> DataFrame:

@@ -375,8 +375,7 @@ SQL: dict[str, str] = {
     "training_windows": f"""WITH {DAYS}, o AS (SELECT day, row_number() OVER (ORDER BY day) AS i FROM days)
       SELECT e.day AS eval_day, t.day AS train_day FROM o e JOIN o t ON t.i >= e.i - 7 AND t.i < e.i""",
     "latest_days": f"WITH {DAYS} SELECT day FROM days ORDER BY day DESC LIMIT 14",
-    "daily_file_scan": f"""WITH {DAYS} SELECT CAST(arrival_timestamp AS DATE) AS day, count(*) AS rows FROM query_log
-      WHERE CAST(arrival_timestamp AS DATE) IN (SELECT day FROM days ORDER BY day DESC LIMIT 3) GROUP BY 1""",
+    "daily_file_scan": f"WITH {LOG} SELECT CAST(arrival_timestamp AS DATE) AS day, count(*) AS rows FROM query_log GROUP BY 1",
     "training_union": f"""WITH {LOG} SELECT query_id, query_type,
       CASE WHEN arrival_timestamp >= TIMESTAMP '2024-01-16' THEN num_joins END AS num_joins FROM query_log""",
     "accepted_messages": f"WITH {LOG} SELECT * FROM query_log WHERE query_id % 50 NOT IN (0, 1, 2)",

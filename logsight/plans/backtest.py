@@ -54,7 +54,7 @@ def process_days(lake: Lakehouse, events: DataFrame, models: StageModels, config
     c, stage, target, pred = config, models.config.stage, models.config.target, "pred_execution_ms"
     scored = materialise(score(models, events).withColumn("stage", F.lit(stage)), "scored")
     ranks = instance_ranks(scored, target, pred, RANKED_BY)
-    long = is_long(target, c.thresholds)
+    long = is_long(scored, target, c.thresholds)
 
     def flagged(rows: DataFrame) -> DataFrame:
         return flag_rows(rows, ranks, target, pred, c.thresholds, RANKED_BY)

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from logsight import schema as S
 from logsight.functions.classify import ClassThresholds
 from logsight.operators.windows import DEFAULT_WIDTH, window_counts
-from logsight.sources.store import MINUTE_STATS_TABLE, Lakehouse
+from logsight.sources.store import MINUTE_STATS_TABLE, Lakehouse, enforce_retention
 from logsight.streaming.events import with_watermark
 
 
@@ -77,12 +77,19 @@ def start_stats(
     trigger: dict,
     width: str = DEFAULT_WIDTH,
     delay: str = "0 seconds",
+    keep_days: int | None = None,
+    archive: str | None = None,
 ):
-    """Write closed windows to the statistics table; a replayed batch replaces itself."""
+    """Write closed windows to the statistics table; a replayed batch replaces itself.
+
+    With ``keep_days`` only that many of the latest days stay; older ones move to ``archive``.
+    """
     keep_state_on_disk(lake.spark)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         lake.replace_batch(MINUTE_STATS_TABLE, batch.select(*S.MINUTE_STATS.names), batch_id, "window_start")
+        if keep_days and lake.exists(MINUTE_STATS_TABLE):
+            enforce_retention(lake, MINUTE_STATS_TABLE, keep_days, archive or lake.path("archive"))
 
     return (
         remember_cluster_size(closed_windows(events, width, delay))

@@ -30,6 +30,17 @@ def test_stream_then_report(spark, log, tmp_path):
     assert train_latest(spark, Lakehouse(spark, str(tmp_path), "empty"), str(tmp_path / "landed")).endswith("2024-01-07")
 
 
+def test_stream_with_retention(spark, log, tmp_path):
+    kafka.as_messages(log.where("arrival_timestamp < timestamp '2024-01-08'")).select("value").write.text(str(tmp_path / "in"))
+    words = ["--messages", str(tmp_path / "in"), "--once", "--checkpoint", str(tmp_path / "c"), "--window", "1 day"]
+    job(spark, tmp_path, "stats", *words, "--keep-days", "4", "--archive", str(tmp_path / "old"))
+    kept = Lakehouse(spark, str(tmp_path), "stream").read("minute_stats")
+    # the last day's window is still open
+    assert [r["d"] for r in kept.select(F.dayofmonth("window_start").alias("d")).distinct().orderBy("d").collect()] == [3, 4, 5, 6]
+    old = spark.read.option("recursiveFileLookup", "true").parquet(str(tmp_path / "old"))
+    assert old.select(F.to_date("window_start")).distinct().count() == 2
+
+
 def test_shards(spark, tmp_path):
     for i in range(2):
         t = pa.table({"query_id": pa.array([i, i + 10], pa.int32()), "query_type": ["a", None], "extra": [1, 2]})
