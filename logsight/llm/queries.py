@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import importlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from logsight.llm.bpe import encode_decode
+from logsight.llm.exact_dedup import exact_dedup
 from logsight.llm.near_dedup import near_dedup
+from logsight.llm.packing import pack
 from logsight.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
+TOKENIZERS = "public_tokenizers"
 ORACLE: dict[str, str] = {}
 
 
@@ -27,6 +32,53 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def tokenizer_path(name: str) -> str:
+    """A vocabulary file of the installed package of public tokenizers."""
+    return importlib.import_module(TOKENIZERS).path(name)
+
+
+@query
+def op1_packing(spark, sf):
+    """All documents in sequences of at most 2048 tokens."""
+    pieces = pack(_table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"), capacity=2048, end_id=1)
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@query
+def op2_bpe(spark, sf):
+    """Token ids of all documents and what they decode to, as digests."""
+    coded = encode_decode(_table(spark, sf, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return coded.select(
+        "doc_id",
+        (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query
+def op8_exact_dedup(spark, sf):
+    """Groups of documents that are equal without white space."""
+    found = exact_dedup(_table(spark, sf, "documents"), digest_all=True)
+    return found.withColumnRenamed("digest", "text_sha256")
+
+
+ORACLE["op8_exact_dedup"] = r"""
+WITH t AS (
+    SELECT doc_id, length(coalesce(text, '')) AS points,
+           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) AS text_sha256
+    FROM documents
+)
+SELECT doc_id,
+       first_value(doc_id) OVER (g ORDER BY points DESC, doc_id) AS keep_id,
+       count(*) OVER (PARTITION BY text_sha256) AS group_size,
+       doc_id = first_value(doc_id) OVER (g ORDER BY points DESC, doc_id) AS kept,
+       text_sha256
+FROM t
+WINDOW g AS (PARTITION BY text_sha256)
+"""
+
+
 @query
 def op10_near_dedup(spark, sf):
     """Groups of documents whose three-word shingle sets have a similarity of 0.85 or more."""
