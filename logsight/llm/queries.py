@@ -12,6 +12,7 @@ from logsight.llm.bpe import encode_decode
 from logsight.llm.exact_dedup import exact_dedup
 from logsight.llm.near_dedup import near_dedup
 from logsight.llm.packing import pack
+from logsight.llm.token_counts import token_counts
 from logsight.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +57,12 @@ def op2_bpe(spark, sf):
     )
 
 
+@query
+def op4_token_counts(spark, sf):
+    """Token counts of all documents, and which have more than 512."""
+    return token_counts(_table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=512)
+
+
 @query
 def op8_exact_dedup(spark, sf):
     """Groups of documents that are equal without white space."""
