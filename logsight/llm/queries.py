@@ -12,6 +12,7 @@ from logsight.llm.bpe import encode_decode
 from logsight.llm.exact_dedup import exact_dedup
 from logsight.llm.near_dedup import near_dedup
 from logsight.llm.packing import pack
+from logsight.llm.suffix_dedup import suffix_dedup
 from logsight.llm.token_counts import token_counts
 from logsight.session import use_utc
 
@@ -63,6 +64,13 @@ def op4_token_counts(spark, sf):
     return token_counts(_table(spark, sf, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=512)
 
 
+@query
+def op5_suffix_dedup(spark, sf):
+    """All documents less the 50-byte strings that an earlier one has."""
+    found = suffix_dedup(_table(spark, sf, "documents"), length=50)
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 @query
 def op8_exact_dedup(spark, sf):
     """Groups of documents that are equal without white space."""
