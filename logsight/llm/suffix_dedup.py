@@ -1,9 +1,10 @@
 """Removal of byte strings that an earlier document has too, by suffix arrays of content-addressed shards.
 
 Every window of `length` bytes is filed under its anchor, the k-gram of least hash inside it, so equal windows
-of all documents meet in one shard. Neighbouring windows with the same anchor travel as one snippet, and equal
-snippets of a task as one. A shard drops anchors that only one document has, gives each snippet's window the
-least document that has it, and returns the spans to be removed to the documents.
+of all documents meet in one shard. Documents stay in groups, which are shuffled once. Each group first sends
+the hashes of its anchors, and learns which of them other documents have. Neighbouring windows with the same
+anchor then travel as one snippet, equal snippets of a group as one, and only for shared anchors. A shard
+gives each window of its snippets the least document that has it, and returns the spans to be removed.
 """
 
 from __future__ import annotations
@@ -18,18 +19,19 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsight.llm.suffix_array import Shard, merge_shards
-from logsight.llm.text import U64, Hashed, Texts, prepare, ranges, whole_text
+from logsight.llm.text import U64, Hashed, prepare, ranges, whole_text
 
 GRAM = 16
 BLOCK_BYTES = 2 << 20
-FLUSH_BYTES = 16 << 20
 SHARD_BYTES = 1 << 20
-#: Text behind one bucket of anchors, and behind one group of documents when spans return.
-BUCKET_TEXT = 4 << 20
-GROUP_TEXT = 6 << 20
+#: Text in a group of documents, behind one bucket of anchors, and behind one bucket of anchor hashes.
+GROUP_TEXT = 8 << 20
+BUCKET_TEXT = 8 << 20
+HASH_TEXT = 24 << 20
 LAST = np.iinfo(np.int64).max
 
-MARK = np.dtype([("row", "<u8"), ("id", "<i8"), ("start", "<u4"), ("size", "<u4")])
+MARK = np.dtype([("doc", "<u4"), ("start", "<u4"), ("size", "<u4")])
+SNIPPETS = ["<i8", "<i8", "u1", "u1", "u1", "<u4", "<u4", "<u4"]
 
 
 def suffix_dedup(
@@ -47,26 +49,32 @@ def suffix_dedup(
 
     Ids are integers; a null id is larger than all others. Rows with equal ids take nothing from each other.
     Null texts are empty. Texts shorter than length are never touched. Each window is in one snippet, so the
-    work follows the text; a snippet that many rows share is sent once by each task.
+    work follows the text; a snippet that many rows share is sent once by each group of documents.
     """
     spark = prepare(docs.sparkSession)
-    if length < GRAM:
-        raise ValueError(f"length must be at least {GRAM}")
+    if not GRAM <= length <= 255:
+        raise ValueError(f"length must be from {GRAM} to 255")
     text = whole_text(text_col)
     total = docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    buckets, groups = max(64, total // BUCKET_TEXT), max(32, total // GROUP_TEXT)
+    groups, buckets, hash_buckets = (max(32, total // size) for size in (GROUP_TEXT, BUCKET_TEXT, HASH_TEXT))
     rows = docs.select(
         F.col(id_col).cast("bigint").alias("id"),
-        text.alias("text"),
-        F.xxhash64(F.col(id_col).cast("bigint"), text).alias("row"),
+        F.pmod(F.xxhash64(F.col(id_col).cast("bigint"), text), F.lit(groups)).alias("part"),
         F.struct(*[F.col(c) for c in carry or []]).alias("carried") if carry else F.lit(None).cast("int").alias("carried"),
+        text.alias("text"),
+    )
+    packed_schema = T.StructType([*rows.schema.fields[:3], T.StructField("packed", T.BinaryType())])
+    placed = rows.mapInArrow(_packer, packed_schema).groupBy("part")
+
+    hashes = placed.applyInArrow(_hash_sender(length, hash_buckets), "part bigint, bucket bigint, payload binary")
+    shared = hashes.groupBy("bucket").applyInArrow(_shared, "part bigint, bucket bigint, payload binary")
+    sent = placed.cogroup(shared.groupBy("part")).applyInArrow(
+        _snippet_sender(length, buckets), "bucket bigint, part bigint, payload binary"
     )
-    sent = rows.select("id", "text", "row").mapInArrow(_sender(length, buckets, groups), "kind int, part bigint, payload binary")
-    marks = sent.groupBy("kind", "part").applyInArrow(_finder(length, groups), "part bigint, payload binary")
-    placed = rows.withColumn("part", F.pmod("row", F.lit(groups)))
+    marks = sent.groupBy("bucket").applyInArrow(_finder(length), "part bigint, payload binary")
     schema = T.StructType(
         [
-            T.StructField(id_col, docs.schema[id_col].dataType),
+            T.StructField("id", T.LongType()),
             T.StructField("n_bytes", T.LongType()),
             T.StructField("n_removed", T.LongType()),
             T.StructField("n_spans", T.LongType()),
@@ -75,12 +83,63 @@ def suffix_dedup(
             T.StructField("carried", rows.schema["carried"].dataType),
         ]
     )
-    wide = T.StructType([T.StructField("id", T.LongType()), *schema.fields[1:]])
-    out = placed.groupBy("part").cogroup(marks.groupBy("part")).applyInArrow(_remover(wide), wide)
-    return out.select(F.col("id").cast(schema[id_col].dataType).alias(id_col), *[f.name for f in schema.fields[1:]])
-
-
-# --- from documents to shards ------------------------------------------------------------------
+    out = placed.cogroup(marks.groupBy("part")).applyInArrow(_remover(schema), schema)
+    named = F.col("id").cast(docs.schema[id_col].dataType).alias(id_col)
+    return out.select(named, *[f.name for f in schema.fields[1:]])
+
+
+# --- groups of documents -----------------------------------------------------------------------
+
+
+def _packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The texts compressed, to be shuffled."""
+    compress = zstandard.ZstdCompressor(level=3).compress
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 512):
+            part = batch.slice(lo, 512)
+            packed = pa.array([compress(t.as_py().encode()) for t in part.column(3)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*part.columns[:3], packed], names=["id", "part", "carried", "packed"])
+
+
+class Group:
+    """The documents of a group, in the order of their ids and texts."""
+
+    def __init__(self, docs: pa.Table):
+        unpack = zstandard.ZstdDecompressor().decompress
+        raw = [unpack(p.as_py()) for p in docs.column("packed")]
+        ids = [LAST if i is None else i for i in docs.column("id").to_pylist()]
+        self.order = sorted(range(len(raw)), key=lambda k: (ids[k], raw[k]))
+        self.raw = [raw[k] for k in self.order]
+        self.ids = np.array([ids[k] for k in self.order], np.int64)
+
+
+class Snippets:
+    """All snippets of a group: neighbouring windows of a document with the same anchor."""
+
+    def __init__(self, group: Group, length: int):
+        sizes = np.array([len(r) for r in group.raw], np.int64)
+        ends = np.cumsum(sizes)
+        self.data = np.frombuffer(b"".join(group.raw), np.uint8)
+        found, lo = [], 0
+        while lo < len(sizes):
+            base = ends[lo] - sizes[lo]
+            hi = max(lo + 1, int(np.searchsorted(ends, base + BLOCK_BYTES, "right")))
+            starts = np.concatenate([[0], ends[lo:hi] - base])
+            hashed = Hashed(self.data[base : ends[hi - 1]])
+            doc, first, windows, anchor = _anchors(hashed, starts, length)
+            found.append(
+                (
+                    doc + lo, first + base, first - starts[doc], windows, anchor - first,
+                    hashed.slices(anchor, anchor + GRAM), hashed.slices(first, first + windows + length - 1),
+                )
+            )
+            lo = hi
+        none = [np.zeros(0, k) for k in (np.int64,) * 5 + (U64,) * 2]
+        columns = [np.concatenate([n, *[f[k] for f in found]]) for k, n in enumerate(none)]
+        self.doc, self.first, self.inside, self.windows, self.offset, self.anchor, self.content = columns
+        #: 48 bits of each anchor's hash, and the distinct ones
+        self.short = self.anchor >> U64(16)
+        self.distinct, self.which = np.unique(self.short, return_inverse=True)
 
 
 def _anchors(hashed: Hashed, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -109,38 +168,105 @@ def _anchors(hashed: Hashed, starts: np.ndarray, length: int) -> tuple[np.ndarra
     return text, places[new], counts, anchor[new]
 
 
-def _sender(length: int, buckets: int, groups: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size = [], 0
-        for batch in batches:
-            ids = _ids(batch.column(0))
-            row = batch.column(2).to_numpy().view(U64)
-            for lo, hi, data, starts in Texts(batch.column(1)).blocks(BLOCK_BYTES, 1 << 30):
-                hashed = Hashed(data)
-                text, first, windows, anchor = _anchors(hashed, starts, length)
-                held.append(
-                    (
-                        data,
-                        ids[lo:hi][text],
-                        row[lo:hi][text],
-                        first,
-                        first - starts[text],
-                        windows,
-                        hashed.slices(anchor, anchor + GRAM),
-                        hashed.slices(first, first + windows + length - 1),
-                    )
-                )
-                size += len(data)
-                if size >= FLUSH_BYTES:
-                    yield from _flush(held, length, buckets, groups)
-                    held, size = [], 0
-        yield from _flush(held, length, buckets, groups)
+def _cuts(distinct: np.ndarray, buckets: int) -> np.ndarray:
+    """Where each bucket of ascending 48-bit hashes begins, and the end."""
+    limits = (np.arange(1, buckets, dtype=np.float64) / buckets * float(1 << 48)).astype(U64)
+    return np.concatenate([[0], np.searchsorted(distinct, limits), [len(distinct)]])
+
+
+def _batch(names: str, **columns: list) -> pa.Table:
+    kinds = {"payload": pa.binary()}
+    return pa.table([pa.array(columns[n], kinds.get(n, pa.int64())) for n in names.split()], names=names.split())
+
+
+def _hash_sender(length: int, buckets: int):
+    def run(docs: pa.Table) -> pa.Table:
+        group = Group(docs)
+        s = Snippets(group, length)
+        # anchors that several documents of this group have are shared anyhow
+        ids = group.ids[s.doc]
+        low = np.full(len(s.distinct), LAST)
+        high = np.full(len(s.distinct), -LAST - 1)
+        np.minimum.at(low, s.which, ids)
+        np.maximum.at(high, s.which, ids)
+        cuts = _cuts(s.distinct, buckets)
+        six = s.distinct.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
+        payload = [
+            np.int64(b - a).tobytes() + six[a:b].tobytes() + np.packbits(low[a:b] < high[a:b]).tobytes()
+            for a, b in zip(cuts, cuts[1:], strict=False)
+        ]
+        part = docs.column("part")[0].as_py()
+        return _batch("part bucket payload", part=[part] * buckets, bucket=list(range(buckets)), payload=payload)
 
     return run
 
 
-def _ids(column: pa.Array) -> np.ndarray:
-    return column.fill_null(LAST).to_numpy(zero_copy_only=False).astype(np.int64)
+def _shared(table: pa.Table) -> pa.Table:
+    """Of each group's hashes in a bucket, which are shared, as bits."""
+    hashes, several, counts = [], [], []
+    for p in table.column("payload"):
+        raw = p.as_py()
+        n = int(np.frombuffer(raw, "<i8", 1)[0])
+        wide = np.zeros((n, 8), np.uint8)
+        wide[:, :6] = np.frombuffer(raw, np.uint8, 6 * n, 8).reshape(n, 6)
+        hashes.append(wide.view("<u8").ravel())
+        several.append(np.unpackbits(np.frombuffer(raw, np.uint8, offset=8 + 6 * n), count=n).astype(bool))
+        counts.append(n)
+    h, out = np.concatenate(hashes), np.concatenate(several)
+    order = np.argsort(h)
+    new = np.concatenate([[True], h[order][1:] != h[order][:-1]])[: len(h)]
+    at = np.flatnonzero(new)
+    size = np.diff(np.append(at, len(h)))
+    any_several = np.logical_or.reduceat(out[order], at) if len(at) else out[:0]
+    out[order] = np.repeat((size > 1) | any_several, size)
+    bits = [np.packbits(x).tobytes() for x in np.split(out, np.cumsum(counts)[:-1])]
+    return table.select(["part", "bucket"]).append_column("payload", pa.array(bits, pa.binary()))
+
+
+def _snippet_sender(length: int, buckets: int):
+    def run(docs: pa.Table, shared: pa.Table) -> pa.Table:
+        if not docs.num_rows:
+            return _batch("bucket part payload", bucket=[], part=[], payload=[])
+        group = Group(docs)
+        s = Snippets(group, length)
+        replies = sorted(zip(shared.column("bucket").to_pylist(), shared.column("payload").to_pylist(), strict=True))
+        cuts = _cuts(s.distinct, len(replies))
+        bits = [np.unpackbits(np.frombuffer(p, np.uint8), count=b - a) for (_, p), a, b in zip(replies, cuts, cuts[1:], strict=False)]
+        known = np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool)
+        return _snippets(group, s, np.flatnonzero(known[s.which]), docs.column("part")[0].as_py(), length, buckets)
+
+    return run
+
+
+def _snippets(group: Group, s: Snippets, chosen: np.ndarray, part: int, length: int, buckets: int) -> pa.Table:
+    """Snippets by bucket, equal ones once with their least owner; the others' spans are settled here."""
+    bucket = (s.anchor[chosen] % U64(buckets)).astype(np.int64)
+    order = np.lexsort((group.ids[s.doc[chosen]], s.content[chosen], s.anchor[chosen], bucket))
+    bucket, at = bucket[order], chosen[order]
+    anchor, content, ids = s.anchor[at], s.content[at], group.ids[s.doc[at]]
+    new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])])[: len(at)]
+    klass = np.cumsum(new) - 1
+    firsts = np.flatnonzero(new)
+    settled = ids > ids[new][klass]
+    done = _marks(s.doc[at[settled]], s.inside[at[settled]], s.windows[at[settled]] + length - 1)
+    stays = np.flatnonzero(~settled)
+    kept_class = klass[stays]
+    edges = np.flatnonzero(np.concatenate([[True], bucket[firsts][1:] != bucket[firsts][:-1]]))[: len(firsts)]
+    out_bucket, payload = [-1 - part], [done]
+    for a, b in zip(edges, np.append(edges[1:], len(firsts)), strict=True):
+        c = at[firsts[a:b]]
+        lo, hi = np.searchsorted(kept_class, [a, b])
+        o = at[stays[lo:hi]]
+        size = s.windows[c] + length - 1
+        out_bucket.append(int(bucket[firsts[a]]))
+        payload.append(
+            _pack(
+                np.array([part], "<i8"), group.ids[s.doc[c]], s.windows[c].astype("u1"), s.offset[c].astype("u1"),
+                s.data[ranges(s.first[c], size)], (kept_class[lo:hi] - a).astype("<u4"),
+                s.doc[o].astype("<u4"), s.inside[o].astype("<u4"),
+            )
+        )
+    return _batch("bucket part payload", bucket=out_bucket, part=[part] * len(payload), payload=payload)
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
@@ -158,99 +284,39 @@ def _unpack(payload: bytes, kinds: list) -> list[np.ndarray]:
     return out
 
 
-def _flush(held: list, length: int, buckets: int, groups: int) -> Iterator[pa.RecordBatch]:
-    """Snippets by bucket, equal ones once with their least owner; the others' spans are settled here."""
-    if not held or not sum(len(x[1]) for x in held):
-        return
-    shift = np.cumsum([0, *[len(x[0]) for x in held[:-1]]])
-    data = np.concatenate([x[0] for x in held])
-    ids, row, inside, windows, anchor, content = (np.concatenate([x[k] for x in held]) for k in (1, 2, 4, 5, 6, 7))
-    first = np.concatenate([x[3] + s for x, s in zip(held, shift, strict=True)])
-    # by bucket, anchor and content, the least owner first
-    bucket = (anchor % U64(buckets)).astype(np.int64)
-    order = np.lexsort((ids, content, anchor, bucket))
-    ids, row, inside, windows, anchor, content, first, bucket = (
-        x[order] for x in (ids, row, inside, windows, anchor, content, first, bucket)
-    )
-    new = np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (content[1:] != content[:-1])])
-    klass = np.cumsum(new) - 1
-    least = ids[new][klass]
-    settled = ids > least
-    yield from _mark_batches(row[settled], ids[settled], inside[settled], windows[settled] + length - 1, groups, 1)
-    stays = ~settled
-    at = np.flatnonzero(new)
-    cut = np.searchsorted(bucket[at], np.unique(bucket[at]))
-    kept_class, kept = klass[stays], np.flatnonzero(stays)
-    parts, payloads = [], []
-    for a, b in zip(cut, np.append(cut[1:], len(at)), strict=True):
-        c = at[a:b]
-        sizes = windows[c] + length - 1
-        lo, hi = np.searchsorted(kept_class, [a, b])
-        o = kept[lo:hi]
-        payloads.append(
-            _pack(
-                anchor[c], content[c], windows[c].astype("<u2"), ids[c], data[ranges(first[c], sizes)],
-                (kept_class[lo:hi] - a).astype("<u4"), row[o], inside[o].astype("<u4"),
-            )
-        )
-        parts.append(int(bucket[c[0]]))
-        if sum(map(len, payloads)) > 4 << 20:
-            yield _sent(0, parts, payloads)
-            parts, payloads = [], []
-    yield _sent(0, parts, payloads)
-
-
-SNIPPETS = ["<u8", "<u8", "<u2", "<i8", "u1", "<u4", "<u8", "<u4"]
-
-
-def _sent(kind: int, parts: list[int], payloads: list[bytes]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array([kind] * len(parts), pa.int32()), pa.array(parts, pa.int64()), pa.array(payloads, pa.binary())],
-        names=["kind", "part", "payload"],
-    )
-
-
-def _marks(row: np.ndarray, ids: np.ndarray, start: np.ndarray, size: np.ndarray, groups: int) -> tuple[list, list]:
-    """Spans to be removed, by group of documents."""
-    out = np.zeros(len(row), MARK)
-    out["row"], out["id"], out["start"], out["size"] = row, ids, start, size
-    part = row.view(np.int64) % groups
-    order = np.lexsort((start, row, part))
-    out, part = out[order], part[order]
-    found, cut = np.unique(part, return_index=True)
-    return found.tolist(), [_pack(x) for x in np.split(out, cut[1:])] if len(found) else []
-
-
-def _mark_batches(row, ids, start, size, groups, kind) -> Iterator[pa.RecordBatch]:
-    parts, payloads = _marks(row, ids, start, size, groups)
-    if parts:
-        yield _sent(kind, parts, payloads)
+def _marks(doc: np.ndarray, start: np.ndarray, size: np.ndarray) -> bytes:
+    """Spans to be removed from documents of a group, as bytes."""
+    out = np.zeros(len(doc), MARK)
+    out["doc"], out["start"], out["size"] = doc, start, size
+    return _pack(out[np.lexsort((start, doc))])
 
 
 # --- in a shard --------------------------------------------------------------------------------
 
 
-def _finder(length: int, groups: int):
+def _finder(length: int):
     def run(table: pa.Table) -> pa.Table:
-        payloads = table.column("payload").to_pylist()
-        if table.column("kind")[0].as_py() == 1:
+        if table.column("bucket")[0].as_py() < 0:
             return table.select(["part", "payload"])
-        parts, out = _found([_unpack(p, SNIPPETS) for p in payloads], length, groups)
-        return pa.table([pa.array(parts, pa.int64()), pa.array(out, pa.binary())], names=["part", "payload"])
+        parts, payload = _found([_unpack(p.as_py(), SNIPPETS) for p in table.column("payload")], length)
+        return _batch("part payload", part=parts, payload=payload)
 
     return run
 
 
-def _found(sent: list[list[np.ndarray]], length: int, groups: int) -> tuple[list, list]:
-    """Spans of the snippets of one bucket."""
-    base = np.cumsum([0, *[len(x[0]) for x in sent]])
-    anchor, content, windows, ids = (np.concatenate([x[k] for x in sent]) for k in range(4))
+def _found(sent: list[list[np.ndarray]], length: int) -> tuple[list, list]:
+    """Spans of the snippets of one bucket, by the group that sent them."""
+    base = np.cumsum([0, *[len(x[1]) for x in sent]])
+    ids, windows, offset, text = (np.concatenate([x[k] for x in sent]) for k in range(1, 5))
     windows = windows.astype(np.int64)
     klass = np.concatenate([x[5].astype(np.int64) + b for x, b in zip(sent, base, strict=False)])
-    row, inside = np.concatenate([x[6] for x in sent]), np.concatenate([x[7] for x in sent]).astype(np.int64)
-    text = np.concatenate([x[4] for x in sent])
+    part = np.repeat([int(x[0][0]) for x in sent], [len(x[5]) for x in sent])
+    doc, inside = (np.concatenate([x[k] for x in sent]).astype(np.int64) for k in (6, 7))
     sizes = windows + length - 1
     begins = np.cumsum(sizes) - sizes
+    hashed = Hashed(text)
+    anchor = hashed.slices(begins + offset, begins + offset + GRAM)
+    content = hashed.slices(begins, begins + sizes)
 
     # snippets by anchor, then content, then owner; anchors of one document only are done
     order = np.lexsort((ids, content, anchor))
@@ -261,33 +327,30 @@ def _found(sent: list[list[np.ndarray]], length: int, groups: int) -> tuple[list
     at = np.flatnonzero(new_anchor)
     several = np.minimum.reduceat(owner, at) < np.maximum.reduceat(owner, at)
     least = owner[new]  # of each distinct snippet
-    # distinct snippets of anchors that have more than one
     distinct = np.flatnonzero(new)
     per_anchor = np.bincount(of_anchor[distinct], minlength=len(at))
     examined = several[of_anchor[distinct]] & (per_anchor[of_anchor[distinct]] > 1)
-    flags = _flagged(text, begins[order[distinct]], windows[order[distinct]], least, a[distinct], examined, length)
+    span_snippet, span_at, span_size = _flagged(
+        text, begins[order[distinct]], windows[order[distinct]], least, a[distinct], examined, length
+    )
 
     # occurrences: wholly covered if a lesser document has the same snippet, else where its windows are
     snippet = np.zeros(len(order), np.int64)
     snippet[order] = of_snippet
-    mine = snippet[klass]
-    who = ids[klass]
-    whole = who > least[mine]
-    starts = [inside[whole]]
-    lengths = [sizes[klass[whole]]]
-    rows, owners = [row[whole]], [who[whole]]
-    rest = np.flatnonzero(~whole)
-    span_snippet, span_at, span_size = flags
+    mine, who = snippet[klass], ids[klass]
+    whole = np.flatnonzero(who > least[mine])
+    rest = np.flatnonzero(who <= least[mine])
     low = np.searchsorted(span_snippet, mine[rest])
     many = np.searchsorted(span_snippet, mine[rest], "right") - low
-    which = ranges(low, many)
-    back = np.repeat(rest, many)
-    starts.append(inside[back] + span_at[which])
-    lengths.append(span_size[which])
-    rows.append(row[back])
-    owners.append(who[back])
-    row, who = np.concatenate(rows), np.concatenate(owners)
-    return _marks(row, who, np.concatenate(starts), np.concatenate(lengths), groups)
+    which, back = ranges(low, many), np.repeat(rest, many)
+    start = np.concatenate([inside[whole], inside[back] + span_at[which]])
+    size = np.concatenate([sizes[klass[whole]], span_size[which]])
+    occurrence = np.concatenate([whole, back])
+    order = np.argsort(part[occurrence], kind="stable")
+    occurrence, start, size = occurrence[order], start[order], size[order]
+    parts, cuts = np.unique(part[occurrence], return_index=True)
+    pieces = [np.split(x, cuts[1:]) for x in (doc[occurrence], start, size)]
+    return parts.tolist(), [_marks(*x) for x in zip(*pieces, strict=True)] if len(parts) else []
 
 
 def _flagged(text, begins, windows, owner, anchor, examined, length) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -339,27 +402,27 @@ def _remover(schema: T.StructType):
     arrow = to_arrow_schema(schema)
 
     def run(docs: pa.Table, marks: pa.Table) -> pa.Table:
-        found = [_unpack(p, [MARK])[0] for p in marks.column("payload").to_pylist()]
-        found = np.concatenate(found) if found else np.zeros(0, MARK)
-        found = found[np.argsort(found["row"], kind="stable")]
-        rows = docs.column("row").to_numpy().view(U64)
-        low, high = np.searchsorted(found["row"], rows), np.searchsorted(found["row"], rows, "right")
-        ids = _ids(docs.column("id").combine_chunks()) if docs.num_rows else np.zeros(0, np.int64)
-        n_bytes, n_removed, n_spans, spans, kept = [], [], [], [], []
-        texts = docs.column("text")
-        for i in range(docs.num_rows):
-            raw = texts[i].as_py().encode()
-            own = found[low[i] : high[i]]
-            own = own[own["id"] == ids[i]]
-            runs = _union(own, len(raw)) if len(own) else []
+        if not docs.num_rows:
+            return arrow.empty_table()
+        group = Group(docs)
+        found = np.concatenate([np.zeros(0, MARK), *[_unpack(p.as_py(), [MARK])[0] for p in marks.column("payload")]])
+        found = found[np.argsort(found["doc"], kind="stable")]
+        cuts = np.searchsorted(found["doc"], np.arange(len(group.raw) + 1))
+        n_bytes, n_removed, spans, kept = [], [], [], []
+        for k, raw in enumerate(group.raw):
+            runs = _union(found[cuts[k] : cuts[k + 1]], len(raw)) if cuts[k] < cuts[k + 1] else []
+            edges = [0, *[x for r in runs for x in r], len(raw)]
             n_bytes.append(len(raw))
             n_removed.append(sum(b - a for a, b in runs))
-            n_spans.append(len(runs))
             spans.append(runs)
-            edges = [0, *[x for r in runs for x in r], len(raw)]
             kept.append(b"".join([raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]) if runs else raw)
-        columns = [docs.column("id"), n_bytes, n_removed, n_spans, spans, kept, docs.column("carried")]
-        return pa.table([c if isinstance(c, pa.ChunkedArray) else pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)
+        order = pa.array(group.order)
+        columns = {
+            "id": docs.column("id").take(order), "carried": docs.column("carried").take(order),
+            "n_bytes": n_bytes, "n_removed": n_removed, "n_spans": [len(r) for r in spans], "spans": spans, "kept": kept,
+        }
+        made = [columns[f.name] if isinstance(columns[f.name], pa.ChunkedArray) else pa.array(columns[f.name], f.type) for f in arrow]
+        return pa.table(made, schema=arrow)
 
     return run
 
