@@ -28,9 +28,8 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 _NOT_SPACE = regex.compile("[\x1c-\x1f]")
 _SPACE = regex.compile(r"\s+")
 _NEVER = 1 << 60
-#: Entries a worker keeps, about 300 bytes each.
-CACHED_CHUNKS = 400_000
-CACHED_WORDS = 400_000
+#: Entries of each kind that a worker keeps for sure, of about 150 bytes; it never has more than twice as many.
+CACHED = 300_000
 
 
 def byte_symbols() -> list[str]:
@@ -169,80 +168,67 @@ class Encoder:
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self._words: dict[str, tuple[bytes, str]] = {}
-        self._chunks: dict[str, tuple[bytes, str]] = _Filled(self._chunk, CACHED_CHUNKS)
-
-    def encode(self, text: str) -> tuple[bytes, str]:
-        """The ids as little-endian 32-bit integers, and the text that decoding them gives."""
-        if _NOT_SPACE.search(text):
-            chunks = [c for c in _SPACE.split(text) if c]
-        else:
-            chunks = text.split()
-        if not chunks:
-            return b"", ""
-        self._chunks.make_room()
-        found = [x for x in map(self._chunks.__getitem__, chunks) if x[0]]
-        if not found:
-            return b"", ""
-        ids, names = zip(*found, strict=True)
-        return b"".join(ids), " ".join(names)
-
-    def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        added = self.vocabulary.added
+        self._chunks = Kept(self._chunk, CACHED)
+        self._words = Kept(self._word, CACHED)
+        self._names = Kept(self.decode, CACHED)
+
+    def encode(self, text: str) -> list[bytes]:
+        """The ids as little-endian 32-bit integers, in parts."""
+        chunks = [c for c in _SPACE.split(text) if c] if _NOT_SPACE.search(text) else text.split()
+        for kept in (self._chunks, self._words):
+            kept.make_room()
+        return list(map(self._chunks.__getitem__, chunks))
+
+    def decode_parts(self, parts: list[bytes]) -> str:
+        self._names.make_room()
+        return " ".join(map(self._names.__getitem__, filter(None, parts)))
+
+    def decode(self, ids: bytes) -> str:
+        """The tokens of ids with a space between them, as a file without decoder asks for."""
+        names = self.vocabulary.names
+        return " ".join([names[i] for i in array("I", ids)])
+
+    def _chunk(self, chunk: str) -> bytes:
         if "<" in chunk and self.vocabulary.added_pattern.search(chunk):
             out, at = [], 0
             for m in self.vocabulary.added_pattern.finditer(chunk):
-                out += [self._plain(chunk[at : m.start()]), (array("I", [added[m[0]]]).tobytes(), m[0])]
+                out += [self._plain(chunk[at : m.start()]), array("I", [self.vocabulary.added[m[0]]]).tobytes()]
                 at = m.end()
-            out = [x for x in [*out, self._plain(chunk[at:])] if x[0]]
-            return b"".join(i for i, _ in out), " ".join(s for _, s in out)
+            return b"".join([*out, self._plain(chunk[at:])])
         return self._plain(chunk)
 
-    def _plain(self, chunk: str) -> tuple[bytes, str]:
+    def _plain(self, chunk: str) -> bytes:
         if not chunk.isascii():
             # letters are lowered one by one: no final form of sigma
             chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
         chunk = chunk.lower()
         if chunk.isalpha():
-            return self._word(chunk)
+            return self._words[chunk]
         if chunk[:-1].isalpha() and chunk[-1] in ".,":
-            words = [chunk[:-1], chunk[-1]]
-        else:
-            words = WORDS.findall(chunk)
-        out = [self._word(w) for w in words]
-        if len(out) == 1:
-            return out[0]
-        return b"".join([i for i, _ in out]), " ".join([s for _, s in out])
-
-    def _word(self, word: str) -> tuple[bytes, str]:
-        known = self._words.get(word)
-        if known is None:
-            if len(self._words) >= CACHED_WORDS:
-                self._words.clear()
-            ids = self.vocabulary.word(word)
-            names = self.vocabulary.names
-            known = self._words[word] = array("I", ids).tobytes(), " ".join([names[i] for i in ids])
-        return known
+            return self._words[chunk[:-1]] + self._words[chunk[-1]]
+        return b"".join(map(self._words.__getitem__, WORDS.findall(chunk)))
 
-    def decode(self, ids: bytes) -> str:
-        """The tokens of ids with a space between them, as a file without decoder asks for."""
-        names = self.vocabulary.names
-        return " ".join([names[i] for i in array("I", ids)])
+    def _word(self, word: str) -> bytes:
+        return array("I", self.vocabulary.word(word)).tobytes()
 
 
-class _Filled(dict):
-    """A dictionary that computes what it lacks; it is emptied when it grows over its bound."""
+class Kept(dict):
+    """A dictionary that computes what it lacks. When it is full, what was not used since it last was is dropped."""
 
-    def __init__(self, make: Callable[[str], tuple[bytes, str]], bound: int):
+    def __init__(self, make: Callable, bound: int):
         super().__init__()
-        self.make, self.bound = make, bound
+        self.make, self.bound, self.older = make, bound, {}
 
-    def __missing__(self, key: str) -> tuple[bytes, str]:
-        value = self[key] = self.make(key)
+    def __missing__(self, key):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+        self[key] = value
         return value
 
     def make_room(self) -> None:
         if len(self) > self.bound:
+            self.older = dict(self)
             self.clear()
 
 
@@ -273,10 +259,9 @@ def encode_decode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
             for lo in range(0, batch.num_rows, step):
                 part = batch.slice(lo, step)
                 found = [e.encode(t) for t in part.column(1).to_pylist()]
-                ids = pa.array([i for i, _ in found], pa.binary())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), ids, pa.array([s for _, s in found], pa.string())], names=["id", "ids", "decoded"]
-                )
+                ids = pa.array([b"".join(f) for f in found], pa.binary())
+                decoded = pa.array([e.decode_parts(f) for f in found], pa.string())
+                yield pa.RecordBatch.from_arrays([part.column(0), ids, decoded], names=["id", "ids", "decoded"])
 
     schema = T.StructType(
         [

@@ -113,7 +113,7 @@ def pack(
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 for name, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    ids = e.encode(text)[0] + end
+                    ids = b"".join([*e.encode(text), end])
                     tokens, start = len(ids) // WIDTH, 0
                     names[row] = name
                     for length, k in cuts(tokens, capacity):
