@@ -10,10 +10,13 @@ from pyspark.sql import functions as F
 
 from logsight.llm.bpe import encode_decode
 from logsight.llm.exact_dedup import exact_dedup
+from logsight.llm.labels import fold
 from logsight.llm.near_dedup import near_dedup
 from logsight.llm.packing import pack
+from logsight.llm.quality import quality_model, quality_score
 from logsight.llm.suffix_dedup import suffix_dedup
 from logsight.llm.token_counts import token_counts
+from logsight.llm.toxicity import toxic_spans, toxicity_model, toxicity_score
 from logsight.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -58,6 +61,20 @@ def op2_bpe(spark, sf):
     )
 
 
+def _scored(docs: DataFrame, score, held_out, at_least: float) -> DataFrame:
+    return docs.select("doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), score.alias("score")).withColumn(
+        "predicted", F.when(F.col("score") >= at_least, 1).otherwise(0)
+    )
+
+
+@query
+def op3_quality(spark, sf):
+    """Quality scores of all documents, learnt from four fifths of the labels."""
+    docs, held_out = _table(spark, sf, "documents"), fold("doc_id", 5) == 0
+    model = quality_model(docs, _table(spark, sf, "labels"), ~held_out)
+    return _scored(docs, quality_score(docs, model), held_out, 0.3)
+
+
 @query
 def op4_token_counts(spark, sf):
     """Token counts of all documents, and which have more than 512."""
@@ -71,6 +88,14 @@ def op5_suffix_dedup(spark, sf):
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query
+def op6_toxicity(spark, sf):
+    """Toxicity scores of all documents, learnt from two thirds of the labels."""
+    docs, held_out = _table(spark, sf, "documents"), fold("doc_id", 3) == 1
+    model = toxicity_model(docs, _table(spark, sf, "labels"), ~held_out)
+    return _scored(docs, toxicity_score(docs, model), held_out, 0.7)
+
+
 @query
 def op8_exact_dedup(spark, sf):
     """Groups of documents that are equal without white space."""
