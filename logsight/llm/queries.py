@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logsight.llm.bpe import encode_decode
+from logsight.llm.chat import format_chats
 from logsight.llm.exact_dedup import exact_dedup
 from logsight.llm.labels import fold
 from logsight.llm.near_dedup import near_dedup
@@ -16,7 +17,8 @@ from logsight.llm.packing import pack
 from logsight.llm.quality import quality_model, quality_score
 from logsight.llm.suffix_dedup import suffix_dedup
 from logsight.llm.token_counts import token_counts
-from logsight.llm.toxicity import toxic_spans, toxicity_model, toxicity_score
+from logsight.llm.topk import top_k
+from logsight.llm.toxicity import toxicity_model, toxicity_score
 from logsight.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +98,13 @@ def op6_toxicity(spark, sf):
     return _scored(docs, toxicity_score(docs, model), held_out, 0.7)
 
 
+@query
+def op7_chat(spark, sf):
+    """The repaired and rendered turns of all conversations, pieces as digests."""
+    turns = format_chats(_table(spark, sf, "conversations"))
+    return turns.withColumn("piece_sha256", F.sha2("piece", 256)).drop("piece")
+
+
 @query
 def op8_exact_dedup(spark, sf):
     """Groups of documents that are equal without white space."""
@@ -119,6 +128,29 @@ WINDOW g AS (PARTITION BY text_sha256)
 """
 
 
+@query
+def op9_top_k(spark, sf):
+    """The ten vectors with the largest inner products with each hundredth one."""
+    vectors = _table(spark, sf, "embeddings")
+    return top_k(vectors, vectors.where("vec_id % 100 = 0"), k=10)
+
+
+ORACLE["op9_top_k"] = """
+WITH v AS (
+    SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(embedding) > 0
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+    FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id AND len(q.v) = len(c.v)
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+
 @query
 def op10_near_dedup(spark, sf):
     """Groups of documents whose three-word shingle sets have a similarity of 0.85 or more."""
