@@ -22,11 +22,11 @@ from logsight.llm.suffix_array import Shard, merge_shards
 from logsight.llm.text import U64, Hashed, prepare, ranges, whole_text
 
 GRAM = 16
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 SHARD_BYTES = 1 << 20
 #: Text in a group of documents, behind one bucket of anchors, and behind one bucket of anchor hashes.
 GROUP_TEXT = 8 << 20
-BUCKET_TEXT = 8 << 20
+BUCKET_TEXT = 4 << 20
 HASH_TEXT = 24 << 20
 LAST = np.iinfo(np.int64).max
 
@@ -314,9 +314,7 @@ def _found(sent: list[list[np.ndarray]], length: int) -> tuple[list, list]:
     doc, inside = (np.concatenate([x[k] for x in sent]).astype(np.int64) for k in (6, 7))
     sizes = windows + length - 1
     begins = np.cumsum(sizes) - sizes
-    hashed = Hashed(text)
-    anchor = hashed.slices(begins + offset, begins + offset + GRAM)
-    content = hashed.slices(begins, begins + sizes)
+    anchor, content = _snippet_hashes(text, begins, sizes, offset)
 
     # snippets by anchor, then content, then owner; anchors of one document only are done
     order = np.lexsort((ids, content, anchor))
@@ -353,6 +351,20 @@ def _found(sent: list[list[np.ndarray]], length: int) -> tuple[list, list]:
     return parts.tolist(), [_marks(*x) for x in zip(*pieces, strict=True)] if len(parts) else []
 
 
+def _snippet_hashes(text: np.ndarray, begins: np.ndarray, sizes: np.ndarray, offset: np.ndarray) -> tuple:
+    """Hashes of the snippets' anchors and contents, a block of snippets at a time."""
+    anchor, content = np.zeros(len(begins), U64), np.zeros(len(begins), U64)
+    lo = 0
+    while lo < len(begins):
+        hi = max(lo + 1, int(np.searchsorted(begins, begins[lo] + SHARD_BYTES)))
+        hashed = Hashed(text[begins[lo] : begins[hi - 1] + sizes[hi - 1]])
+        at = begins[lo:hi] - begins[lo]
+        anchor[lo:hi] = hashed.slices(at + offset[lo:hi], at + offset[lo:hi] + GRAM)
+        content[lo:hi] = hashed.slices(at, at + sizes[lo:hi])
+        lo = hi
+    return anchor, content
+
+
 def _flagged(text, begins, windows, owner, anchor, examined, length) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(snippet, start in it, size) of the spans of examined snippets that a lesser owner's snippet has."""
     which = np.flatnonzero(examined)

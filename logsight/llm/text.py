@@ -84,7 +84,7 @@ class Powers:
 
     def upto(self, n: int) -> None:
         if len(self.up) <= n:
-            size = max(n + 1, 2 * len(self.up))
+            size = n + 1 + (n >> 2)
             self.up, self.down = (self._table(b, size) for b in (_BASE, pow(_BASE, -1, 1 << 64)))
 
     @staticmethod
