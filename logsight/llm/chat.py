@@ -121,9 +121,9 @@ def format_chats(
 
     Turns stand in the order of turn (null last), role and text; position numbers them in their conversation
     from 0, an empty turn that is put in has the position of the turn it stands before. action is keep,
-    relabel, merge, relabel and merge, or insert; cost is the step's, so a conversation's costs add up to the
+    relabel, merge, relabel and merge, insert or end; cost is the step's, so a conversation's costs add up to the
     least possible. A conversation's rendering is its pieces in the order of position, puts in first: a message
-    is closed where the next one begins or the conversation ends.
+    is closed where the next one begins, the last one by a row of its own with action end.
 
     Roles count without case and outer white space; other and null roles are unknown and get the cheapest one.
     Null texts are empty; a null id is a conversation like any other. Repeated turns are turns. A merged text

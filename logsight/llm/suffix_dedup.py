@@ -40,12 +40,14 @@ def suffix_dedup(
     text_col: str = "text",
     length: int = 50,
     carry: list[str] | None = None,
+    as_text: bool = False,
 ) -> DataFrame:
     """(id, n_bytes, n_removed, n_spans, spans, kept, carried) of every row.
 
     A byte is removed if a string of `length` bytes that covers it also starts in a row with a smaller id,
     both as given. spans are the maximal removed runs, [start, end) in bytes of the UTF-8 text; kept is what
-    remains, as bytes. carried holds the columns named in carry.
+    remains, as bytes, or with as_text as text without the characters that lost a part. carried holds the
+    columns named in carry.
 
     Ids are integers; a null id is larger than all others. Rows with equal ids take nothing from each other.
     Null texts are empty. Texts shorter than length are never touched. Each window is in one snippet, so the
@@ -79,7 +81,7 @@ def suffix_dedup(
             T.StructField("n_removed", T.LongType()),
             T.StructField("n_spans", T.LongType()),
             T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
-            T.StructField("kept", T.BinaryType()),
+            T.StructField("kept", T.StringType() if as_text else T.BinaryType()),
             T.StructField("carried", rows.schema["carried"].dataType),
         ]
     )
@@ -421,13 +423,15 @@ def _remover(schema: T.StructType):
         found = found[np.argsort(found["doc"], kind="stable")]
         cuts = np.searchsorted(found["doc"], np.arange(len(group.raw) + 1))
         n_bytes, n_removed, spans, kept = [], [], [], []
+        as_text = pa.types.is_string(arrow.field("kept").type)
         for k, raw in enumerate(group.raw):
             runs = _union(found[cuts[k] : cuts[k + 1]], len(raw)) if cuts[k] < cuts[k + 1] else []
             edges = [0, *[x for r in runs for x in r], len(raw)]
             n_bytes.append(len(raw))
             n_removed.append(sum(b - a for a, b in runs))
             spans.append(runs)
-            kept.append(b"".join([raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]) if runs else raw)
+            left = b"".join([raw[a:b] for a, b in zip(edges[::2], edges[1::2], strict=True)]) if runs else raw
+            kept.append(left.decode("utf-8", "ignore") if as_text else left)
         order = pa.array(group.order)
         columns = {
             "id": docs.column("id").take(order), "carried": docs.column("carried").take(order),
