@@ -116,6 +116,7 @@ def format_chats(
     text_col: str = "text",
     costs: Costs | None = None,
     template: Template | None = None,
+    block_turns: int = BLOCK_TURNS,
 ) -> DataFrame:
     """(id, position, turn, role, new_role, action, piece, cost) of every turn, and of every turn put in.
 
@@ -147,7 +148,7 @@ def format_chats(
     n = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartitionByRange(n, *keys, F.rand(7)).sortWithinPartitions(*keys)
     blocks = _schema(rows, "part int, block bigint, at bigint")
-    dealt = written(dealt.mapInArrow(_in_blocks, blocks), "turns")
+    dealt = written(dealt.mapInArrow(_in_blocks(block_turns), blocks), "turns")
 
     steps_of = dealt.groupBy("id", "part", "block").agg(F.sort_array(F.collect_list(F.struct("at", "known"))).alias("steps"))
     matrix = steps_of.mapInArrow(_matrices(costs), _schema(rows.select("id"), "part int, block bigint, turns bigint, matrix array<bigint>"))
@@ -176,17 +177,20 @@ def _schema(rows: DataFrame, more: str) -> T.StructType:
     return T.StructType([*rows.schema.fields, *_fields(more)])
 
 
-def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Numbers the turns of each conversation inside this partition."""
-    part, last, count = TaskContext.get().partitionId(), _NONE, 0
-    for batch in batches:
-        at = np.zeros(batch.num_rows, np.int64)
-        for k, name in enumerate(batch.column(0).to_pylist()):
-            count = count + 1 if name == last and last is not _NONE else 0
-            at[k], last = count, name
-        columns = [pa.array([part] * len(at), pa.int32()), pa.array(at // BLOCK_TURNS), pa.array(at)]
-        names = [*batch.schema.names, "part", "block", "at"]
-        yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=names)
+def _in_blocks(block_turns: int):
+    """Numbers the turns of each conversation inside a partition."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, last, count = TaskContext.get().partitionId(), _NONE, 0
+        for batch in batches:
+            at = np.zeros(batch.num_rows, np.int64)
+            for k, name in enumerate(batch.column(0).to_pylist()):
+                count = count + 1 if last is not _NONE and name == last else 0
+                at[k], last = count, name
+            columns = [pa.array([part] * len(at), pa.int32()), pa.array(at // block_turns), pa.array(at)]
+            yield pa.RecordBatch.from_arrays([*batch.columns, *columns], names=[*batch.schema.names, "part", "block", "at"])
+
+    return run
 
 
 _NONE = object()

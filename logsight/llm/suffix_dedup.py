@@ -255,7 +255,7 @@ def _snippets(group: Group, s: Snippets, chosen: np.ndarray, part: int, length:
     kept_class = klass[stays]
     edges = np.flatnonzero(np.concatenate([[True], bucket[firsts][1:] != bucket[firsts][:-1]]))[: len(firsts)]
     out_bucket, payload = [-1 - part], [done]
-    for a, b in zip(edges, np.append(edges[1:], len(firsts)), strict=True):
+    for a, b in zip(edges, np.append(edges, len(firsts))[1:], strict=True):
         c = at[firsts[a:b]]
         lo, hi = np.searchsorted(kept_class, [a, b])
         o = at[stays[lo:hi]]
