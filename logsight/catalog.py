@@ -345,7 +345,7 @@ def fingerprint_counts(spark, sf):
 
 @query
 def fingerprint_features(spark, sf):
-    """D-01, I-10: the first half of the month counts, all of it is looked up."""
+    """D-01, I-10: the first day counts, the whole month is looked up."""
     log = query_log(spark, sf)
     early = log.where(F.col(S.TIME) < F.lit("2024-01-02").cast("timestamp"))
     counts = materialise(features.fingerprint_counts(early), "fingerprints")
@@ -749,15 +749,12 @@ def ratio_ceiling(spark, sf):
 
 # --- models ------------------------------------------------------------------------------------
 
-QUICK = models.ModelConfig(max_iter=5)
-
-
 @query
 def model_scores(spark, sf):
     """K-03 to K-11: a model trained on the first three weeks scores the rest."""
     log = materialise(query_log(spark, sf), "log")
     split = F.lit("2024-01-22").cast("timestamp")
-    fitted = models.train_on(log.where(F.col(S.TIME) < split), QUICK)
+    fitted = models.train_on(log.where(F.col(S.TIME) < split), models.ModelConfig())
     later = log.where(F.col(S.TIME) >= split)
     if fitted is None:  # fewer usable rows than a model needs
         return later.select("query_id", F.lit(None).cast("double").alias("pred_execution_ms")).where(F.lit(False))
@@ -769,7 +766,7 @@ def model_hits(spark, sf):
     """K-11, A-23: a saved and reloaded model finds anomalies in a raw batch."""
     lake = _new_lake(spark, "ml")
     log = materialise(query_log(spark, sf), "log")
-    fitted = models.train_on(log, QUICK)
+    fitted = models.train_on(log, models.ModelConfig())
     if fitted is None:
         return spark.createDataFrame([], S.ANOMALY_HIT)
     registry.register(lake, fitted, CHECK_DAY)
@@ -783,7 +780,7 @@ def backtest_ledger(spark, sf):
     lake = _new_lake(spark, "backtest")
     log = materialise(query_log(spark, sf), "log")
     config = backtest.BacktestConfig(
-        model=models.ModelConfig(max_iter=3, drop_cached_train=True, train_window_days=7),
+        model=models.ModelConfig(drop_cached_train=True, train_window_days=7),
         retrain_every_days=14,
         control_sample=10,
     )
@@ -806,7 +803,7 @@ def streamed_hour_stats(spark, sf):
     """J-01 to J-05, J-08: closed one-hour windows of a stream, with remembered cluster sizes."""
     lake = _new_lake(spark, "stream")
     run = stream_stats.start_stats(
-        _event_stream(spark, sf), lake, lake.path("checkpoint"), {"availableNow": True}, width="1 hour"
+        _event_stream(spark, sf), lake, lake.path("checkpoint"), {"availableNow": True}, width="1 hour", delay="0 seconds"
     )
     run.awaitTermination()
     return stream_stats.read_stats(lake).drop("day")

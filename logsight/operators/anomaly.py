@@ -120,7 +120,7 @@ def hits(flagged: DataFrame) -> DataFrame:
         if source not in flagged.columns:
             zero = name.endswith("_ms") or name == "under_ratio"
             return (F.lit(0.0) if zero else F.lit(None)).cast(kind)
-        col = F.col(source).cast(kind)
+        col = F.col(source).try_cast(kind)  # an id that is no number is NULL
         if name.endswith("_ms") or name == "under_ratio":
             return F.coalesce(col, F.lit(0.0))
         return F.coalesce(col, F.lit("")) if name == "anomaly_reason" else col

@@ -18,7 +18,7 @@ from logsight.operators.anomaly import (
 from logsight.operators.ranks import instance_ranks
 from logsight.operators.sampling import sample_per_group
 from logsight.plans.models import ModelConfig, StageModels, score, train_on
-from logsight.scratch import materialise
+from logsight.scratch import Scratch, delete_folder
 from logsight.sources import files, registry
 from logsight.sources.store import Lakehouse, ledger_rows, metadata_rows, pending_days
 
@@ -44,34 +44,45 @@ LEDGER = "processed_days"
 RANKED_BY = ("day", S.INSTANCE)
 
 
-def process_days(lake: Lakehouse, events: DataFrame, models: StageModels, config: BacktestConfig) -> None:
+def process_days(
+    lake: Lakehouse, days: list[date], events: DataFrame, models: StageModels, config: BacktestConfig
+) -> None:
     """Score the days of a frame with one model; write anomalies, controls, summaries and ledger.
 
     All days of a model go through the same few jobs. All rows count in the ranks of their day, but
     only long ones can be flagged and need theirs looked up. All tables are written per (day,
     stage), so running a day again replaces it.
     """
-    c, stage, target, pred = config, models.config.stage, models.config.target, "pred_execution_ms"
-    scored = materialise(score(models, events).withColumn("stage", F.lit(stage)), "scored")
+    with Scratch(lake.spark) as keep:
+        _process(lake, days, events, models, config, keep)
+
+
+def _process(lake, days: list[date], events: DataFrame, models: StageModels, c: BacktestConfig, keep: Scratch) -> None:
+    stage, target, pred = models.config.stage, models.config.target, "pred_execution_ms"
+    scored = keep(score(models, events).withColumn("stage", F.lit(stage)), "scored")
     ranks = instance_ranks(scored, target, pred, RANKED_BY)
     long = is_long(scored, target, c.thresholds)
 
     def flagged(rows: DataFrame) -> DataFrame:
         return flag_rows(rows, ranks, target, pred, c.thresholds, RANKED_BY)
 
-    checked = materialise(flagged(scored.where(long)), "checked")
+    checked = keep(flagged(scored.where(long)), "checked")
     hits = checked.where("is_anomaly")
-    _write_days(lake, "anomalies", hits)
+    _write_days(lake, "anomalies", hits, days, stage)
     for key, table in (("instance_id", "daily_instance_anomaly_summary"), ("user_id", "daily_user_anomaly_summary")):
-        _write_days(lake, table, anomaly_summary(hits, key, ["day", "stage"]))
+        _write_days(lake, table, anomaly_summary(hits, key, ["day", "stage"]), days, stage)
     if c.control_sample > 0:
         cleared = checked.where(~F.col("is_anomaly")).select(*scored.columns)
         pool = scored.where(~long).unionByName(cleared)
-        _write_days(lake, "controls", flagged(sample_per_group(pool, c.control_sample, ["day"], seed=c.seed)))
-    lake.append(LEDGER, ledger_rows(scored, hits, stage))
+        sampled = flagged(sample_per_group(pool, c.control_sample, ["day"], seed=c.seed))
+        _write_days(lake, "controls", sampled, days, stage)
+    day_frame = lake.spark.createDataFrame([(d,) for d in days], "day date")
+    lake.append(LEDGER, ledger_rows(day_frame, scored, hits, stage))
 
 
-def _write_days(lake: Lakehouse, table: str, rows: DataFrame) -> None:
+def _write_days(lake: Lakehouse, table: str, rows: DataFrame, days: list[date], stage: str) -> None:
+    for d in days:  # a day without rows now must not keep those of an earlier run
+        delete_folder(lake.spark, f"{lake.path(table)}/day={d.isoformat()}/stage={stage}")
     (
         rows.hint("rebalance", "day")
         .write.mode("overwrite")
@@ -99,7 +110,7 @@ def _run(lake: Lakehouse, days: list[date], read_days, config: BacktestConfig, f
             continue
         registry.register(lake, models, days[i])
         block = [d for d in days[i: i + every] if d in todo]
-        process_days(lake, read_days(block), models, config)
+        process_days(lake, block, read_days(block), models, config)
         processed += block
         i += every
     return processed
@@ -135,12 +146,15 @@ def run_follow(
     lake: Lakehouse,
     config: BacktestConfig = BacktestConfig(),
     pattern: str = "*.parquet",
+    start: date | None = None,
+    end: date | None = None,
 ) -> list[date]:
     """The same over a folder of daily files; days in the ledger are skipped."""
     listed = files.daily_files(spark, folder, pattern).collect()  # one row per file
     by_day: dict[date, list[str]] = {}
     for r in listed:
-        by_day.setdefault(r["day"], []).append(r["path"])
+        if (start is None or r["day"] >= start) and (end is None or r["day"] <= end):
+            by_day.setdefault(r["day"], []).append(r["path"])
     if not by_day:
         raise ValueError("no daily file has a date in its name")
     columns = files_columns(config)

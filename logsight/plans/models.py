@@ -28,7 +28,7 @@ from logsight.functions import values as V
 from logsight.operators.features import FeatureSpec, feature_spec, fingerprint_counts, prepare
 from logsight.operators.order_stats import exact_quantiles
 from logsight.operators.sampling import sample_rows
-from logsight.scratch import materialise
+from logsight.scratch import Scratch, materialise, scratch_dir
 
 #: Stands for a missing number: trees split it off, and the indicator columns name it.
 MISSING = -1.0
@@ -48,6 +48,7 @@ class ModelConfig:
     drop_cached_train: bool = False
     drop_aborted: bool = True
     train_window_days: int = 14
+    #: Rows that models are fitted on, a fixed sample of the window; fingerprints are counted over all of it.
     max_train_rows: int = 400_000
     min_train_rows: int = 500
     conservative: bool = True
@@ -59,7 +60,12 @@ class ModelConfig:
     step_size: float = 0.05
     min_leaf_rows: int = 50
     validation_fraction: float = 0.1
-    validation_tol: float = 1e-5
+    #: Boosting ends when the held-out loss has not fallen by a millionth in so many rounds.
+    patience: int = 15
+    classifier_depth: int = 8
+    classifier_iter: int = 250
+    classifier_step: float = 0.08
+    classifier_leaf_rows: int = 80
     seed: int = 0
 
 
@@ -142,26 +148,19 @@ def train(prepared: DataFrame, fingerprints: DataFrame, config: ModelConfig) ->
     try:
         if frame.count() < config.min_train_rows:
             return None
-        mean = GBTRegressor(
-            lossType="squared",
-            maxDepth=config.max_depth,
-            stepSize=config.step_size,
-            maxIter=config.max_iter,
-            minInstancesPerNode=config.min_leaf_rows,
-            validationIndicatorCol="held_out",
-            validationTol=config.validation_tol,
-            seed=config.seed,
-            predictionCol="_mean_log",
-        ).fit(frame)
+        mean = fit_mean(frame, config)
+        # what the mean misses, and its quantile in each leaf of a tree over it
+        missed = mean.transform(frame).withColumn("missed", F.col("label") - F.col("_mean_log")).drop("_mean_log")
         tree = DecisionTreeRegressor(
+            labelCol="missed",
             maxDepth=config.max_depth,
             minInstancesPerNode=config.min_leaf_rows,
             leafCol="_leaf",
             predictionCol="_tree_log",
             seed=config.seed,
-        ).fit(frame)
+        ).fit(missed)
         leaves = exact_quantiles(
-            tree.transform(frame), ["_leaf"], {"y": F.col("label")}, [config.quantile]
+            tree.transform(missed), ["_leaf"], {"y": F.col("missed")}, [config.quantile]
         ).withColumnRenamed("y_q0", "_q_log")
         models = StageModels(
             config=config,
@@ -179,6 +178,50 @@ def train(prepared: DataFrame, fingerprints: DataFrame, config: ModelConfig) ->
         frame.unpersist()
 
 
+def kept_rounds(losses: list[float], patience: int, tol: float = 1e-6) -> tuple[int, bool]:
+    """(rounds up to the least held-out loss, whether it has not fallen for `patience` rounds since)."""
+    best, at = float("inf"), 0
+    for i, loss in enumerate(losses):
+        if loss < best - tol:
+            best, at = loss, i
+        elif i - at >= patience:
+            return at + 1, True
+    return at + 1, False
+
+
+def fit_mean(frame: DataFrame, config: ModelConfig) -> GBTRegressionModel:
+    """Boosted trees up to the round with the least held-out loss, as far as patience goes.
+
+    Rounds are fitted in doubling numbers until the held-out loss has stopped falling, and then once more in
+    the number that is kept, which gives the same trees.
+    """
+    sc = frame.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:  # boosting cuts its lineage there
+        sc.setCheckpointDir(scratch_dir(frame.sparkSession))
+
+    def fit(rounds: int) -> GBTRegressionModel:
+        return GBTRegressor(
+            lossType="squared",
+            maxDepth=config.max_depth,
+            stepSize=config.step_size,
+            maxIter=rounds,
+            minInstancesPerNode=config.min_leaf_rows,
+            seed=config.seed,
+            predictionCol="_mean_log",
+        ).fit(learnt)
+
+    learnt, held_out = frame.where(~F.col("held_out")), frame.where("held_out")
+    if held_out.isEmpty():
+        return fit(config.max_iter)
+    rounds = min(config.max_iter, 2 * config.patience)
+    while True:
+        model = fit(rounds)
+        kept, stopped = kept_rounds(model.evaluateEachIteration(held_out, "squared"), config.patience)
+        if stopped or rounds >= config.max_iter:
+            return model if kept == rounds else fit(kept)
+        rounds = min(config.max_iter, 2 * rounds)
+
+
 def _fit_classifiers(frame: DataFrame, models: StageModels) -> None:
     c = models.config
     edges = quartile_edges(frame, "y_ms").first()
@@ -187,8 +230,8 @@ def _fit_classifiers(frame: DataFrame, models: StageModels) -> None:
     y = F.col("y_ms")
     models.quartile = RandomForestClassifier(
         labelCol="quartile",
-        maxDepth=c.max_depth,
-        minInstancesPerNode=c.min_leaf_rows,
+        maxDepth=c.classifier_depth,
+        minInstancesPerNode=c.classifier_leaf_rows,
         seed=c.seed,
         predictionCol="_quartile",
         rawPredictionCol="_quartile_raw",
@@ -198,9 +241,10 @@ def _fit_classifiers(frame: DataFrame, models: StageModels) -> None:
     if labelled.agg(F.count_distinct("explodes")).first()[0] == 2:
         boosted = GBTClassifier(
             labelCol="explodes",
-            maxDepth=c.max_depth,
-            maxIter=min(c.max_iter, 250),
-            minInstancesPerNode=c.min_leaf_rows,
+            maxDepth=c.classifier_depth,
+            maxIter=c.classifier_iter,
+            stepSize=c.classifier_step,
+            minInstancesPerNode=c.classifier_leaf_rows,
             seed=c.seed,
             predictionCol="_explodes",
         )
@@ -216,7 +260,7 @@ def predict(models: StageModels, prepared: DataFrame) -> DataFrame:
     # one row per leaf: at most 2**max_depth rows, whatever the data
     df = df.join(F.broadcast(models.leaf_quantiles), "_leaf", "left")
     mean_ms = V.from_log(F.col("_mean_log"), c.min_pred_ms)
-    q_ms = V.from_log(F.coalesce(F.col("_q_log"), F.col("_tree_log")), c.min_pred_ms)
+    q_ms = V.from_log(F.col("_mean_log") + F.coalesce(F.col("_q_log"), F.col("_tree_log")), c.min_pred_ms)
     p_explode, quartile = F.lit(0.0), F.lit(0).cast("long")
     if models.explode is not None:
         df = models.explode.transform(df)
@@ -232,19 +276,19 @@ def predict(models: StageModels, prepared: DataFrame) -> DataFrame:
 
 
 def train_on(raw: DataFrame, config: ModelConfig) -> StageModels | None:
-    """Cap, count fingerprints, prepare and fit; None when too few usable rows remain."""
-    needed = [c for c in S.scoring_columns(config.target) if c in raw.columns]
-    capped = sample_rows(raw.select(*needed), config.max_train_rows, seed=config.seed)
-    fingerprints = materialise(fingerprint_counts(capped), "fingerprints")
-    prepared = prepare(
-        capped,
-        fingerprints,
-        feature_spec(config.stage, config.target),
-        config.rare_below,
-        drop_cached=config.drop_cached_train,
-        drop_aborted=config.drop_aborted,
-    )
-    return train(prepared, fingerprints, config)
+    """Count fingerprints over all rows, sample, prepare and fit; None when too few usable rows remain."""
+    needed = raw.select(*[c for c in S.scoring_columns(config.target) if c in raw.columns])
+    fingerprints = materialise(fingerprint_counts(needed), "fingerprints")
+    with Scratch(raw.sparkSession) as keep:
+        prepared = prepare(
+            keep(sample_rows(needed, config.max_train_rows, seed=config.seed), "sample"),
+            fingerprints,
+            feature_spec(config.stage, config.target),
+            config.rare_below,
+            drop_cached=config.drop_cached_train,
+            drop_aborted=config.drop_aborted,
+        )
+        return train(keep(prepared, "prepared"), fingerprints, config)
 
 
 def score(models: StageModels, raw: DataFrame) -> DataFrame:

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a local one only when none is set."""
+    """The folder the cluster names for checkpoints. A local one stands in for it in local mode only."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", named)
     return named
@@ -22,12 +24,35 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_dir(spark).rstrip('/')}/logsight/{label}-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+def delete_folder(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None, path: str | None = None) -> DataFrame:
     """Write a result once and read it back: later uses scan it with known size and statistics."""
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = path or scratch_path(spark, label)
     writer = df.write.option("compression", "lz4")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+class Scratch:
+    """Intermediate results of one piece of work, deleted with it: ``with Scratch(spark) as keep: keep(df, "x")``."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def __enter__(self) -> Scratch:
+        return self
+
+    def __call__(self, df: DataFrame, label: str) -> DataFrame:
+        self.paths.append(scratch_path(self.spark, label))
+        return materialise(df, label, path=self.paths[-1])
+
+    def __exit__(self, *_: object) -> None:
+        for path in self.paths:
+            delete_folder(self.spark, path)

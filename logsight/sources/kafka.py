@@ -9,26 +9,36 @@ from pyspark.sql import types as T
 from logsight.functions import values as V
 
 
-def source_options(servers: str, topic: str, starting: str = "latest", max_offsets: int | None = None) -> dict:
+def source_options(
+    servers: str, topic: str, starting: str = "latest", max_offsets: int | None = None, allow_data_loss: bool = False
+) -> dict:
+    """Options of a topic as a source. Offsets that are gone end the stream unless their loss is allowed."""
     if starting not in ("earliest", "latest"):
         raise ValueError(f"starting offsets must be earliest or latest, not {starting!r}")
     options = {
         "kafka.bootstrap.servers": servers,
         "subscribe": topic,
         "startingOffsets": starting,
-        "failOnDataLoss": "false",
+        "failOnDataLoss": str(not allow_data_loss).lower(),
     }
     if max_offsets:
         options["maxOffsetsPerTrigger"] = str(max_offsets)
     return options
 
 
-def read_topic(spark: SparkSession, servers: str, topic: str, starting: str = "latest", max_offsets: int | None = None) -> DataFrame:
+def read_topic(
+    spark: SparkSession,
+    servers: str,
+    topic: str,
+    starting: str = "latest",
+    max_offsets: int | None = None,
+    allow_data_loss: bool = False,
+) -> DataFrame:
     """Messages as a stream with a text ``value`` column.
 
     Every query over this frame keeps its own checkpoint, which plays the part of a consumer group.
     """
-    options = source_options(servers, topic, starting, max_offsets)
+    options = source_options(servers, topic, starting, max_offsets, allow_data_loss)
     return spark.readStream.format("kafka").options(**options).load().select(F.col("value").cast("string").alias("value"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsight.plans.models import StageModels, load_models, save_models
+from logsight.scratch import delete_folder
 from logsight.sources.store import Lakehouse
 
 REGISTRY = "models"
@@ -49,7 +50,7 @@ def superseded(lake: Lakehouse, stage: str, keep: int = KEEP) -> DataFrame:
 
 
 def register(lake: Lakehouse, models: StageModels, trained_on: date, keep: int = KEEP) -> str:
-    """Save a version, make it the latest and retire all but the newest few; returns its tag."""
+    """Save a version, make it the latest and retire all but the newest few with their files; returns its tag."""
     stage = models.config.stage
     tag = f"model_{stage}_{trained_on.isoformat()}"
     path = f"{lake.path('model_files')}/{tag}-{uuid.uuid4().hex[:8]}"
@@ -64,8 +65,11 @@ def register(lake: Lakehouse, models: StageModels, trained_on: date, keep: int =
         F.lit(False).alias("retired"),
     )
     lake.append(REGISTRY, entry)
+    gone = [r["path"] for r in superseded(lake, stage, keep).select("path").collect()]  # the few versions over keep
     old = superseded(lake, stage, keep).withColumns({"retired": F.lit(True), "created_at": F.current_timestamp()})
     lake.append(REGISTRY, old.select(*REGISTRY_SCHEMA.names))
+    for folder in gone:
+        delete_folder(lake.spark, folder)
     return tag
 
 

@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import json
+import uuid
 from dataclasses import dataclass
 from datetime import date
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsight import schema as S
+from logsight.scratch import delete_folder
 
 
 @dataclass(frozen=True)
@@ -61,16 +63,15 @@ class Lakehouse:
     def append(self, table: str, df: DataFrame, partition_by: list[str] | None = None) -> None:
         """Append, adding new columns and leaving absent ones NULL; nothing to add is no change.
 
-        Columns keep the type they were first written with, and are matched by name.
+        Columns keep the type they were first written with, and are matched by name. A value that does not
+        fit that type ends the job: nothing is stored as NULL that was not.
         """
         df = df.select(*[c for c in df.columns if not isinstance(df.schema[c].dataType, T.NullType)])
         if df.isEmpty():
             return
         if self.exists(table):
             known = {f.name: f.dataType for f in self.read(table).schema}
-            df = df.select(
-                *[F.col(c).try_cast(known[c]).alias(c) if c in known else F.col(c) for c in df.columns]
-            )
+            df = df.select(*[fitting(F.col(c), known[c], c).alias(c) if c in known else F.col(c) for c in df.columns])
         if partition_by:
             df = df.hint("rebalance", *partition_by)  # few files per partition, busy ones split
         writer = df.write.mode("append")
@@ -78,23 +79,42 @@ class Lakehouse:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(self.path(table))
 
-    def replace_batch(self, table: str, df: DataFrame, batch_id: int, day_of: str) -> None:
-        """Write one micro-batch under its own partitions; a replay replaces itself."""
-        keyed = df.withColumns({"day": F.to_date(day_of), "batch_id": F.lit(int(batch_id)).cast("long")})
+    def replace_batch(self, table: str, df: DataFrame, batch_id: int, day_of: str, run: str) -> None:
+        """Write one micro-batch of a run under its own partitions; a replay replaces itself.
+
+        Batches are numbered from 0 in each checkpoint, so run names the one they belong to.
+        """
+        keys = {"day": F.to_date(day_of), "run": F.lit(run), "batch_id": F.lit(int(batch_id)).cast("long")}
+        keyed = df.withColumns(keys)
         (
             keyed.hint("rebalance", "day")  # few files per day, and a busy day is split
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("day", "batch_id")
+            .partitionBy("day", "run", "batch_id")
             .parquet(self.path(table))
         )
 
     def drop_day_partitions(self, table: str, days: list[date]) -> None:
-        hadoop = self.spark._jvm.org.apache.hadoop.fs.Path
-        conf = self.spark._jsc.hadoopConfiguration()
         for d in days:
-            folder = hadoop(f"{self.path(table)}/day={d.isoformat()}")
-            folder.getFileSystem(conf).delete(folder, True)
+            delete_folder(self.spark, f"{self.path(table)}/day={d.isoformat()}")
+
+
+def run_id(spark: SparkSession, checkpoint: str) -> str:
+    """A name for the runs of one checkpoint, kept beside it."""
+    path = f"{checkpoint.rstrip('/')}/run-id"
+    try:
+        return spark.read.text(path).first()["value"]
+    except AnalysisException:
+        made = uuid.uuid4().hex[:12]
+        spark.createDataFrame([(made,)], "value string").coalesce(1).write.text(path)
+        return made
+
+
+def fitting(value: Column, kind: T.DataType, name: str) -> Column:
+    """The value as another type; one that is not NULL and would be becomes an error."""
+    cast = value.try_cast(kind)
+    problem = F.concat(F.lit(f"column {name} does not fit {kind.simpleString()}: "), value.cast("string"))
+    return F.when(value.isNotNull() & cast.isNull(), F.raise_error(problem).cast(kind)).otherwise(cast)
 
 
 # --- run metadata and ledger -------------------------------------------------------------------
@@ -106,18 +126,17 @@ def metadata_rows(spark: SparkSession, meta: dict) -> DataFrame:
     return spark.createDataFrame(rows, "k string, v string")
 
 
-def ledger_rows(scored: DataFrame, hits: DataFrame, stage: str) -> DataFrame:
-    """Per day: how many rows were scored and how many flagged."""
+def ledger_rows(days: DataFrame, scored: DataFrame, hits: DataFrame, stage: str) -> DataFrame:
+    """For each of the days: how many rows were scored and how many flagged, none too."""
     size = F.count(F.lit(1))
     found = hits.groupBy("day").agg(size.alias("found"))
     return (
-        scored.groupBy("day")
-        .agg(size.alias("rows_scored"))
+        days.join(scored.groupBy("day").agg(size.alias("scored")), "day", "left")
         .join(found, "day", "left")
         .select(
             "day",
             F.lit(stage).alias("stage"),
-            "rows_scored",
+            F.coalesce("scored", F.lit(0).cast("long")).alias("rows_scored"),
             F.coalesce("found", F.lit(0).cast("long")).alias("rows_anoms"),
             F.current_timestamp().alias("inserted_at"),
         )

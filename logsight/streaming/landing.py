@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from logsight import schema as S
 from logsight.sources.ingest import landable
-from logsight.sources.store import Lakehouse, waiting_writers
+from logsight.sources.store import Lakehouse, run_id, waiting_writers
 
 CODECS = ("lz4", "zstd")
 
@@ -32,12 +32,14 @@ def start_landing(events: DataFrame, path: str, checkpoint: str, trigger: dict,
 def start_progress(events: DataFrame, lake: Lakehouse, writer: str, checkpoint: str, trigger: dict):
     """Keep, per batch and day, how far a writer has got in event time."""
 
+    run = run_id(lake.spark, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         seen = batch.groupBy(F.to_date(S.TIME).alias("seen_day")).agg(
             F.count(F.lit(1)).alias("rows"), F.max(S.TIME).alias("latest")
         )
         named = seen.withColumn("writer", F.lit(writer))
-        lake.replace_batch(f"landing_progress_{writer}", named, batch_id, "seen_day")
+        lake.replace_batch(f"landing_progress_{writer}", named, batch_id, "seen_day", run)
 
     return (
         events.select(S.TIME)

@@ -11,15 +11,17 @@ from logsight import schema as S
 from logsight.operators.anomaly import AnomalyThresholds, anomalies, hits
 from logsight.operators.windows import DEFAULT_WIDTH, stamp_window
 from logsight.plans.models import StageModels, score
-from logsight.scratch import materialise
+from logsight.scratch import Scratch, materialise
 from logsight.sources import registry
 from logsight.sources.ingest import normalise_batch
-from logsight.sources.store import ANOMALIES_TABLE, Lakehouse
+from logsight.sources.store import ANOMALIES_TABLE, Lakehouse, run_id
 
 
-def detect(models: StageModels, raw: DataFrame, t: AnomalyThresholds = AnomalyThresholds()) -> DataFrame:
+def detect(
+    models: StageModels, raw: DataFrame, t: AnomalyThresholds = AnomalyThresholds(), keep: Scratch | None = None
+) -> DataFrame:
     """Raw events to anomaly hits. Ranks are taken within the given rows."""
-    scored = materialise(score(models, normalise_batch(raw)), "scored")
+    scored = (keep or materialise)(score(models, normalise_batch(raw)), "scored")
     return hits(anomalies(scored, models.config.target, "pred_execution_ms", t))
 
 
@@ -38,6 +40,7 @@ def start_scoring(
     The registry is asked before each batch, so a new model takes effect with the next one.
     """
     loaded: dict[str, StageModels] = {}
+    name = run_id(lake.spark, checkpoint)
 
     def current() -> StageModels | None:
         row = registry.latest(lake, stage).first()
@@ -52,11 +55,12 @@ def start_scoring(
         models = current()
         if models is None or batch.isEmpty():
             return
-        found = materialise(stamp_window(detect(models, batch, t), width), "hits")
-        rows = found.select(*[F.col(f.name).cast(f.dataType) for f in S.ANOMALIES])
-        lake.replace_batch(ANOMALIES_TABLE, rows, batch_id, "window_start")
-        if publish is not None:
-            publish(rows)
+        with Scratch(lake.spark) as keep:
+            found = keep(stamp_window(detect(models, batch, t, keep), width), "hits")
+            rows = found.select(*[F.col(f.name).cast(f.dataType) for f in S.ANOMALIES])
+            lake.replace_batch(ANOMALIES_TABLE, rows, batch_id, "window_start", name)
+            if publish is not None:
+                publish(rows)
 
     return (
         events.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger).foreachBatch(run).start()
@@ -75,8 +79,10 @@ def start_anomaly_windows(
     For anomalies that come from a topic: a lakehouse is filled by this or by scoring, not both.
     """
 
+    name = run_id(lake.spark, checkpoint)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = stamp_window(batch, width).select(*[F.col(f.name).cast(f.dataType) for f in S.ANOMALIES])
-        lake.replace_batch(ANOMALIES_TABLE, rows, batch_id, "window_start")
+        lake.replace_batch(ANOMALIES_TABLE, rows, batch_id, "window_start", name)
 
     return hit_events.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger).foreachBatch(write).start()

@@ -3,21 +3,29 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logsight import schema as S
 from logsight.functions.classify import ClassThresholds
 from logsight.operators.windows import DEFAULT_WIDTH, window_counts
-from logsight.sources.store import MINUTE_STATS_TABLE, Lakehouse, enforce_retention
+from logsight.sources.store import MINUTE_STATS_TABLE, Lakehouse, enforce_retention, run_id
 from logsight.streaming.events import with_watermark
 
 
+#: How long windows stay open past the newest event of any instance, for instances that lag behind.
+DELAY = "1 hour"
+
+
 def closed_windows(
     events: DataFrame,
     width: str = DEFAULT_WIDTH,
-    delay: str = "0 seconds",
+    delay: str = DELAY,
     t: ClassThresholds = ClassThresholds(),
 ) -> DataFrame:
-    """Window rows as they close; later events for a closed window are dropped.
+    """Window rows as they close; later events for a closed window are dropped and counted by Spark.
+
+    The newest event of all instances moves the watermark, so delay must cover the lag between instances. A
+    bounded log is better summarised as a batch, which closes every window.
 
     The cluster size is the window's own last one, or NULL when no event had any.
     """
@@ -76,7 +84,7 @@ def start_stats(
     checkpoint: str,
     trigger: dict,
     width: str = DEFAULT_WIDTH,
-    delay: str = "0 seconds",
+    delay: str = DELAY,
     keep_days: int | None = None,
     archive: str | None = None,
 ):
@@ -85,10 +93,14 @@ def start_stats(
     With ``keep_days`` only that many of the latest days stay; older ones move to ``archive``.
     """
     keep_state_on_disk(lake.spark)
+    run = run_id(lake.spark, checkpoint)
+    newest: list = [None]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        lake.replace_batch(MINUTE_STATS_TABLE, batch.select(*S.MINUTE_STATS.names), batch_id, "window_start")
-        if keep_days and lake.exists(MINUTE_STATS_TABLE):
+        lake.replace_batch(MINUTE_STATS_TABLE, batch.select(*S.MINUTE_STATS.names), batch_id, "window_start", run)
+        day = batch.agg(F.max(F.to_date("window_start"))).first()[0] if keep_days else None
+        if day is not None and day != newest[0]:  # days only leave when one is added
+            newest[0] = day
             enforce_retention(lake, MINUTE_STATS_TABLE, keep_days, archive or lake.path("archive"))
 
     return (

@@ -2,10 +2,11 @@
 
 import pyarrow as pa
 import pyarrow.feather as feather
+import pytest
 from pyspark.sql import functions as F
 
 from logsight import schema as S
-from logsight.__main__ import parser, run, train_latest
+from logsight.__main__ import backtest_config, parser, run, train_latest
 from logsight.sources import kafka
 from logsight.sources.arrow_shards import scan_shards
 from logsight.sources.store import Lakehouse
@@ -41,6 +42,34 @@ def test_stream_with_retention(spark, log, tmp_path):
     assert old.select(F.to_date("window_start")).distinct().count() == 2
 
 
+def test_bounded_statistics_close_every_window(spark, log, tmp_path):
+    day = log.where("arrival_timestamp < timestamp '2024-01-02'")
+    kafka.as_messages(day).select("value").write.text(str(tmp_path / "in"))
+    words = ["--messages", str(tmp_path / "in"), "--checkpoint", str(tmp_path / "c"), "--window", "1 hour", "--bounded"]
+    job(spark, tmp_path, "stats", *words)
+    kept = Lakehouse(spark, str(tmp_path), "stream").read("minute_stats")
+    assert kept.agg(F.sum("total_queries")).first()[0] == day.count()
+
+
+def test_lost_offsets_end_a_stream_unless_allowed():
+    assert kafka.source_options("s", "t")["failOnDataLoss"] == "true"
+    assert kafka.source_options("s", "t", allow_data_loss=True)["failOnDataLoss"] == "false"
+
+
+def test_too_little_to_train_on_is_an_error(spark, log, tmp_path):
+    log.limit(20).withColumn("day", F.to_date("arrival_timestamp")).write.parquet(str(tmp_path / "few"))
+    with pytest.raises(ValueError, match="fewer than 500 rows"):
+        train_latest(spark, Lakehouse(spark, str(tmp_path), "none"), str(tmp_path / "few"))
+
+
+def test_every_setting_has_a_flag():
+    words = ["--root", "r", "backtest", "--input", "i", "--quantile", "0.8", "--rare-below", "5", "--min-long-ms", "1", "--control-sample", "9"]
+    config = backtest_config(parser().parse_args(words))
+    assert (config.model.quantile, config.model.rare_below, config.thresholds.min_long_ms, config.control_sample) == (0.8, 5, 1.0, 9)
+    with pytest.raises(SystemExit):
+        backtest_config(parser().parse_args(["--root", "r", "backtest", "--input", "i", "--retrain-every-days", "0"]))
+
+
 def test_shards(spark, tmp_path):
     for i in range(2):
         t = pa.table({"query_id": pa.array([i, i + 10], pa.int32()), "query_type": ["a", None], "extra": [1, 2]})

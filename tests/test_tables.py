@@ -1,5 +1,6 @@
 """Result tables: evolution, replay, ledger, retention, registry, backtest."""
 
+import os
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -24,8 +25,32 @@ def test_append_evolves(spark, lake):
 def test_replay_replaces_batch(spark, lake):
     rows = spark.createDataFrame([(datetime(2024, 1, 1), 1), (datetime(2024, 1, 2), 2)], "ts timestamp, x int")
     for batch in (0, 1, 1):
-        lake.replace_batch("t", rows, batch, "ts")
+        lake.replace_batch("t", rows, batch, "ts", "one")
     assert lake.read("t").count() == 4
+    lake.replace_batch("t", rows, 0, "ts", "two")  # batches of another checkpoint are others
+    assert lake.read("t").count() == 6
+
+
+def test_runs_are_named_by_their_checkpoint(spark, tmp_path):
+    a, b = (store.run_id(spark, str(tmp_path / x)) for x in "ab")
+    assert a != b and store.run_id(spark, str(tmp_path / "a")) == a
+
+
+def test_append_stores_no_null_for_a_value(spark, lake):
+    lake.append("n", spark.createDataFrame([(1,)], "x int"))
+    lake.append("n", spark.createDataFrame([("7",), (None,)], "x string"))
+    for odd in ("abc", "9999999999"):
+        with pytest.raises(Exception, match="does not fit int"):
+            lake.append("n", spark.createDataFrame([(odd,)], "x string"))
+    assert sorted(str(r["x"]) for r in lake.read("n").collect()) == ["1", "7", "None"]
+
+
+@pytest.mark.parametrize(
+    ("losses", "kept"),
+    [([3, 2, 1], (3, False)), ([1, 2, 2, 2], (1, True)), ([3, 1, 2, 0.5, 1, 1, 1], (4, True)), ([2, 2, 2], (1, False))],
+)
+def test_boosting_waits_before_it_stops(losses, kept):
+    assert models.kept_rounds(losses, 3) == kept
 
 
 @pytest.mark.parametrize("present,kept", [(7, 7), (8, 8), (9, 8)])
@@ -121,6 +146,29 @@ def test_unseen_category_is_scored(log, fitted):
     assert out.where("pred_execution_ms >= 1").count() == out.count()
 
 
+def test_fingerprints_are_counted_over_all_rows(spark, log):
+    few = models.ModelConfig(max_train_rows=2000, max_iter=2)
+    counted = models.train_on(log, few).fingerprints.agg(F.sum("fp_freq")).first()[0]
+    assert counted == log.count()
+
+
+def test_boosting_gains_over_many_rounds(spark):
+    """A target that adds up over several features needs many small trees."""
+    import math
+
+    from pyspark.ml.feature import VectorAssembler
+
+    x = [f"x{i}" for i in range(6)]
+    rows = spark.range(6000).select("id", *[(F.rand(i) * 4).alias(c) for i, c in enumerate(x)])
+    label = sum((F.sin(F.col(c) * (i + 1)) * 2 for i, c in enumerate(x)), F.lit(0.0))
+    frame = rows.withColumn("label", label + F.randn(9) * 0.1).withColumn("held_out", F.col("id") % 5 == 0)
+    frame = VectorAssembler(inputCols=x, outputCol="features").transform(frame).cache()
+    config = models.ModelConfig(step_size=0.1, max_depth=3, max_iter=120, patience=15)
+    fitted = models.fit_mean(frame, config)
+    losses = fitted.evaluateEachIteration(frame.where("held_out"), "squared")
+    assert len(losses) > 50 and losses[-1] < 0.6 * losses[0] and not math.isnan(losses[-1])
+
+
 def test_too_few_rows(log):
     assert models.train_on(log.limit(100), QUICK) is None
 
@@ -130,6 +178,8 @@ def test_registry(spark, lake, log, fitted):
     for d in (1, 3, 5):
         registry.register(lake, fitted, date(2024, 1, d), keep=2)
     assert registry.versions(lake).count() == 2
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(lake.path("model_files"))
+    assert files.select(F.regexp_extract("path", "2024-01-0[135]", 0)).distinct().count() == 2
     tag, loaded = registry.load_latest(lake, S.STAGE)
     assert tag == "model_postcompile_2024-01-05"
     a = models.score(fitted, log).agg(F.sum("pred_execution_ms")).first()[0]
@@ -147,6 +197,8 @@ def test_backtest_is_incremental(spark, lake, log):
         retrain_every_days=2,
         control_sample=7,
     )
+    scratch = spark.conf.get("spark.checkpoint.dir") + "/logsight"
+    before = set(os.listdir(scratch))
     first = backtest.run_backtest(spark, log, lake, config, end=date(2024, 1, 4))
     assert first == [date(2024, 1, 3), date(2024, 1, 4)]
     anomalies = lake.read("anomalies").count()
@@ -155,6 +207,8 @@ def test_backtest_is_incremental(spark, lake, log):
     ledger = lake.read(backtest.LEDGER).collect()
     assert sum(r["rows_anoms"] for r in ledger) == anomalies
     assert lake.read("controls").count() == 14 and lake.read("controls").where("is_anomaly").count() == 0
+    left = set(os.listdir(scratch)) - before
+    assert not [f for f in left if f.startswith(("scored", "checked", "sample", "prepared"))]
     assert lake.read("daily_instance_anomaly_summary").agg(F.sum("anoms")).first()[0] == anomalies
 
 
