@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsight.llm.suffix_array import Shard, merge_shards
-from logsight.llm.text import U64, Hashed, prepare, ranges, whole_text
+from logsight.llm.text import U64, Hashed, mix, prepare, ranges, whole_text
 
 GRAM = 16
 BLOCK_BYTES = 1 << 20
@@ -139,8 +139,8 @@ class Snippets:
         none = [np.zeros(0, k) for k in (np.int64,) * 5 + (U64,) * 2]
         columns = [np.concatenate([n, *[f[k] for f in found]]) for k, n in enumerate(none)]
         self.doc, self.first, self.inside, self.windows, self.offset, self.anchor, self.content = columns
-        #: 48 bits of each anchor's hash, and the distinct ones
-        self.short = self.anchor >> U64(16)
+        #: 48 bits of each anchor's hash, mixed anew since anchors' hashes are small ones, and the distinct ones
+        self.short = mix(self.anchor) >> U64(16)
         self.distinct, self.which = np.unique(self.short, return_inverse=True)
 
 
