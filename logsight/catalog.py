@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import date
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -788,6 +789,40 @@ def backtest_ledger(spark, sf):
     return lake.read(backtest.LEDGER, S.PROCESSED_DAYS).select("day", "stage", "rows_scored", "rows_anoms")
 
 
+@query
+def model_bounds(spark, sf):
+    """K-08 to K-11: predictions are at least a millisecond, and the larger of mean and quantile."""
+    log = materialise(query_log(spark, sf), "log")
+    scored = models.score(models.train_on(log, models.ModelConfig(min_train_rows=1)), log)
+    used = F.col("pred_execution_ms")
+    return scored.agg(
+        F.count(F.lit(1)).alias("rows_scored"),
+        F.count_if(used < 1).alias("below_floor"),
+        F.count_if(used != F.greatest("pred_mean_ms", "pred_q_ms")).alias("not_larger"),
+    )
+
+
+@query
+def backtest_coverage(spark, sf):
+    """K-12, K-15, D-04: every day after the first two is in the ledger, with all its usable rows."""
+    lake = _new_lake(spark, "coverage")
+    log = materialise(query_log(spark, sf), "log")
+    model = models.ModelConfig(drop_cached_train=True, train_window_days=7, min_train_rows=1)
+    backtest.run_backtest(spark, log, lake, backtest.BacktestConfig(model=model, retrain_every_days=14))
+    return lake.read(backtest.LEDGER, S.PROCESSED_DAYS).select("day", "stage", "rows_scored")
+
+
+@query
+def category_codes(spark, sf):
+    """K-03, B-10: codes of the query types, in alphabetical order."""
+    spec = features.feature_spec()
+    prepared = features.prepare(query_log(spark, sf), None, spec)
+    coded = models.encode(prepared, spec, models.fit_indexer(prepared, spec))
+    place = spec.categorical.index("query_type")
+    code = F.get(vector_to_array("features"), F.lit(place)).cast("long")
+    return coded.select("query_id", "query_type", code.alias("code"))
+
+
 # --- streams -----------------------------------------------------------------------------------
 
 

@@ -525,5 +525,20 @@ SQL: dict[str, str] = {
 }
 
 
+SQL["model_bounds"] = f"""WITH {LOG}
+SELECT count(*) AS rows_scored, CAST(0 AS BIGINT) AS below_floor, CAST(0 AS BIGINT) AS not_larger
+FROM query_log WHERE NOT was_aborted"""
+
+SQL["backtest_coverage"] = f"""WITH {LOG},
+days AS (SELECT DISTINCT CAST(arrival_timestamp AS DATE) AS day FROM query_log),
+late AS (SELECT day FROM days ORDER BY day OFFSET 2)
+SELECT day, 'postcompile' AS stage, count(*) AS rows_scored
+FROM query_log JOIN late ON day = CAST(arrival_timestamp AS DATE) WHERE NOT was_aborted GROUP BY day"""
+
+SQL["category_codes"] = f"""WITH {LOG}
+SELECT query_id, query_type, dense_rank() OVER (ORDER BY query_type) - 1 AS code
+FROM query_log WHERE NOT was_aborted"""
+
+
 def oracle_sql() -> dict[str, str]:
     return dict(SQL)

@@ -115,4 +115,7 @@ def start_stats(
 
 def read_stats(lake: Lakehouse) -> DataFrame:
     """The statistics table with its partition column ``day``, by which reports prune."""
-    return lake.read(MINUTE_STATS_TABLE, S.MINUTE_STATS).select(*S.MINUTE_STATS.names, "day")
+    stored = lake.read(MINUTE_STATS_TABLE, S.MINUTE_STATS)
+    if "day" not in stored.columns:  # no window has been written yet
+        stored = stored.withColumn("day", F.to_date("window_start"))
+    return stored.select(*S.MINUTE_STATS.names, "day")

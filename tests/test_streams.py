@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from logsight import schema as S
 from logsight.operators.windows import minute_stats
+from logsight.operators.anomaly import AnomalyThresholds
 from logsight.plans import models
 from logsight.sources import kafka, registry
 from logsight.sources.store import ANOMALIES_TABLE
@@ -28,7 +29,7 @@ def put(folder, name, lines):
 
 def run_stats(spark, lake, folder, checkpoint):
     stream = events.events(events.message_files(spark, str(folder)))
-    stats.start_stats(stream, lake, checkpoint, NOW).awaitTermination()
+    stats.start_stats(stream, lake, checkpoint, NOW, delay="0 seconds").awaitTermination()
 
 
 def table(lake):
@@ -99,11 +100,12 @@ def test_scoring_needs_a_model_and_picks_up_a_new_one(spark, lake, log, tmp_path
     folder = tmp_path / "in"
     day1, day2 = (log.where(F.to_date("arrival_timestamp") == F.lit(f"2024-01-0{d}").cast("date")) for d in (1, 2))
     published = []
+    loose = AnomalyThresholds(min_long_ms=1.0, underestimate_ratio=1.0, underestimate_delta_ms=1.0)
 
     def run():
         source = spark.readStream.schema(log.schema).parquet(str(folder))
         query = scoring.start_scoring(
-            source, lake, str(tmp_path / "cp"), NOW, publish=lambda rows: published.append(kafka.as_messages(rows).count())
+            source, lake, str(tmp_path / "cp"), NOW, t=loose, publish=lambda rows: published.append(kafka.as_messages(rows).count())
         )
         query.awaitTermination()
 
@@ -114,7 +116,7 @@ def test_scoring_needs_a_model_and_picks_up_a_new_one(spark, lake, log, tmp_path
     registry.register(lake, fitted, date(2024, 1, 1))
     day2.write.mode("append").parquet(str(folder))
     run()
-    expected = scoring.detect(fitted, day2)
+    expected = scoring.detect(fitted, day2, loose)
     found = lake.read(ANOMALIES_TABLE)
     assert found.count() == expected.count() == published[0] > 0
     assert found.select(*S.ANOMALIES.names).where("window_start > arrival_timestamp").count() == 0
