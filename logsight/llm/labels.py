@@ -24,15 +24,14 @@ class Sample:
     y: np.ndarray
     rate: float
 
-    def halves(self) -> tuple[Sample, Sample]:
-        """Every other row of each class."""
-        order = np.zeros(len(self.y), np.int64)
+    def split(self, every: int) -> tuple[Sample, Sample]:
+        """All rows but each `every`-th of each class, and those."""
+        second = np.zeros(len(self.y), bool)
         for k in (0, 1):
-            at = np.flatnonzero(self.y == k)
-            order[at] = np.arange(len(at)) % 2
+            second[np.flatnonzero(self.y == k)[every - 1 :: every]] = True
         return tuple(
-            Sample([t for t, o in zip(self.texts, order, strict=True) if o == k], self.y[order == k], self.rate)
-            for k in (0, 1)
+            Sample([t for t, o in zip(self.texts, second, strict=True) if o == k], self.y[second == k], self.rate)
+            for k in (False, True)
         )
 
 

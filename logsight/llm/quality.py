@@ -58,7 +58,7 @@ def _dictionary(texts: list[str]) -> bytes:
 
 def fit(rows: Sample) -> CompressionModel:
     """Dictionaries from half of the rows, calibration on the other half."""
-    first, second = rows.halves()
+    first, second = rows.split(2)
     model = CompressionModel(*(_dictionary([t for t, y in zip(first.texts, first.y, strict=True) if y == k]) for k in (1, 0)))
     model.curve = calibrate(model.features(second.texts), second.y, rows.rate, degree=3)
     return model

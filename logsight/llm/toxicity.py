@@ -24,9 +24,10 @@ BLOCK_BYTES = 2 << 20
 PIECE = 128
 SLOT_BITS = 22
 FEATURES = 5
-#: A feature is toxic that is in at least so many toxic texts, and as often, relatively, in clean ones at most.
-LEAST_SUPPORT = 8
+#: A feature is toxic if it is hardly in clean texts (in this part of the share of toxic ones that have it) and in
+#: so many toxic texts as would all be toxic by chance this rarely.
 MOST_CLEAN = 0.01
+CHANCE = 0.003
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -170,8 +171,8 @@ def _blocks(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
 
 
 def fit(rows: Sample, rounds: int = 15, rate: float = 0.3, ridge: float = 1e-4) -> ToxicModel:
-    """Fitted on half of the rows by adaptive gradient steps, calibrated on the other half."""
-    first, second = rows.halves()
+    """Fitted on three quarters of the rows by adaptive gradient steps, calibrated on the others."""
+    first, second = rows.split(4)
     blocks = [(tokens(d, s), first.y[lo:hi]) for lo, hi, d, s in _blocks(first.texts)]
     toxic, keys = _toxic_features(blocks, first.y)
     model = ToxicModel(keys, np.zeros(len(keys)), -4.0, np.array([[0.95, 0.05], [0.7, 0.3]]))
@@ -228,13 +229,14 @@ def _toxic_features(blocks: list, y: np.ndarray) -> tuple[np.ndarray, np.ndarray
     keys, at, counts = np.unique(pairs[:, 1], return_inverse=True, return_counts=True)
     bad = np.bincount(at, weights=y[pairs[:, 0].astype(np.int64)], minlength=len(keys))
     n_bad, n_clean = max(1, int((y == 1).sum())), max(1, int((y == 0).sum()))
-    toxic = (bad >= LEAST_SUPPORT) & ((counts - bad) / n_clean <= MOST_CLEAN * bad / n_bad)
+    least = np.log(CHANCE) / np.log(n_bad / (n_bad + n_clean))
+    toxic = (bad >= least) & ((counts - bad) / n_clean <= MOST_CLEAN * bad / n_bad)
     return keys[toxic], keys[counts >= 3]
 
 
 def toxicity_model(
     docs: DataFrame, labels: DataFrame, learnt: Column, id_col: str = "doc_id", text_col: str = "text",
-    label_col: str = "toxic", per_class: int = 2000,
+    label_col: str = "toxic", per_class: int = 1400,
 ) -> ToxicModel:
     """The model fitted on at most per_class labelled texts of each class, where `learnt` allows the id.
 
