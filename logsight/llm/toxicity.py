@@ -1,7 +1,7 @@
 """Toxic spans by a linear-chain conditional random field over words, and scores of whole texts.
 
-Two states, clean and toxic. A word's features are itself, its first four, five and six bytes and its last
-four; transitions are between states. Tokens are labelled from documents' labels: a token of a toxic document
+Two states, clean and toxic. A word's features are itself and its first four, six, seven and eight bytes;
+transitions are between states. Tokens are labelled from documents' labels: a token of a toxic document
 is toxic if one of its features is in many toxic documents and hardly any clean one. Marginals come from
 forward and backward passes over pieces of texts, which are joined exactly by their transfer matrices.
 """
@@ -23,7 +23,8 @@ from logsight.llm.text import U64, Hashed, Texts, mix, prepare, whole_text, word
 BLOCK_BYTES = 2 << 20
 PIECE = 128
 SLOT_BITS = 22
-FEATURES = 5
+PREFIXES = (4, 6, 7, 8)
+FEATURES = 1 + len(PREFIXES)
 #: A feature is toxic if it is hardly in clean texts (in this part of the share of toxic ones that have it) and in
 #: so many toxic texts as would all be toxic by chance this rarely.
 MOST_CLEAN = 0.01
@@ -39,7 +40,7 @@ def tokens(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray
     """(begin, end, text, features) of the words in a block of texts; ASCII letters count as lower case."""
     begin, end, text = word_bounds(_LETTER[data], starts)
     hashed = Hashed(_LOWER[data])
-    slices = [(begin, end), *[(begin, np.minimum(begin + n, end)) for n in (4, 5, 6)], (np.maximum(end - 4, begin), end)]
+    slices = [(begin, end), *[(begin, np.minimum(begin + n, end)) for n in PREFIXES]]
     with np.errstate(over="ignore"):
         found = [mix(hashed.slices(a, b) + U64(k + 1)) for k, (a, b) in enumerate(slices)]
     return begin, end, text, np.stack(found, axis=1) if len(begin) else np.zeros((0, FEATURES), U64)
