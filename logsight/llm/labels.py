@@ -44,7 +44,7 @@ def sample(
     Ids with both labels or a null one are left out; the rate counts all labels that are left. Only the chosen
     ids (a bound of two per_class) are sent to the tasks that read the documents.
     """
-    one = labels.where(learnt & F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
+    one = labels.where(learnt & F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("id"))
     one = one.agg(F.min(label_col).alias("y"), F.max(label_col).alias("most")).where("y = most and y in (0, 1)")
     counts = {r["y"]: r["n"] for r in one.groupBy("y").agg(F.count("*").alias("n")).collect()}
     rate = counts.get(1, 0) / max(1, sum(counts.values())) if counts else 0.5
