@@ -134,8 +134,12 @@ def likely_similar(
 ) -> np.ndarray:
     """Whether the collision-corrected similarity estimate reaches the threshold less so many standard errors."""
     used = ((regs_a != 0) | (regs_b != 0)).sum(axis=1)
-    agree = ((regs_a == regs_b) & (regs_a != 0)).sum(axis=1)
-    chance = accidental(size_a, size_b, regs_a.shape[1])
     n = np.maximum(used, 1)
-    estimate = (agree / n - chance) / (1 - chance)
-    return estimate >= threshold - sigmas * np.sqrt(threshold * (1 - threshold) / n)
+    share = ((regs_a == regs_b) & (regs_a != 0)).sum(axis=1) / n
+    bar = threshold - sigmas * np.sqrt(threshold * (1 - threshold) / n)
+    # the correction only lowers a share, so it is worked out for those that reach the bar without it
+    out = share >= bar
+    at = np.flatnonzero(out)
+    chance = accidental(size_a[at], size_b[at], regs_a.shape[1])
+    out[at] = (share[at] - chance) / (1 - chance) >= bar[at]
+    return out

@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from logsight.llm import hypermin as H
 from logsight.llm.components import components
 from logsight.llm.scratch import written
-from logsight.llm.text import Texts, prepare, whole_text
+from logsight.llm.text import Texts, prepare, spread, whole_text
 
 SMALL_BUCKET = 8  # all pairs of a bucket of so many sets are compared
 BLOCK = 1024  # sets compared with each other at once in larger buckets
@@ -238,9 +238,10 @@ def _blocks(rows: DataFrame, what: list[str]) -> DataFrame:
 
 
 def _facing(rows: DataFrame, what: list[str]) -> DataFrame:
-    """Each block of nodes away from their hub's component beside each block of that hub's nodes."""
-    away = _blocks(rows.where("away"), what).select("hub", F.col("nodes").alias("away"))
-    return away.join(_blocks(rows, what).select("hub", F.col("nodes").alias("all")), "hub")
+    """Each block of nodes away from their hub's component beside each block of that hub's nodes, spread evenly."""
+    away = _blocks(rows.where("away"), what).select("hub", F.col("block").alias("x"), F.col("nodes").alias("away"))
+    every = _blocks(rows, what).select("hub", F.col("block").alias("y"), F.col("nodes").alias("all"))
+    return spread(away.join(every, "hub"), ["hub", "x", "y"])
 
 
 def _active(apart: DataFrame, nodes: DataFrame, threshold: float, per_mille: int) -> DataFrame:
