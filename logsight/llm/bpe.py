@@ -28,8 +28,8 @@ WORDS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 _NOT_SPACE = regex.compile("[\x1c-\x1f]")
 _SPACE = regex.compile(r"\s+")
 _NEVER = 1 << 60
-#: Entries of each kind that a worker keeps for sure, of about 150 bytes; it never has more than twice as many.
-CACHED = 300_000
+#: Entries that a worker keeps for sure, of about 250 bytes; it never has more than twice as many.
+CACHED = 330_000
 
 
 def byte_symbols() -> list[str]:
@@ -169,14 +169,12 @@ class Encoder:
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self._chunks = Kept(self._chunk, CACHED)
-        self._words = Kept(self._word, CACHED)
         self._names = Kept(self.decode, CACHED)
 
     def encode(self, text: str) -> list[bytes]:
         """The ids as little-endian 32-bit integers, in parts."""
         chunks = [c for c in _SPACE.split(text) if c] if _NOT_SPACE.search(text) else text.split()
-        for kept in (self._chunks, self._words):
-            kept.make_room()
+        self._chunks.make_room()
         return list(map(self._chunks.__getitem__, chunks))
 
     def decode_parts(self, parts: list[bytes]) -> str:
@@ -201,15 +199,18 @@ class Encoder:
         if not chunk.isascii():
             # letters are lowered one by one: no final form of sigma
             chunk = unicodedata.normalize("NFC", chunk).replace("Σ", "σ")
-        chunk = chunk.lower()
-        if chunk.isalpha():
-            return self._words[chunk]
-        if chunk[:-1].isalpha() and chunk[-1] in ".,":
-            return self._words[chunk[:-1]] + self._words[chunk[-1]]
-        return b"".join(map(self._words.__getitem__, WORDS.findall(chunk)))
-
-    def _word(self, word: str) -> bytes:
-        return array("I", self.vocabulary.word(word)).tobytes()
+        low = chunk.lower()
+        if low.isalpha():
+            return self._word(low, chunk)
+        words = [low[:-1], low[-1]] if low[:-1].isalpha() and low[-1] in ".," else WORDS.findall(low)
+        return b"".join([self._word(w, chunk) for w in words])
+
+    def _word(self, word: str, chunk: str) -> bytes:
+        """The ids of one word of a chunk; words are kept as chunks of their own, as far as they would be the same."""
+        same = word.isascii() or (unicodedata.is_normalized("NFC", word) and word.lower() == word)
+        if word == chunk or not same:
+            return array("I", self.vocabulary.word(word)).tobytes()
+        return self._chunks[word]
 
 
 class Kept(dict):
