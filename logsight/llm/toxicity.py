@@ -1,9 +1,9 @@
 """Toxic spans by a linear-chain conditional random field over words, and scores of whole texts.
 
 Two states, clean and toxic. A word's features are itself and its first four, six, seven and eight bytes;
-transitions are between states. Tokens are labelled from documents' labels: a token of a toxic document
-is toxic if one of its features is in many toxic documents and hardly any clean one. Marginals come from
-forward and backward passes over pieces of texts, which are joined exactly by their transfer matrices.
+transitions are between states. Only documents are labelled: all tokens of a clean one are clean, and those of
+a toxic one are not all clean. The likelihood of that is fitted, with the tokens' states summed out. Marginals come
+from forward and backward passes over pieces of texts, which are joined exactly by their transfer matrices.
 """
 
 from __future__ import annotations
@@ -25,10 +25,8 @@ PIECE = 128
 SLOT_BITS = 22
 PREFIXES = (4, 6, 7, 8)
 FEATURES = 1 + len(PREFIXES)
-#: A feature is toxic if it is hardly in clean texts (in this part of the share of toxic ones that have it) and in
-#: so many toxic texts as would all be toxic by chance this rarely.
-MOST_CLEAN = 0.01
-CHANCE = 0.003
+#: Texts that have a feature, of both classes in their proportion, added to those seen, for its first weight.
+PRIOR_TEXTS = 2.0
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A") : ord("Z") + 1] += 32
@@ -54,6 +52,7 @@ class Chains:
         pieces = -(-per_text // PIECE)
         self.first_piece = np.cumsum(pieces) - pieces
         self.pieces = pieces
+        self.words = per_text
         inside = np.arange(len(text)) - (np.cumsum(per_text) - per_text)[text]
         self.row = self.first_piece[text] + inside // PIECE
         self.column = inside % PIECE
@@ -66,8 +65,13 @@ class Chains:
         out[self.row, self.column] = values
         return out
 
-    def forward_backward(self, emission: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def forward_backward(self, emission: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, float]:
         """Marginals of the toxic state, and the expected transitions: (token marginals, 2 x 2, log likelihood)."""
+        toxic, expected, log_z = self.by_text(emission, moves)
+        return toxic, expected.sum(axis=0), float(log_z.sum())
+
+    def by_text(self, emission: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Token marginals, and of each text the expected transitions and the logarithm of the sum over all paths."""
         x = np.exp(np.clip(self.laid(emission), -30, 30))
         n = self.count
         # transfer matrices of pieces, each divided by its sum
@@ -92,18 +96,18 @@ class Chains:
             b = np.einsum("nij,nj->ni", m[q], back[on])
             back[on] = b / b.sum(axis=1, keepdims=True)
         alpha = np.zeros((n, PIECE, 2))
-        log_z = 0.0
+        log_z = np.zeros(n)
         s = enter
         for t in range(PIECE):
             on = self.filled[:, t]
             a = s @ moves
             a[:, 1] *= x[:, t]
             total = a.sum(axis=1, keepdims=True)
-            log_z += float(np.log(total[on]).sum())
+            log_z[on] += np.log(total[on, 0])
             s = np.where(on[:, None], a / total, s)
             alpha[:, t] = s
         toxic = np.zeros((n, PIECE))
-        expected = np.zeros((2, 2))
+        expected = np.zeros((n, 2, 2))
         b = leave
         for t in range(PIECE - 1, -1, -1):
             on = self.filled[:, t]
@@ -113,10 +117,12 @@ class Chains:
             after = b.copy()
             after[:, 1] *= x[:, t]
             pair = before[:, :, None] * moves[None] * after[:, None, :]
-            expected += (pair[on] / pair[on].sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+            expected[on] += pair[on] / pair[on].sum(axis=(1, 2), keepdims=True)
             nb = after @ moves.T
             b = np.where(on[:, None], nb / nb.sum(axis=1, keepdims=True), b)
-        return toxic[self.row, self.column], expected, log_z
+        owner = np.repeat(np.arange(len(self.pieces)), self.pieces)
+        of_text = [np.bincount(owner, v, len(self.pieces)) for v in (*expected.reshape(n, 4).T, log_z)]
+        return toxic[self.row, self.column], np.stack(of_text[:4], axis=1).reshape(-1, 2, 2), of_text[4]
 
 
 @dataclass
@@ -171,31 +177,28 @@ def _blocks(texts: list[str]) -> Iterator[tuple[int, int, np.ndarray, np.ndarray
     return Texts(pa.array(texts, pa.large_string())).blocks(BLOCK_BYTES, 1 << 20)
 
 
-def fit(rows: Sample, rounds: int = 15, rate: float = 0.3, ridge: float = 1e-4) -> ToxicModel:
+def fit(rows: Sample, rounds: int = 30, rate: float = 0.3, ridge: float = 0.3) -> ToxicModel:
     """Fitted on three quarters of the rows by adaptive gradient steps, calibrated on the others."""
     first, second = rows.split(4)
     blocks = [(tokens(d, s), first.y[lo:hi]) for lo, hi, d, s in _blocks(first.texts)]
-    toxic, keys = _toxic_features(blocks, first.y)
-    model = ToxicModel(keys, np.zeros(len(keys)), -4.0, np.array([[0.95, 0.05], [0.7, 0.3]]))
-    made = []
-    for (_, _, text, features), y in blocks:
-        gold = np.isin(features, toxic).any(axis=1) & (y[text] == 1)
-        made.append((Chains(text, len(y)), text, model.places(features), gold.astype(float)))
-    seen_toxic = sum(np.bincount(at.ravel(), np.repeat(g, FEATURES), len(keys) + 1) for _, _, at, g in made) if made else np.zeros(1)
-    seen = sum(np.bincount(at.ravel(), minlength=len(keys) + 1) for _, _, at, _ in made) if made else np.zeros(1)
-    start = np.log((seen_toxic + 0.5) / (seen - seen_toxic + 0.5)) + 4.0
-    weights = np.append(np.clip(start[:-1], -4, 8) / FEATURES, 0.0)
+    keys, odds = _features(blocks, first.y)
+    model = ToxicModel(keys, np.zeros(len(keys)), -7.0, np.array([[0.97, 0.03], [0.7, 0.3]]))
+    made = [(Chains(text, len(y)), text, model.places(features), y == 1) for (_, _, text, features), y in blocks]
+    weights = np.append(np.clip(1.5 * odds, -4, 12) / FEATURES, 0.0)
     bias, moves = model.bias, np.log(model.moves)
     power = [np.zeros(len(weights)), 0.0, np.zeros((2, 2))]
-    size = max(1, sum(len(g) for *_, g in made))
-    for _ in range(rounds if made and len(toxic) else 0):
-        g_w, g_b, g_m = ridge * size * weights, 0.0, np.zeros((2, 2))
-        for chains, text, at, gold in made:
-            p, expected, _ = chains.forward_backward(weights[at].sum(axis=1) + bias, np.exp(moves))
-            error = p - gold
+    for _ in range(rounds if 0 < first.y.sum() < len(first.y) else 0):
+        g_w, g_b, g_m = ridge * weights, 0.0, np.zeros((2, 2))
+        for chains, text, at, toxic in made:
+            p, expected, log_z = chains.by_text(weights[at].sum(axis=1) + bias, np.exp(moves))
+            # what is expected less what the label leaves: nothing in clean texts, all but the clean path in toxic ones
+            clean = np.minimum(chains.words * moves[0, 0] - log_z, -1e-9)
+            excess = np.where(toxic, np.exp(clean) / np.expm1(clean), 1.0)
+            error = p * excess[text]
             g_w += np.bincount(at.ravel(), np.repeat(error, FEATURES), len(weights))
             g_b += error.sum()
-            g_m += expected - _observed(text, gold)
+            expected[:, 0, 0] -= chains.words
+            g_m += np.einsum("n,nij->ij", excess, expected)
         g_w[-1] = 0.0
         steps = []
         for k, g in enumerate((g_w, g_b, g_m)):
@@ -208,16 +211,8 @@ def fit(rows: Sample, rounds: int = 15, rate: float = 0.3, ridge: float = 1e-4)
     return model
 
 
-def _observed(text: np.ndarray, gold: np.ndarray) -> np.ndarray:
-    """Transitions among the labelled tokens, from a clean one before each text."""
-    before = np.concatenate([[0.0], gold[:-1]])
-    before[np.concatenate([[True], text[1:] != text[:-1]])] = 0.0
-    counts = np.bincount((2 * before + gold).astype(np.int64), minlength=4)
-    return counts.reshape(2, 2).astype(float)
-
-
-def _toxic_features(blocks: list, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Features that tell toxic texts, and all features that occur in at least three texts."""
+def _features(blocks: list, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Features that occur in at least three texts, and the log-odds of toxic texts among those, less that of all."""
     per_text = []
     base = 0
     for (_, _, text, features), own in blocks:
@@ -225,14 +220,15 @@ def _toxic_features(blocks: list, y: np.ndarray) -> tuple[np.ndarray, np.ndarray
         per_text.append(pairs)
         base += len(own)
     if not per_text:
-        return np.zeros(0, U64), np.zeros(0, U64)
+        return np.zeros(0, U64), np.zeros(0)
     pairs = np.concatenate(per_text)
     keys, at, counts = np.unique(pairs[:, 1], return_inverse=True, return_counts=True)
     bad = np.bincount(at, weights=y[pairs[:, 0].astype(np.int64)], minlength=len(keys))
-    n_bad, n_clean = max(1, int((y == 1).sum())), max(1, int((y == 0).sum()))
-    least = np.log(CHANCE) / np.log(n_bad / (n_bad + n_clean))
-    toxic = (bad >= least) & ((counts - bad) / n_clean <= MOST_CLEAN * bad / n_bad)
-    return keys[toxic], keys[counts >= 3]
+    enough = counts >= 3
+    bad, clean = bad[enough], (counts - bad)[enough]
+    share = min(max(y.mean(), 0.01), 0.99)
+    odds = np.log((bad + PRIOR_TEXTS * share) / (clean + PRIOR_TEXTS * (1 - share))) - np.log(share / (1 - share))
+    return keys[enough], odds
 
 
 def toxicity_model(

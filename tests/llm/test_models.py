@@ -6,7 +6,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from logsight.llm.labels import calibrate, fold, sample
+from logsight.llm import toxicity
+from logsight.llm.labels import Sample, calibrate, fold, sample
 from logsight.llm.quality import quality_model, quality_score
 from logsight.llm.queries import QUERIES
 from logsight.llm.toxicity import Chains, toxic_spans, toxicity_model, toxicity_score
@@ -30,6 +31,25 @@ def test_held_out_labels(spark, name, label, least):
     assert (predicted == y).mean() > 0.93
 
 
+def test_rare_toxic_words_are_learnt():
+    rng = np.random.default_rng(8)
+    neutral = np.array([f"{a}{b}{c}" for a in ("ta", "mo", "ri", "du") for b in ("lan", "per", "sot") for c in ("ga", "be", "no", "ku")])
+    offending, rare = [[f"{c}{stem}" for c in "abcdefghijklmnopqrst"] for stem in ("vexed", "lunar")]
+
+    def texts(n, y):
+        own = (rare, offending)[y]
+        return [" ".join(rng.permutation([*rng.choice(neutral, 30), own[i * 20 // n], rare[i % 20]])) for i in range(n)]
+
+    # each offending word is in 6 of 120 toxic texts (4 or 5 of the fitted ones), one of them in a clean text too
+    clean = texts(120, 0)
+    clean[0] += " " + offending[3]
+    y = np.tile([0, 1], 120)
+    rows = Sample([t for pair in zip(clean, texts(120, 1), strict=True) for t in pair], y, 0.5)
+    model = toxicity.fit(rows)
+    assert (model.score(texts(60, 1)) >= 0.7).mean() > 0.9
+    assert (model.score(texts(60, 0)) >= 0.7).mean() < 0.05
+
+
 def test_random_field_sums_over_all_paths():
     rng = np.random.default_rng(0)
     moves = np.array([[0.9, 0.1], [0.4, 0.6]])
