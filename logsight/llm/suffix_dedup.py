@@ -5,6 +5,7 @@ of all documents meet in one shard. Documents stay in groups, which are shuffled
 the hashes of its anchors, and learns which of them other documents have. Neighbouring windows with the same
 anchor then travel as one snippet, equal snippets of a group as one, and only for shared anchors. A shard
 gives each window of its snippets the least document that has it, and returns the spans to be removed.
+Anchors with many different snippets are split: their windows travel singly, filed under their whole content.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ SHARD_BYTES = 1 << 20
 GROUP_TEXT = 8 << 20
 BUCKET_TEXT = 4 << 20
 HASH_TEXT = 24 << 20
+#: Bytes of different snippets from which on an anchor is split.
+SPLIT_BYTES = 4 << 20
 LAST = np.iinfo(np.int64).max
 
 MARK = np.dtype([("doc", "<u4"), ("start", "<u4"), ("size", "<u4")])
@@ -69,7 +72,7 @@ def suffix_dedup(
     placed = rows.mapInArrow(_packer, packed_schema).groupBy("part")
 
     hashes = placed.applyInArrow(_hash_sender(length, hash_buckets), "part bigint, bucket bigint, payload binary")
-    shared = hashes.groupBy("bucket").applyInArrow(_shared, "part bigint, bucket bigint, payload binary")
+    shared = hashes.groupBy("bucket").applyInArrow(_sharer(SPLIT_BYTES), "part bigint, bucket bigint, payload binary")
     sent = placed.cogroup(shared.groupBy("part")).applyInArrow(
         _snippet_sender(length, buckets), "bucket bigint, part bigint, payload binary"
     )
@@ -139,10 +142,34 @@ class Snippets:
         none = [np.zeros(0, k) for k in (np.int64,) * 5 + (U64,) * 2]
         columns = [np.concatenate([n, *[f[k] for f in found]]) for k, n in enumerate(none)]
         self.doc, self.first, self.inside, self.windows, self.offset, self.anchor, self.content = columns
+        #: what buckets are chosen by
+        self.key = self.anchor
         #: 48 bits of each anchor's hash, mixed anew since anchors' hashes are small ones, and the distinct ones
         self.short = mix(self.anchor) >> U64(16)
         self.distinct, self.which = np.unique(self.short, return_inverse=True)
 
+    def weights(self, length: int) -> np.ndarray:
+        """Of each distinct anchor the bytes of its different snippets, as the power of two that is as many or more."""
+        order = np.lexsort((self.content, self.which))
+        which, content = self.which[order], self.content[order]
+        new = np.concatenate([[True], (which[1:] != which[:-1]) | (content[1:] != content[:-1])])[: len(order)]
+        size = np.bincount(which[new], self.windows[order[new]] + length - 1, len(self.distinct))
+        return np.ceil(np.log2(np.maximum(size, 1))).astype("u1")
+
+    def keep(self, whole: np.ndarray, split: np.ndarray, length: int) -> None:
+        """Leaves the snippets that are whole, and of those to be split each window as a snippet of its own."""
+        cut = np.flatnonzero(split)
+        own = np.repeat(cut, self.windows[cut])
+        step = ranges(np.zeros(len(cut), np.int64), self.windows[cut])
+        first, offset, sizes = self.first[own] + step, self.offset[own] - step, np.full(len(own), length)
+        content = _snippet_hashes(self.data[ranges(first, sizes)], np.arange(len(own)) * length, sizes, offset)[1]
+        single = {
+            "doc": self.doc[own], "first": first, "inside": self.inside[own] + step, "windows": np.ones(len(own), np.int64),
+            "offset": offset, "anchor": self.anchor[own], "content": content, "key": mix(content),
+        }
+        for name, values in single.items():
+            setattr(self, name, np.concatenate([getattr(self, name)[whole], values]))
+
 
 def _anchors(hashed: Hashed, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text, first window, number of windows, anchor) of each snippet in a block of texts."""
@@ -192,9 +219,10 @@ def _hash_sender(length: int, buckets: int):
         np.minimum.at(low, s.which, ids)
         np.maximum.at(high, s.which, ids)
         cuts = _cuts(s.distinct, buckets)
+        weights = s.weights(length)
         six = s.distinct.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6]
         payload = [
-            np.int64(b - a).tobytes() + six[a:b].tobytes() + np.packbits(low[a:b] < high[a:b]).tobytes()
+            np.int64(b - a).tobytes() + six[a:b].tobytes() + np.packbits(low[a:b] < high[a:b]).tobytes() + weights[a:b].tobytes()
             for a, b in zip(cuts, cuts[1:], strict=False)
         ]
         part = docs.column("part")[0].as_py()
@@ -203,9 +231,16 @@ def _hash_sender(length: int, buckets: int):
     return run
 
 
-def _shared(table: pa.Table) -> pa.Table:
-    """Of each group's hashes in a bucket, which are shared, as bits."""
-    hashes, several, counts = [], [], []
+def _sharer(split_bytes: int):
+    def run(table: pa.Table) -> pa.Table:
+        return _shared(table, split_bytes)
+
+    return run
+
+
+def _shared(table: pa.Table, split_bytes: int) -> pa.Table:
+    """Of each group's hashes in a bucket, which are shared, and which of those are to be split, as bits."""
+    hashes, several, weights, counts = [], [], [], []
     for p in table.column("payload"):
         raw = p.as_py()
         n = int(np.frombuffer(raw, "<i8", 1)[0])
@@ -213,6 +248,7 @@ def _shared(table: pa.Table) -> pa.Table:
         wide[:, :6] = np.frombuffer(raw, np.uint8, 6 * n, 8).reshape(n, 6)
         hashes.append(wide.view("<u8").ravel())
         several.append(np.unpackbits(np.frombuffer(raw, np.uint8, offset=8 + 6 * n), count=n).astype(bool))
+        weights.append(np.frombuffer(raw, np.uint8, n, len(raw) - n))
         counts.append(n)
     h, out = np.concatenate(hashes), np.concatenate(several)
     order = np.argsort(h)
@@ -221,7 +257,11 @@ def _shared(table: pa.Table) -> pa.Table:
     size = np.diff(np.append(at, len(h)))
     any_several = np.logical_or.reduceat(out[order], at) if len(at) else out[:0]
     out[order] = np.repeat((size > 1) | any_several, size)
-    bits = [np.packbits(x).tobytes() for x in np.split(out, np.cumsum(counts)[:-1])]
+    total = np.add.reduceat(2.0 ** np.concatenate(weights)[order], at) if len(at) else np.zeros(0)
+    split = np.zeros(len(h), bool)
+    split[order] = np.repeat(total > split_bytes, size)
+    cuts = np.cumsum(counts)[:-1]
+    bits = [np.packbits(x).tobytes() + np.packbits(x & y).tobytes() for x, y in zip(np.split(out, cuts), np.split(split, cuts), strict=True)]
     return table.select(["part", "bucket"]).append_column("payload", pa.array(bits, pa.binary()))
 
 
@@ -233,16 +273,20 @@ def _snippet_sender(length: int, buckets: int):
         s = Snippets(group, length)
         replies = sorted(zip(shared.column("bucket").to_pylist(), shared.column("payload").to_pylist(), strict=True))
         cuts = _cuts(s.distinct, len(replies))
-        bits = [np.unpackbits(np.frombuffer(p, np.uint8), count=b - a) for (_, p), a, b in zip(replies, cuts, cuts[1:], strict=False)]
-        known = np.concatenate(bits).astype(bool) if bits else np.zeros(0, bool)
-        return _snippets(group, s, np.flatnonzero(known[s.which]), docs.column("part")[0].as_py(), length, buckets)
+        bits = [
+            np.stack([np.unpackbits(x, count=b - a) for x in np.frombuffer(p, np.uint8).reshape(2, -1)])
+            for (_, p), a, b in zip(replies, cuts, cuts[1:], strict=False)
+        ]
+        known, split = np.concatenate(bits, axis=1).astype(bool) if bits else np.zeros((2, 0), bool)
+        s.keep((known & ~split)[s.which], split[s.which], length)
+        return _snippets(group, s, np.arange(len(s.doc)), docs.column("part")[0].as_py(), length, buckets)
 
     return run
 
 
 def _snippets(group: Group, s: Snippets, chosen: np.ndarray, part: int, length: int, buckets: int) -> pa.Table:
     """Snippets by bucket, equal ones once with their least owner; the others' spans are settled here."""
-    bucket = (s.anchor[chosen] % U64(buckets)).astype(np.int64)
+    bucket = (s.key[chosen] % U64(buckets)).astype(np.int64)
     order = np.lexsort((group.ids[s.doc[chosen]], s.content[chosen], s.anchor[chosen], bucket))
     bucket, at = bucket[order], chosen[order]
     anchor, content, ids = s.anchor[at], s.content[at], group.ids[s.doc[at]]

@@ -7,6 +7,7 @@ from collections import defaultdict
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from logsight.llm import suffix_array, suffix_dedup
@@ -190,3 +191,32 @@ def test_queries_over_a_whole_small_table(spark, sf_dir, name, brute):
     else:
         got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in found)
         assert got == sorted((*x[:4], hashlib.sha256(x[4]).hexdigest()) for x in brute(rows, 50))
+
+
+def common_line():
+    rng = random.Random(4)
+    return [(i, f"{rng.getrandbits(200):x} Licensed to whom it concerns {rng.getrandbits(200) if i % 9 else 7:060x}") for i in range(300)]
+
+
+def test_windows_of_a_common_anchor_go_to_many_buckets(monkeypatch):
+    import zstandard
+
+    monkeypatch.setattr(suffix_dedup, "SPLIT_BYTES", 2000, raising=False)
+    pack = zstandard.ZstdCompressor().compress
+    rows = common_line()
+    docs = pa.table({"id": [i for i, _ in rows], "part": [0] * 300, "packed": pa.array([pack(t.encode()) for _, t in rows], pa.binary())})
+    hashes = suffix_dedup._hash_sender(50, 1)(docs)
+    shared = suffix_dedup._sharer(suffix_dedup.SPLIT_BYTES)(hashes) if hasattr(suffix_dedup, "_sharer") else suffix_dedup._shared(hashes)
+    sent = suffix_dedup._snippet_sender(50, 64)(docs, shared).to_pylist()
+    size = [len(suffix_dedup._unpack(r["payload"], suffix_dedup.SNIPPETS)[4]) for r in sent if r["bucket"] >= 0]
+    assert len(size) == 64 and max(size) < sum(size) / 20
+
+
+def test_split_anchors_give_the_same_spans(spark, monkeypatch):
+    monkeypatch.setattr(suffix_dedup, "SPLIT_BYTES", 2000, raising=False)
+    rows = common_line() + [(i + 300, t[20:]) for i, t in common_line()[::7]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = suffix_dedup.suffix_dedup(docs).collect()
+    got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found)
+    assert got == suffix_brute(rows, 50)
+    assert sum(r[2] for r in got) > 1000
