@@ -31,6 +31,19 @@ def test_held_out_labels(spark, name, label, least):
     assert (predicted == y).mean() > 0.93
 
 
+def test_held_out_toxic_documents_are_found(spark):
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", F.col("toxic").alias("y"))
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    found = QUERIES["op6_toxicity"](spark, SF).where("held_out").select("doc_id", "score").join(labels, "doc_id").join(docs, "doc_id")
+    rows = found.collect()
+    score, y, lang = (np.array([r[c] for r in rows]) for c in ("score", "y", "lang"))
+    said = score >= 0.7
+    print("AUC", auc(score, y), "recall", said[y == 1].mean(), "false positives", said[y == 0].mean())
+    print({k: float(said[(y == 1) & (lang == k)].mean()) for k in sorted(set(lang))})
+    assert auc(score, y) > 0.95 and said[y == 1].mean() > 0.8 and said[y == 0].mean() < 0.01
+    assert all(said[(y == 1) & (lang == k)].mean() > 0.4 for k in set(lang))
+
+
 def test_rare_toxic_words_are_learnt():
     rng = np.random.default_rng(8)
     neutral = np.array([f"{a}{b}{c}" for a in ("ta", "mo", "ri", "du") for b in ("lan", "per", "sot") for c in ("ga", "be", "no", "ku")])
