@@ -17,8 +17,10 @@ from logsight.llm.packing import pack
 from logsight.llm.quality import quality_model, quality_score
 from logsight.llm.suffix_dedup import suffix_dedup
 from logsight.llm.token_counts import token_counts
+from logsight.llm.token_files import read_tokens, with_crc32, write_tokens
 from logsight.llm.topk import top_k
 from logsight.llm.toxicity import toxicity_model, toxicity_score
+from logsight.scratch import scratch_path
 from logsight.session import use_utc
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -155,3 +157,11 @@ SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
 def op10_near_dedup(spark, sf):
     """Groups of documents whose three-word shingle sets have a similarity of 0.85 or more."""
     return near_dedup(_table(spark, sf, "documents"), words=3, threshold=0.85)
+
+
+@query
+def op11_token_files(spark, sf):
+    """Token ids of all documents, written as files in id order and read back: places, counts and checksums."""
+    folder = scratch_path(spark, "llm-tokens")
+    write_tokens(_table(spark, sf, "documents"), folder, tokenizer_path("word_bpe_49k.json"), end_id=1)
+    return with_crc32(read_tokens(spark, folder)).withColumnRenamed("id", "doc_id")
