@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from logsight.llm.bpe import encode_decode
 from logsight.llm.chat import format_chats
 from logsight.llm.exact_dedup import exact_dedup
+from logsight.llm.filter_audit import failure_counts, filter_audit
 from logsight.llm.labels import fold
 from logsight.llm.near_dedup import near_dedup
 from logsight.llm.packing import pack
@@ -165,3 +166,51 @@ def op11_token_files(spark, sf):
     folder = scratch_path(spark, "llm-tokens")
     write_tokens(_table(spark, sf, "documents"), folder, tokenizer_path("word_bpe_49k.json"), end_id=1)
     return with_crc32(read_tokens(spark, folder)).withColumnRenamed("id", "doc_id")
+
+
+@query
+def op12_filter_audit(spark, sf):
+    """What five filters remove from each language in all orders."""
+    return filter_audit(failure_counts(_table(spark, sf, "documents"), _table(spark, sf, "labels")))
+
+
+ORACLE["op12_filter_audit"] = r"""
+WITH base AS (
+    SELECT doc_id, coalesce(text, '') AS text, coalesce(lang, '') AS part,
+           list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS words,
+           min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS first_id
+    FROM documents
+), failing AS (
+    SELECT doc_id, part,
+           [len(words) < 100, 100 * len(list_distinct(words)) < 80 * len(words),
+            100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+            regexp_matches(text, '[#$%&*|]'), coalesce(doc_id > first_id, false)] AS fails
+    FROM base
+), known AS (
+    SELECT doc_id, max((quality = 1)::INTEGER) AS good, max((toxic = 1)::INTEGER) AS toxic FROM labels GROUP BY doc_id
+), masks AS (
+    SELECT part, fails, count(*) AS n, coalesce(sum(good), 0)::BIGINT AS good, coalesce(sum(toxic), 0)::BIGINT AS toxic
+    FROM failing LEFT JOIN known USING (doc_id) GROUP BY part, fails
+), f AS (SELECT unnest(range(1, 6)) AS f), orders AS (
+    SELECT [a.f, b.f, c.f, d.f, e.f] AS o,
+           'ABCDE'[a.f] || 'ABCDE'[b.f] || 'ABCDE'[c.f] || 'ABCDE'[d.f] || 'ABCDE'[e.f] AS filter_order
+    FROM f a, f b, f c, f d, f e
+    WHERE len(list_distinct([a.f, b.f, c.f, d.f, e.f])) = 5
+), removals AS (
+    SELECT part, filter_order, s.f AS step, o[s.f] AS filter, n, good, toxic,
+           fails[o[s.f]] AS failed,
+           len(list_filter(o[1:s.f - 1], lambda x: fails[x])) > 0 AS earlier,
+           len(list_filter(fails, lambda x: x)) = 1 AS once
+    FROM masks, orders, f s
+), steps AS (
+    SELECT part, filter_order, step::INTEGER AS step, filter,
+           coalesce(sum(n) FILTER (NOT failed AND NOT earlier), 0)::BIGINT AS kept,
+           coalesce(sum(n) FILTER (failed AND NOT earlier), 0)::BIGINT AS removed,
+           coalesce(sum(n) FILTER (failed AND earlier), 0)::BIGINT AS redundant,
+           coalesce(sum(n) FILTER (failed AND once), 0)::BIGINT AS unique_fails,
+           coalesce(sum(good) FILTER (failed AND NOT earlier), 0)::BIGINT AS good_lost,
+           coalesce(sum(toxic) FILTER (failed AND NOT earlier), 0)::BIGINT AS toxic_lost
+    FROM removals GROUP BY ALL
+)
+SELECT * EXCLUDE (filter), (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM steps
+"""
