@@ -16,6 +16,7 @@ from logsight.llm.labels import fold
 from logsight.llm.near_dedup import near_dedup
 from logsight.llm.packing import pack
 from logsight.llm.quality import quality_model, quality_score
+from logsight.llm.spelling import spelling_variants, vocabulary
 from logsight.llm.suffix_dedup import suffix_dedup
 from logsight.llm.token_counts import token_counts
 from logsight.llm.token_files import read_tokens, with_crc32, write_tokens
@@ -214,3 +215,57 @@ WITH base AS (
 )
 SELECT * EXCLUDE (filter), (sum(removed) OVER (PARTITION BY part, filter))::BIGINT AS shapley FROM steps
 """
+
+
+@query
+def op13_spelling(spark, sf):
+    """The words of all documents with their spelling variants."""
+    return spelling_variants(vocabulary(_table(spark, sf, "documents")))
+
+
+# crc32 byte by byte over a table of 256 remainders; pairs by what is left without one code point
+ORACLE["op13_spelling"] = r"""
+WITH RECURSIVE crc_table AS (
+    SELECT list(r ORDER BY b) AS t FROM (
+        SELECT b, list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) AS r
+        FROM range(256) x(b)
+    )
+), runs AS (
+    SELECT coalesce(doc_id::VARCHAR, '') AS name,
+           unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+    FROM documents
+), counted AS (
+    SELECT name, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY name, run
+), bytes AS (
+    SELECT run, n, length(run) AS size,
+           list_transform(range(0, strlen(name || ':' || run)),
+               lambda i: ('0x' || substr(hex(name || ':' || run), 2 * i + 1, 2))::BIGINT) AS b
+    FROM counted
+), hashed AS (
+    SELECT run, n, size,
+           xor(list_reduce(b, lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)]), 4294967295::BIGINT), 4294967295) AS h
+    FROM bytes, crc_table
+), words AS (
+    SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % size) || substr(run, h % size + 2) ELSE run END AS word, n
+    FROM hashed
+), v AS MATERIALIZED (
+    SELECT word, sum(n)::BIGINT AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS MATERIALIZED (
+    SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest FROM v, unnest(range(1, length(word) + 1)) u(i)
+), near AS (
+    SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+    UNION SELECT a.word, a.n, v.word, v.n FROM cut a JOIN v ON a.rest = v.word
+    UNION SELECT v.word, v.n, a.word, a.n FROM cut a JOIN v ON a.rest = v.word
+), best AS (
+    SELECT word, n, count(*) AS n_near, arg_min({'o': other, 'n': other_n}, {'m': -other_n, 'o': other}) AS f FROM near GROUP BY word, n
+), forms AS (
+    SELECT v.word, v.n, coalesce(n_near, 0) AS n_near,
+           CASE WHEN f.n >= 2 * v.n THEN f.o END AS form, CASE WHEN f.n >= 2 * v.n THEN f.n END AS form_n
+    FROM v LEFT JOIN best USING (word)
+), chain AS (
+    SELECT word, word AS at, form AS next FROM forms
+    UNION ALL SELECT chain.word, forms.word, forms.form FROM chain JOIN forms ON chain.next = forms.word
+)
+SELECT forms.*, chain.at AS root FROM forms JOIN chain ON chain.word = forms.word AND chain.next IS NULL
+"""
