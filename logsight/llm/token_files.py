@@ -29,9 +29,11 @@ _NO_SPACE = regex.compile("[\x1c-\x1f]")
 #: Longer pieces between white space are not kept.
 LONGEST_KEPT = 64
 #: Bytes of pieces and ids that a worker keeps for sure; it never has more than twice as many.
-KEPT_BYTES = 96 << 20
+KEPT_BYTES = 160 << 20
 #: What an entry takes besides its characters and ids.
 ENTRY_BYTES = 200
+#: A piece of one id that no other piece has.
+MARK = "\0"
 #: Rows, and ids over which a batch is closed.
 BATCH_ROWS, BATCH_IDS = 512, 1 << 20
 
@@ -81,38 +83,56 @@ class KeptEncoder:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        (self.mark,) = self.library.encode(MARK, add_special_tokens=False).ids
         self.bound, self.size = kept_bytes, 0
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
     def encode_all(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers."""
-        pieces = [[p for p in _SPACE.split(t) if p] if _NO_SPACE.search(t) else t.split() for t in texts]
-        found = self._look_up({p for ps in pieces for p in ps})
-        return [b"".join(map(found.__getitem__, ps)) for ps in pieces]
-
-    def _look_up(self, wanted: set[str]) -> dict[str, bytes]:
         if self.size > self.bound:
             self.older, self.kept, self.size = self.kept, {}, 0
-        found, new = {}, []
-        for piece in wanted:
-            ids = self.kept.get(piece)
-            if ids is None:
-                ids = self.older.get(piece)
-                if ids is None:
-                    new.append(piece)
-                    continue
-                self._keep(piece, ids)
-            found[piece] = ids
-        for piece, e in zip(new, self.library.encode_batch(new, add_special_tokens=False), strict=True):
-            found[piece] = np.array(e.ids, "<u4").tobytes()
-            self._keep(piece, found[piece])
-        return found
-
-    def _keep(self, piece: str, ids: bytes) -> None:
-        if len(piece) <= LONGEST_KEPT:
-            self.kept[piece] = ids
-            self.size += 4 * len(piece) + len(ids) + ENTRY_BYTES
+        pieces = [[p for p in _SPACE.split(t) if p] if _NO_SPACE.search(t) else t.split() for t in texts]
+        found = [list(map(self.kept.get, ps)) for ps in pieces]
+        missing = {p for ps, f in zip(pieces, found, strict=True) if None in f for p, ids in zip(ps, f, strict=True) if ids is None}
+        if missing:
+            got = self._look_up(missing)
+            for ps, f in zip(pieces, found, strict=True):
+                if None in f:
+                    f[:] = [got[p] if ids is None else ids for p, ids in zip(ps, f, strict=True)]
+        return [b"".join(f) for f in found]
+
+    def _look_up(self, missing: set[str]) -> dict[str, bytes]:
+        got = {p: self.older[p] for p in missing if p in self.older}
+        new = [p for p in missing if p not in got]
+        got.update(zip(new, self._encode(new), strict=True))
+        for piece, ids in got.items():
+            if len(piece) <= LONGEST_KEPT:
+                self.kept[piece] = ids
+                self.size += 4 * len(piece) + len(ids) + ENTRY_BYTES
+        return got
+
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        """All pieces as one text with marks between them, which is cheaper than one by one."""
+        if not pieces:
+            return []
+        if any(MARK in p for p in pieces):
+            return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(pieces, add_special_tokens=False)]
+        ids = np.array(self.library.encode(f" {MARK} ".join(pieces), add_special_tokens=False).ids, "<u4")
+        ends = np.flatnonzero(ids == self.mark)
+        raw = ids.tobytes()
+        bounds = zip([0, *(4 * ends + 4).tolist()], [*(4 * ends).tolist(), len(raw)], strict=True)
+        return [raw[lo:hi] for lo, hi in bounds]
+
+
+_ENCODERS: dict[str, KeptEncoder] = {}
+
+
+def _encoder(path: str) -> KeptEncoder:
+    """The encoder of a vocabulary file, made once in each worker."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = KeptEncoder(path)
+    return _ENCODERS[path]
 
 
 def write_tokens(
@@ -147,7 +167,7 @@ def write_tokens(
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = KeptEncoder(path)
+        encoder = _encoder(path)
         part, row, start = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             lo, held, size = 0, [], 0
