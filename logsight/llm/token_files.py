@@ -9,6 +9,7 @@ skipped by their statistics and page indexes; positions are deltas, token ids a
 from __future__ import annotations
 
 import os
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -21,6 +22,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from logsight.llm.bpe import byte_symbols
 from logsight.llm.text import prepare, whole_text
 
 _SPACE = regex.compile(r"\s+")
@@ -29,11 +31,13 @@ _NO_SPACE = regex.compile("[\x1c-\x1f]")
 #: Longer pieces between white space are not kept.
 LONGEST_KEPT = 64
 #: Bytes of pieces and ids that a worker keeps for sure; it never has more than twice as many.
-KEPT_BYTES = 160 << 20
+KEPT_BYTES = 112 << 20
 #: What an entry takes besides its characters and ids.
 ENTRY_BYTES = 200
 #: A piece of one id that no other piece has.
 MARK = "\0"
+#: Pieces that are one word or a word and a mark, whose letters change alone when they are lower-cased.
+_PLAIN = regex.compile("[A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u017f]+[.,]?")
 #: Rows, and ids over which a batch is closed.
 BATCH_ROWS, BATCH_IDS = 512, 1 << 20
 
@@ -84,6 +88,7 @@ class KeptEncoder:
         self.library.no_truncation()
         self.library.no_padding()
         (self.mark,) = self.library.encode(MARK, add_special_tokens=False).ids
+        self.model, self.symbols = self.library.model, byte_symbols()
         self.bound, self.size = kept_bytes, 0
         self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
@@ -104,7 +109,12 @@ class KeptEncoder:
 
     def _look_up(self, missing: set[str]) -> dict[str, bytes]:
         got = {p: self.older[p] for p in missing if p in self.older}
-        new = [p for p in missing if p not in got]
+        new = []
+        for piece in missing.difference(got):
+            if _PLAIN.fullmatch(piece):
+                got[piece] = self._plain(piece)
+            else:
+                new.append(piece)
         got.update(zip(new, self._encode(new), strict=True))
         for piece, ids in got.items():
             if len(piece) <= LONGEST_KEPT:
@@ -112,6 +122,15 @@ class KeptEncoder:
                 self.size += 4 * len(piece) + len(ids) + ENTRY_BYTES
         return got
 
+    def _plain(self, piece: str) -> bytes:
+        """The ids of a piece that needs no cutting by the library's pattern: its words go to the model as they are."""
+        low = piece.lower()
+        words = (low[:-1], low[-1]) if low[-1] in ".," else (low,)
+        if not low.isascii():
+            words = ["".join([self.symbols[b] for b in w.encode()]) for w in words]
+        ids = [t.id for w in words for t in self.model.tokenize(w)]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
     def _encode(self, pieces: list[str]) -> list[bytes]:
         """All pieces as one text with marks between them, which is cheaper than one by one."""
         if not pieces:

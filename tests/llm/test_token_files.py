@@ -1,6 +1,7 @@
 """Token files: order, positions, layout and selective reads."""
 
 import os
+import random
 import zlib
 from array import array
 
@@ -102,6 +103,14 @@ def test_what_a_worker_keeps_is_bounded_in_bytes(library):
     assert max(map(len, small.kept)) <= TF.LONGEST_KEPT and small.size <= 21_000
 
 
+def test_encoding_of_any_string(library):
+    rng, encoder = random.Random(4), TF.KeptEncoder(WORD)
+    letters = "aábcÇÉñßŁĄſŉİıΣσς .,'!<|>endoftext\n\t\xa0\x1c\u0301\0ć  12sdlvre¡ÿ×÷\x85　ZQ"
+    for _ in range(3000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))
+        assert array("I", encoder.encode_all([text])[0]).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_query_over_a_whole_table(spark, sf_dir, library):
     docs = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     start, want = 0, []
