@@ -34,8 +34,6 @@ LONGEST_KEPT = 64
 KEPT_BYTES = 112 << 20
 #: What an entry takes besides its characters and ids.
 ENTRY_BYTES = 200
-#: A piece of one id that no other piece has.
-MARK = "\0"
 #: Pieces that are one word or a word and a mark, whose letters change alone when they are lower-cased.
 _PLAIN = regex.compile("[A-Za-zÀ-ÖØ-öø-\u012f\u0131-\u017f]+[.,]?")
 #: Rows, and ids over which a batch is closed.
@@ -73,54 +71,46 @@ class TokenLayout:
         }
 
 
-class KeptEncoder:
-    """The tokenizers library over the pieces between white space, each encoded once while there is room.
+class KeptEncoder(dict):
+    """The ids of pieces between white space by the tokenizers library, as little-endian 32-bit integers.
 
     A word of this kind of vocabulary never spans white space, so a text's ids are those of its pieces in a row.
-    What is kept is bounded in bytes; pieces over LONGEST_KEPT characters are encoded each time.
+    Each piece is encoded once while there is room: what is kept is bounded in bytes, what was not used since
+    the last time that it was full is dropped, and pieces over LONGEST_KEPT characters are encoded each time.
     """
 
     def __init__(self, path: str, kept_bytes: int = KEPT_BYTES):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
-        (self.mark,) = self.library.encode(MARK, add_special_tokens=False).ids
         self.model, self.symbols = self.library.model, byte_symbols()
         self.bound, self.size = kept_bytes, 0
-        self.kept: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
 
-    def encode_all(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers."""
+    def encode(self, text: str) -> bytes:
+        """The ids of a text."""
+        pieces = [p for p in _SPACE.split(text) if p] if _NO_SPACE.search(text) else text.split()
         if self.size > self.bound:
-            self.older, self.kept, self.size = self.kept, {}, 0
-        pieces = [[p for p in _SPACE.split(t) if p] if _NO_SPACE.search(t) else t.split() for t in texts]
-        found = [list(map(self.kept.get, ps)) for ps in pieces]
-        missing = {p for ps, f in zip(pieces, found, strict=True) if None in f for p, ids in zip(ps, f, strict=True) if ids is None}
-        if missing:
-            got = self._look_up(missing)
-            for ps, f in zip(pieces, found, strict=True):
-                if None in f:
-                    f[:] = [got[p] if ids is None else ids for p, ids in zip(ps, f, strict=True)]
-        return [b"".join(f) for f in found]
-
-    def _look_up(self, missing: set[str]) -> dict[str, bytes]:
-        got = {p: self.older[p] for p in missing if p in self.older}
-        new = []
-        for piece in missing.difference(got):
-            if _PLAIN.fullmatch(piece):
-                got[piece] = self._plain(piece)
-            else:
-                new.append(piece)
-        got.update(zip(new, self._encode(new), strict=True))
-        for piece, ids in got.items():
-            if len(piece) <= LONGEST_KEPT:
-                self.kept[piece] = ids
-                self.size += 4 * len(piece) + len(ids) + ENTRY_BYTES
-        return got
+            self.older, self.size = dict(self), 0
+            self.clear()
+        return b"".join(map(self.__getitem__, pieces))
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self._plain(piece) if _PLAIN.fullmatch(piece) else self._any(piece)
+        if len(piece) <= LONGEST_KEPT:
+            self[piece] = ids
+            self.size += 4 * len(piece) + len(ids) + ENTRY_BYTES
+        return ids
+
+    def _any(self, piece: str) -> bytes:
+        ids = self.library.encode(piece, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _plain(self, piece: str) -> bytes:
         """The ids of a piece that needs no cutting by the library's pattern: its words go to the model as they are."""
@@ -131,18 +121,6 @@ class KeptEncoder:
         ids = [t.id for w in words for t in self.model.tokenize(w)]
         return struct.pack(f"<{len(ids)}I", *ids)
 
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        """All pieces as one text with marks between them, which is cheaper than one by one."""
-        if not pieces:
-            return []
-        if any(MARK in p for p in pieces):
-            return [np.array(e.ids, "<u4").tobytes() for e in self.library.encode_batch(pieces, add_special_tokens=False)]
-        ids = np.array(self.library.encode(f" {MARK} ".join(pieces), add_special_tokens=False).ids, "<u4")
-        ends = np.flatnonzero(ids == self.mark)
-        raw = ids.tobytes()
-        bounds = zip([0, *(4 * ends + 4).tolist()], [*(4 * ends).tolist(), len(raw)], strict=True)
-        return [raw[lo:hi] for lo, hi in bounds]
-
 
 _ENCODERS: dict[str, KeptEncoder] = {}
 
@@ -191,8 +169,8 @@ def write_tokens(
         for batch in batches:
             lo, held, size = 0, [], 0
             for at in range(0, batch.num_rows, 64):
-                coded = encoder.encode_all(batch.column(1).slice(at, 64).to_pylist())
-                held += [c + end for c in coded]
+                coded = [encoder.encode(t) + end for t in batch.column(1).slice(at, 64).to_pylist()]
+                held += coded
                 size += sum(map(len, coded))
                 hi = lo + len(held)
                 if len(held) >= BATCH_ROWS or size >= 4 * BATCH_IDS or hi == batch.num_rows:

@@ -98,9 +98,9 @@ def test_what_a_worker_keeps_is_bounded_in_bytes(library):
     small = TF.KeptEncoder(WORD, kept_bytes=20_000)
     texts = [f"{'x' * 20_000} word{i} <|endoftext|>y{i % 7}" for i in range(60)]
     for t in texts:
-        ids = array("I", small.encode_all([t])[0]).tolist()
+        ids = array("I", small.encode(t)).tolist()
         assert ids == library.encode(t, add_special_tokens=False).ids
-    assert max(map(len, small.kept)) <= TF.LONGEST_KEPT and small.size <= 21_000
+    assert max(map(len, small)) <= TF.LONGEST_KEPT and small.size <= 21_000
 
 
 def test_encoding_of_any_string(library):
@@ -108,7 +108,7 @@ def test_encoding_of_any_string(library):
     letters = "aábcÇÉñßŁĄſŉİıΣσς .,'!<|>endoftext\n\t\xa0\x1c\u0301\0ć  12sdlvre¡ÿ×÷\x85　ZQ"
     for _ in range(3000):
         text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 30)))
-        assert array("I", encoder.encode_all([text])[0]).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+        assert array("I", encoder.encode(text)).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
 def test_query_over_a_whole_table(spark, sf_dir, library):
