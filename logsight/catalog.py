@@ -638,7 +638,8 @@ def anomaly_table(spark, sf):
 def ledger(spark, sf):
     """E-15: rows scored and flagged per day."""
     flagged = materialise(_flagged(spark, sf).withColumn("day", F.to_date(S.TIME)), "flagged")
-    return store.ledger_rows(flagged, flagged.where("is_anomaly"), S.STAGE).drop("inserted_at")
+    days = flagged.select("day").distinct()
+    return store.ledger_rows(days, flagged, flagged.where("is_anomaly"), S.STAGE).drop("inserted_at")
 
 
 @query
@@ -838,12 +839,33 @@ def streamed_hour_stats(spark, sf):
     """J-01 to J-05, J-08: closed one-hour windows of a stream, with remembered cluster sizes."""
     lake = _new_lake(spark, "stream")
     run = stream_stats.start_stats(
-        _event_stream(spark, sf), lake, lake.path("checkpoint"), {"availableNow": True}, width="1 hour", delay="0 seconds"
+        _event_stream(spark, sf), lake, lake.path("checkpoint"), {"availableNow": True},
+        width="1 hour", delay="0 seconds", idle="0 seconds",
     )
     run.awaitTermination()
     return stream_stats.read_stats(lake).drop("day")
 
 
+@query
+def streamed_lagging_events(spark, sf):
+    """J-03, J-04, J-05: four batches with lagging instances; every event is counted, late or still open."""
+    lake = _new_lake(spark, "lagging")
+    log = query_log(spark, sf)
+    batch = F.floor((F.dayofmonth(S.TIME) - 1) / 8)
+    behind = F.col(S.INSTANCE).isin(3, 7) & (F.col("query_id") % 5 == 0)
+    arriving = log.withColumn("batch", F.when(behind, F.least(batch + 1, F.lit(3))).otherwise(batch))
+    for k in range(4):
+        arriving.where(F.col("batch") == k).drop("batch").write.mode("append").parquet(lake.path("incoming"))
+        source = spark.readStream.schema(log.schema).parquet(lake.path("incoming"))
+        stream_stats.start_stats(source, lake, lake.path("checkpoint"), {"availableNow": True}).awaitTermination()
+    columns = ["instance_id", "window_start"]
+    closed = stream_stats.read_stats(lake).select(*columns, F.col("total_queries").alias("events"))
+    left = stream_stats.open_windows(spark, lake.path("checkpoint")).select(*columns, F.col("total_queries").alias("events"))
+    late = lake.read(stream_stats.LATE_TABLE, stream_stats.late_schema(log.schema)).groupBy(*columns).agg(F.count("*").alias("events"))
+    named = [rows.withColumn("outcome", F.lit(name)) for name, rows in (("closed", closed), ("open", left), ("late", late))]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
 @query
 def streamed_landing(spark, sf):
     """J-06, A-14: training events landed by day by a stream."""

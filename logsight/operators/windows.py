@@ -21,13 +21,16 @@ def usable_size(col: Column) -> Column:
     return F.when(~F.isnan(number), number.try_cast("long"))
 
 
-def window_counts(
+SUMS = ["total_queries", *S.CLASSES, "total_spilled_mb", "total_queue_time_ms", "total_exec_time_ms"]
+
+
+def window_partials(
     events: DataFrame, width: str = DEFAULT_WIDTH, t: ClassThresholds = ClassThresholds()
 ) -> DataFrame:
-    """Per window and instance: class counts, sums and the last cluster size seen, if any.
+    """Per window and instance: class counts, sums, the last cluster size with its place, the newest event.
 
-    Everything is a partial aggregate, so a busy instance is combined before the shuffle. The same
-    plan runs in batch and, with a watermark on the events, as a stream.
+    Rows of one window and instance from several batches of events add up, see :func:`add_partials`.
+    Everything is a partial aggregate, so a busy instance is combined before the shuffle.
     """
     size = usable_size(F.col("cluster_size"))
     seen_at = F.when(size.isNotNull(), F.struct(S.TIME, "query_id"))
@@ -42,16 +45,39 @@ def window_counts(
         typed.groupBy(F.window(S.TIME, width).alias("w"), "instance_id")
         .agg(
             F.max_by(size, seen_at).alias("cluster_size"),
+            F.max(seen_at).alias("size_at"),
+            F.max(S.TIME).alias("newest"),
             F.count(F.lit(1)).alias("total_queries"),
             *[F.count_if(cls == c).alias(c) for c in S.CLASSES],
             _sum("mbytes_spilled").cast("double").alias("total_spilled_mb"),
             _sum("queue_duration_ms").cast("double").alias("total_queue_time_ms"),
             _sum("execution_duration_ms").cast("double").alias("total_exec_time_ms"),
         )
-        .select(F.col("w.start").alias("window_start"), *S.MINUTE_STATS.names[1:])
+        .select(F.col("w.start").alias("window_start"), *S.MINUTE_STATS.names[1:], "size_at", "newest")
+    )
+
+
+def add_partials(partials: DataFrame) -> DataFrame:
+    """One row per window and instance of several partial ones."""
+    return (
+        partials.groupBy("window_start", "instance_id")
+        .agg(
+            F.max_by("cluster_size", "size_at").alias("cluster_size"),
+            F.max("size_at").alias("size_at"),
+            F.max("newest").alias("newest"),
+            *[F.sum(c).alias(c) for c in SUMS],
+        )
+        .select(*partials.columns)
     )
 
 
+def window_counts(
+    events: DataFrame, width: str = DEFAULT_WIDTH, t: ClassThresholds = ClassThresholds()
+) -> DataFrame:
+    """Per window and instance: class counts, sums and the last cluster size seen, if any."""
+    return window_partials(events, width, t).select(*S.MINUTE_STATS.names)
+
+
 def carry_cluster_size(counts: DataFrame) -> DataFrame:
     """Windows without a cluster size take the instance's last known one, else -1.
 

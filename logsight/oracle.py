@@ -535,6 +535,32 @@ late AS (SELECT day FROM days ORDER BY day OFFSET 2)
 SELECT day, 'postcompile' AS stage, count(*) AS rows_scored
 FROM query_log JOIN late ON day = CAST(arrival_timestamp AS DATE) WHERE NOT was_aborted GROUP BY day"""
 
+SQL["streamed_lagging_events"] = f"""WITH {LOG},
+arriving AS (
+  SELECT instance_id, arrival_timestamp AS ts, time_bucket(INTERVAL '10 minutes', arrival_timestamp) AS window_start,
+    CASE WHEN instance_id IN (3, 7) AND query_id % 5 = 0 THEN least((day(arrival_timestamp) - 1) // 8 + 1, 3)
+         ELSE (day(arrival_timestamp) - 1) // 8 END AS batch
+  FROM query_log
+),
+clocks AS (  -- before each batch, and after the last
+  SELECT b.batch, i.instance_id,
+    greatest(max(ts) FILTER (WHERE a.instance_id = i.instance_id), max(ts) - INTERVAL '1 day') AS closed_to,
+    bool_or(a.instance_id = i.instance_id) AS seen
+  FROM (SELECT unnest(range(5)) AS batch) b
+  JOIN (SELECT DISTINCT instance_id FROM arriving) i ON true
+  JOIN arriving a ON a.batch < b.batch
+  GROUP BY 1, 2
+),
+judged AS (
+  SELECT a.*, coalesce(c.seen AND window_start + INTERVAL '70 minutes' <= c.closed_to, false) AS late,
+    window_start + INTERVAL '70 minutes' <= e.closed_to AS closed
+  FROM arriving a
+  LEFT JOIN clocks c ON c.batch = a.batch AND c.instance_id = a.instance_id
+  JOIN clocks e ON e.batch = 4 AND e.instance_id = a.instance_id
+)
+SELECT CASE WHEN late THEN 'late' WHEN closed THEN 'closed' ELSE 'open' END AS outcome, instance_id, window_start, count(*) AS events
+FROM judged GROUP BY ALL"""
+
 SQL["category_codes"] = f"""WITH {LOG}
 SELECT query_id, query_type, dense_rank() OVER (ORDER BY query_type) - 1 AS code
 FROM query_log WHERE NOT was_aborted"""

@@ -29,6 +29,13 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def folders_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of what a folder holds; none when it does not exist."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []
+
+
 def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None, path: str | None = None) -> DataFrame:
     """Write a result once and read it back: later uses scan it with known size and statistics."""
     spark = df.sparkSession

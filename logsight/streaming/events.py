@@ -34,10 +34,6 @@ def start_rejects(messages: DataFrame, path: str, checkpoint: str, trigger: dict
     )
 
 
-def with_watermark(stream: DataFrame, delay: str) -> DataFrame:
-    return stream.withWatermark("arrival_timestamp", delay)
-
-
 def hit_events(messages: DataFrame) -> DataFrame:
     """Anomaly hits that were published as JSON."""
     hit = F.from_json("value", S.ANOMALY_HIT)

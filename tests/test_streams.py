@@ -29,7 +29,7 @@ def put(folder, name, lines):
 
 def run_stats(spark, lake, folder, checkpoint):
     stream = events.events(events.message_files(spark, str(folder)))
-    stats.start_stats(stream, lake, checkpoint, NOW, delay="0 seconds").awaitTermination()
+    stats.start_stats(stream, lake, checkpoint, NOW, delay="0 seconds", idle="0 seconds").awaitTermination()
 
 
 def table(lake):
@@ -57,10 +57,53 @@ def test_windows_close_and_sizes_are_remembered(spark, lake, tmp_path):
     put(folder, "c.json", [message(9, "2024-01-01T00:03:00Z"), message(10, "2024-01-01T00:40:00Z")])
     run_stats(spark, lake, folder, checkpoint)
     assert table(lake)[:1] == [("00:00", 1, 3, 8)] and table(lake)[-1] == ("00:20", 1, 1, 8)
+    assert [(r["query_id"], r["window_start"].minute) for r in lake.read(stats.LATE_TABLE).collect()] == [(9, 0)]
+    counts = lake.read(stats.COUNTS_TABLE)
+    assert [tuple(r) for r in counts.orderBy("batch_id").select("rows_in", "rows_late", "windows_closed", "windows_open").collect()] == [
+        (4, 0, 1, 1), (2, 0, 2, 1), (2, 1, 1, 1)
+    ]
     run_stats(spark, lake, folder, checkpoint)  # nothing new
     assert len(table(lake)) == 4
 
 
+def test_instances_have_their_own_clocks(spark, lake, tmp_path):
+    """An instance that lags loses nothing; what comes after its own clock has passed is late."""
+    folder, checkpoint = tmp_path / "in", str(tmp_path / "cp")
+
+    def batch(name, lines):
+        put(folder, name, lines)
+        stream = events.events(events.message_files(spark, str(folder)))
+        stats.start_stats(stream, lake, checkpoint, NOW).awaitTermination()
+
+    batch("a.json", [message(1, "2024-01-01T00:01:00Z"), message(2, "2024-01-01T09:00:00Z", instance_id=2)])
+    batch("b.json", [message(3, "2024-01-01T00:02:00Z"), message(4, "2024-01-01T01:05:00Z")])  # 9 hours behind the other
+    assert table(lake) == []
+    batch("c.json", [message(5, "2024-01-01T01:30:00Z", cluster_size=6), message(6, "2024-01-01T00:03:00Z")])
+    assert table(lake) == [("00:00", 1, 3, -1)]  # in one batch with what closes it: counted
+    batch("d.json", [message(7, "2024-01-01T00:04:00Z"), message(8, "2024-01-01T09:05:00Z", instance_id=2)])
+    assert [r["query_id"] for r in lake.read(stats.LATE_TABLE).collect()] == [7]
+    # one that is silent for a day is closed by the others
+    batch("e.json", [message(9, "2024-01-02T02:00:00Z", instance_id=2), message(10, "2024-01-02T04:00:00Z", instance_id=3)])
+    assert table(lake) == [("00:00", 1, 3, -1), ("01:00", 1, 1, -1), ("01:30", 1, 1, 6), ("09:00", 2, 2, -1)]
+    left = stats.open_windows(spark, checkpoint)
+    assert sorted((r["instance_id"], r["total_queries"]) for r in left.collect()) == [(2, 1), (3, 1)]
+
+
+def test_replayed_batch_replaces_itself(spark, lake, log, tmp_path):
+    """The state of a batch is read from the one before, so running it again changes nothing."""
+    state = stats.WindowState(spark, str(tmp_path / "state"))
+    day = log.where("arrival_timestamp < timestamp '2024-01-03'")
+    for batch_id, half in ((4, 0), (7, 1), (7, 1)):  # a number in between had no rows
+        open_, instances = state.before(batch_id)
+        fresh = stats.window_partials(day.where(F.col("query_id") % 2 == half))
+        windows, clocks = stats.advance(fresh, open_, instances, delay="1000 days")
+        state.write(batch_id, windows, clocks)
+        state.forget()
+    got = state.before(99)[0].select("window_start", "instance_id", "total_queries")
+    assert got.exceptAll(minute_stats(day).select("window_start", "instance_id", "total_queries")).count() == 0
+    assert got.agg(F.sum("total_queries")).first()[0] == day.count()
+
+
 def test_rejects_are_kept(spark, tmp_path):
     folder = tmp_path / "in"
     put(folder, "a.json", ["{broken", message(1, None), message(2, "2024-01-01T00:00:00Z"), ""])
