@@ -7,14 +7,17 @@ from dataclasses import Field, fields, is_dataclass
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from logsight import schema as S
 from logsight.operators.anomaly import AnomalyThresholds
 from logsight.operators.windows import DEFAULT_WIDTH, minute_stats
-from logsight.plans import backtest, models, report
+from logsight.plans import backtest, models, report, retrain
 from logsight.session import tune_for_scale
 from logsight.sources import files, kafka, registry
-from logsight.sources.store import ANOMALIES_TABLE, Lakehouse, append_stats
+from logsight.sources.store import (
+    ANOMALIES_TABLE, MINUTE_STATS_TABLE, Lakehouse, bounded_run, enforce_retention, write_stats,
+)
 from logsight.streaming import events, landing, scoring, stats
 
 
@@ -33,25 +36,40 @@ def parser() -> argparse.ArgumentParser:
         p.add_argument("--max-offsets", type=int)
         p.add_argument("--allow-data-loss", action="store_true", help="go on when the topic has lost offsets")
         p.add_argument("--trigger", default="1 minute", help="time between batches")
-        p.add_argument("--checkpoint", required=True)
+        p.add_argument("--checkpoint", help="needed by all streams")
         p.add_argument("--once", action="store_true", help="stop when there is nothing new")
         p.add_argument("--window", default=DEFAULT_WIDTH)
         return p
 
     windowed = streaming("stats", "windowed statistics")
     windowed.add_argument("--delay", default=stats.DELAY, help="how long windows wait for instances that lag")
+    windowed.add_argument("--idle", default=stats.IDLE, help="lag after which an instance counts as silent")
     windowed.add_argument("--bounded", action="store_true", help="read the folder once and close every window")
     windowed.add_argument("--keep-days", type=int, help="days to keep in the table")
     windowed.add_argument("--archive", help="folder for older days")
-    streaming("score", "anomalies of a stream").add_argument("--publish", help="topic for anomalies")
+    windowed.add_argument("--max-days", type=int, help="stop after so many event days")
+    score = streaming("score", "anomalies of a stream")
+    score.add_argument("--publish", help="topic for anomalies")
+    score.add_argument("--max-days", type=int, help="stop after so many event days")
     streaming("collect", "published anomalies into the anomalies table")
     land = streaming("land", "training events by day")
     land.add_argument("--out", required=True)
+    land.add_argument("--writer", help="name under which progress is kept, so that days can be known to be complete")
+    land.add_argument("--max-days", type=int, help="stop after so many event days")
     land.add_argument("--codec", default="zstd", choices=landing.CODECS)
     streaming("rejects", "unreadable messages").add_argument("--out", required=True)
 
-    train = jobs.add_parser("train", help="train on the latest landed days")
-    train.add_argument("--events", required=True)
+    train = jobs.add_parser("train", help="train on the latest landed days, on days that are due, or on files")
+    source = train.add_mutually_exclusive_group(required=True)
+    source.add_argument("--events", help="folder of landed events")
+    source.add_argument("--files", help="comma-separated Parquet, ORC, JSON or Arrow files")
+    source.add_argument("--manifest", help="text file of such paths")
+    train.add_argument("--due", action="store_true", help="train every due day that all writers are done with")
+    train.add_argument("--every", type=int, default=1, help="train each n-th landed day")
+    train.add_argument("--incomplete", action="store_true", help="train days that writers may still add to")
+
+    compact = jobs.add_parser("compact", help="few files for each landed day that all writers are done with")
+    compact.add_argument("--events", required=True)
 
     for name, source in (("backtest", "--input"), ("follow", "--folder")):
         p = jobs.add_parser(name, help="train and score day by day")
@@ -127,9 +145,32 @@ def train_latest(spark: SparkSession, lake: Lakehouse, path: str) -> str:
     landed = spark.read.parquet(path)
     days = [r["day"] for r in files.latest_days(landed, config.train_window_days).orderBy("day").collect()]
     fitted = models.train_on(landed.where(landed["day"] >= days[0]), config) if days else None
+    return _registered(lake, fitted, days[-1] if days else None, path, config)
+
+
+def train_files(spark: SparkSession, lake: Lakehouse, paths: list[str]) -> str:
+    """Train on whole files and register the result under their latest day."""
+    config = models.ModelConfig()
+    rows = files.scan_training_files(spark, paths, S.scoring_columns(config.target))
+    newest = rows.agg(F.max(F.to_date(S.TIME))).first()[0]
+    return _registered(lake, models.train_on(rows, config), newest, ", ".join(paths), config)
+
+
+def _registered(lake: Lakehouse, fitted, day: date | None, source: str, config: models.ModelConfig) -> str:
     if fitted is None:
-        raise ValueError(f"{path} has fewer than {config.min_train_rows} rows to train on")
-    return registry.register(lake, fitted, days[-1])
+        raise ValueError(f"{source} has fewer than {config.min_train_rows} rows to train on")
+    return registry.register(lake, fitted, day)
+
+
+def train(spark: SparkSession, lake: Lakehouse, args) -> str:
+    if args.files or args.manifest:
+        named = files.parse_paths(args.files) if args.files else [r["path"] for r in files.read_manifest(spark, args.manifest).collect()]
+        return train_files(spark, lake, named)
+    if args.due:
+        landed = spark.read.parquet(args.events)
+        days = retrain.train_due(lake, landed, models.ModelConfig(), args.every, not args.incomplete)
+        return ", ".join(d.isoformat() for d in days) or "no day is due"
+    return train_latest(spark, lake, args.events)
 
 
 def run(spark: SparkSession, args) -> DataFrame | None:
@@ -140,7 +181,11 @@ def run(spark: SparkSession, args) -> DataFrame | None:
         tw = report.time_window(stored, args.period)
         return REPORTS[args.query](stored, found, tw, report.parse_ids(args.ids) or None)
     if args.job == "train":
-        print(train_latest(spark, lake, args.events))
+        print(train(spark, lake, args))
+        return None
+    if args.job == "compact":
+        days = [r["day"] for r in landing.ready_days(landing.progress(lake)).orderBy("day").collect()]
+        landing.compact_days(spark, args.events, days)
         return None
     if args.job == "backtest":
         print(backtest.run_backtest(spark, spark.read.parquet(args.input), lake, backtest_config(args), args.start_day, args.end_day))
@@ -151,16 +196,25 @@ def run(spark: SparkSession, args) -> DataFrame | None:
 
     trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
     if args.job == "stats" and args.bounded:
+        if not args.messages:
+            raise SystemExit("--bounded reads a folder: name it with --messages")
         text = spark.read.text(args.messages)
-        append_stats(lake, minute_stats(events.events(text), args.window))
+        write_stats(lake, minute_stats(events.events(text), args.window), bounded_run(args.messages))
+        if args.keep_days:
+            enforce_retention(lake, MINUTE_STATS_TABLE, args.keep_days, args.archive or lake.path("archive"))
         return None
+    if not args.checkpoint:
+        raise SystemExit(f"{args.job} needs --checkpoint")
     raw = messages(spark, args)
     if args.job == "stats":
         query = stats.start_stats(
-            events.events(raw), lake, args.checkpoint, trigger, args.window, args.delay, args.keep_days, args.archive
+            events.events(raw), lake, args.checkpoint, trigger, args.window, args.delay, args.idle,
+            args.keep_days, args.archive, max_days=args.max_days,
         )
     elif args.job == "land":
-        query = landing.start_landing(events.events(raw), args.out, args.checkpoint, trigger, args.codec)
+        query = landing.start_landing(
+            events.events(raw), args.out, args.checkpoint, trigger, args.codec, lake, args.writer, args.max_days
+        )
     elif args.job == "collect":
         query = scoring.start_anomaly_windows(events.hit_events(raw), lake, args.checkpoint, trigger, args.window)
     elif args.job == "rejects":
@@ -171,7 +225,7 @@ def run(spark: SparkSession, args) -> DataFrame | None:
             def publish(rows: DataFrame) -> None:
                 kafka.write_topic(kafka.as_messages(rows), args.servers, args.publish)
         query = scoring.start_scoring(
-            events.events(raw), lake, args.checkpoint, trigger, width=args.window, publish=publish
+            events.events(raw), lake, args.checkpoint, trigger, width=args.window, publish=publish, max_days=args.max_days
         )
     query.awaitTermination()
     return None

@@ -15,10 +15,10 @@ from logsight.functions import values as V
 from logsight.functions.classify import Measures, query_class
 from logsight.operators import anomaly, features, ranks, sampling, windows
 from logsight.operators.anomaly import AnomalyThresholds
-from logsight.plans import backtest, models, regimes, report
+from logsight.plans import backtest, models, regimes, report, retrain
 from logsight.scratch import materialise, scratch_path
 from logsight.session import use_utc
-from logsight.sources import files, ingest, kafka, registry, store
+from logsight.sources import arrow_shards, files, ingest, kafka, registry, store
 from logsight.sources.query_log import fixture_predictions, query_log, query_log_from_events
 from logsight.streaming import landing, scoring
 from logsight.streaming import stats as stream_stats
@@ -617,11 +617,78 @@ def evolved_table(spark, sf):
     return lake.read("t").select("query_id", "query_type", "num_joins", "num_scans")
 
 
+@query
+def widened_table(spark, sf):
+    """A-20: a column that outgrows its type: whole numbers, then longer ones, decimals and text."""
+    lake = _new_lake(spark, "widen")
+    log = query_log(spark, sf)
+    number = F.col("query_id").cast("int")
+    pieces = [number, F.col("query_id") + (1 << 40), F.col("query_id") / 2, F.concat(F.lit("q"), F.col("query_id"))]
+    for i, piece in enumerate([*pieces, number]):
+        rows = log.where(F.col("query_id") % 5 == i)
+        lake.append("t", rows.select("query_id", piece.alias("word"), (piece if i < 2 else number).alias("number")))
+    return lake.read("t")
+
+
+@query
+def shard_scan(spark, sf):
+    """A-07, K-10: Arrow shards on shared storage, some columns of them, types made to fit."""
+    lake = _new_lake(spark, "shards")
+    log = query_log(spark, sf).withColumn("num_scans", F.col("num_scans").cast("int"))
+    folder = lake.path("shards")
+    uri = folder if "://" in folder else f"file://{folder.removeprefix('file:')}"
+    paths = arrow_shards.write_shards(log.repartition(3, "query_id"), uri)
+    named = [r["path"] for r in paths.collect()]  # one row a shard
+    wanted = ["query_id", "query_type", "num_scans", "execution_duration_ms"]
+    return files.scan_training_files(spark, named, wanted, S.QUERY_EVENT)
+
+
+@query
+def manifest_scan(spark, sf):
+    """A-08, A-11, K-10: training rows from the files that a list names."""
+    lake = _new_lake(spark, "manifest")
+    log = query_log(spark, sf)
+    half = F.col("query_id") % 2
+    log.where(half == 0).select("query_id", "query_type").write.parquet(lake.path("a.parquet"))
+    log.where(half == 1).select("query_type", "query_id", "num_joins").write.orc(lake.path("b.orc"))
+    lines = [lake.path("a.parquet"), "", f"  {lake.path('b.orc')} ", lake.path("a.parquet")]
+    spark.createDataFrame([(line,) for line in lines], "value string").coalesce(1).write.text(lake.path("list"))
+    paths = [r["path"] for r in files.read_manifest(spark, lake.path("list")).collect()]  # one row a file
+    return files.scan_training_files(spark, paths, ["query_id", "query_type", "num_joins"])
+
+
+@query
+def trained_days(spark, sf):
+    """J-10, J-11, D-05, J-14: landed by a stream, each seventh day that is complete gets one model."""
+    lake = _new_lake(spark, "rollover")
+    path, checkpoint = lake.path("events"), lake.path("checkpoint")
+    landing.start_landing(
+        _event_stream(spark, sf), path, checkpoint, {"availableNow": True}, lake=lake, writer="w0"
+    ).awaitTermination()
+    config = models.ModelConfig(max_iter=1, train_window_days=7, min_train_rows=1)
+    for _ in range(2):  # the second run finds nothing due
+        retrain.train_due(lake, spark.read.parquet(path), config, every=7)
+    return lake.read(registry.REGISTRY).groupBy("trained_on", "stage").agg(F.count_if(~F.col("retired")).alias("versions"))
+
+
+@query
+def stopped_stream(spark, sf):
+    """J-12: a stream that ends with its third day; rows of later days in the same batch are not counted."""
+    lake = _new_lake(spark, "stopped")
+    run = stream_stats.start_stats(
+        _event_stream(spark, sf), lake, lake.path("checkpoint"), {"processingTime": "0 seconds"}, width="1 hour", max_days=3
+    )
+    run.awaitTermination()
+    closed = stream_stats.read_stats(lake).select(*S.MINUTE_STATS.names)
+    rows = closed.unionByName(stream_stats.open_windows(spark, lake.path("checkpoint")))
+    return rows.groupBy(F.to_date("window_start").alias("day")).agg(F.sum("total_queries").alias("queries"))
+
+
 @query
 def stats_table(spark, sf):
     """A-15, A-16, A-18, A-19, B-17: statistics written, registered and read back by name."""
     lake = _new_lake(spark, "stream")
-    store.append_stats(lake, windows.minute_stats(query_log(spark, sf), "1 hour"))
+    store.write_stats(lake, windows.minute_stats(query_log(spark, sf), "1 hour"))
     lake.register(store.MINUTE_STATS_TABLE)
     return lake.resolve(store.MINUTE_STATS_TABLE).select(*S.MINUTE_STATS.names)
 
@@ -630,7 +697,7 @@ def stats_table(spark, sf):
 def anomaly_table(spark, sf):
     """A-17: anomalies flattened to fixed columns, appended and read back."""
     lake = _new_lake(spark, "ml")
-    store.append_anomalies(lake, windows.stamp_window(anomaly.hits(_hits(spark, sf))))
+    store.write_anomalies(lake, windows.stamp_window(anomaly.hits(_hits(spark, sf))))
     return lake.read(store.ANOMALIES_TABLE).select("window_start", "query_id", "anomaly_reason", "true_ms", "pred_ms")
 
 
@@ -671,7 +738,7 @@ def retention_cutoff(spark, sf):
 def archived_stats(spark, sf):
     """A-22, E-16: statistics left after retention, and how many went to the archive."""
     lake = _new_lake(spark, "retain")
-    store.append_stats(lake, windows.minute_stats(query_log(spark, sf), "1 day"))
+    store.write_stats(lake, windows.minute_stats(query_log(spark, sf), "1 day"))
     moved = store.enforce_retention(lake, store.MINUTE_STATS_TABLE, 8, lake.path("archive"))
     kept = lake.read(store.MINUTE_STATS_TABLE)
     return kept.agg(

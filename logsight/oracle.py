@@ -561,6 +561,30 @@ judged AS (
 SELECT CASE WHEN late THEN 'late' WHEN closed THEN 'closed' ELSE 'open' END AS outcome, instance_id, window_start, count(*) AS events
 FROM judged GROUP BY ALL"""
 
+SQL["widened_table"] = f"""WITH {LOG}
+SELECT query_id,
+  CASE query_id % 5 WHEN 1 THEN CAST(query_id + 1099511627776 AS VARCHAR) WHEN 2 THEN CAST(CAST(query_id AS DOUBLE) / 2 AS VARCHAR)
+    WHEN 3 THEN 'q' || query_id ELSE CAST(query_id AS VARCHAR) END AS word,
+  CASE query_id % 5 WHEN 1 THEN query_id + 1099511627776 ELSE query_id END AS number
+FROM query_log"""
+
+SQL["shard_scan"] = f"WITH {LOG} SELECT query_id, query_type, num_scans, execution_duration_ms FROM query_log"
+
+SQL["manifest_scan"] = f"""WITH {LOG}
+SELECT query_id, query_type, CASE WHEN query_id % 2 = 1 THEN num_joins END AS num_joins FROM query_log"""
+
+SQL["trained_days"] = f"""WITH {LOG},
+days AS (SELECT DISTINCT CAST(arrival_timestamp AS DATE) AS day FROM query_log WHERE NOT was_cached AND NOT was_aborted),
+numbered AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS i FROM days),
+due AS (SELECT day FROM numbered WHERE i % 7 = 0 AND day < (SELECT max(CAST(arrival_timestamp AS DATE)) FROM query_log))
+SELECT day AS trained_on, 'postcompile' AS stage,
+  CAST(1 AS BIGINT) AS versions
+FROM due"""
+
+SQL["stopped_stream"] = f"""WITH {LOG}
+SELECT CAST(arrival_timestamp AS DATE) AS day, count(*) AS queries FROM query_log
+WHERE CAST(arrival_timestamp AS DATE) < (SELECT min(CAST(arrival_timestamp AS DATE)) FROM query_log) + 3 GROUP BY 1"""
+
 SQL["category_codes"] = f"""WITH {LOG}
 SELECT query_id, query_type, dense_rank() OVER (ORDER BY query_type) - 1 AS code
 FROM query_log WHERE NOT was_aborted"""

@@ -17,10 +17,11 @@ from logsight.operators.anomaly import (
 )
 from logsight.operators.ranks import instance_ranks
 from logsight.operators.sampling import sample_per_group
+from logsight.operators.windows import stamp_window
 from logsight.plans.models import ModelConfig, StageModels, score, train_on
-from logsight.scratch import Scratch, delete_folder
+from logsight.scratch import Scratch
 from logsight.sources import files, registry
-from logsight.sources.store import Lakehouse, ledger_rows, metadata_rows, pending_days
+from logsight.sources.store import ANOMALIES_TABLE, Lakehouse, ledger_rows, metadata_rows, pending_days
 
 
 @dataclass(frozen=True)
@@ -50,8 +51,8 @@ def process_days(
     """Score the days of a frame with one model; write anomalies, controls, summaries and ledger.
 
     All days of a model go through the same few jobs. All rows count in the ranks of their day, but
-    only long ones can be flagged and need theirs looked up. All tables are written per (day,
-    stage), so running a day again replaces it.
+    only long ones can be flagged and need theirs looked up. All tables are written per day and
+    run, so running a day again replaces it.
     """
     with Scratch(lake.spark) as keep:
         _process(lake, days, events, models, config, keep)
@@ -68,28 +69,23 @@ def _process(lake, days: list[date], events: DataFrame, models: StageModels, c:
 
     checked = keep(flagged(scored.where(long)), "checked")
     hits = checked.where("is_anomaly")
-    _write_days(lake, "anomalies", hits, days, stage)
+    run = f"backtest-{stage}"
+    lake.replace_days(ANOMALIES_TABLE, _typed(stamp_window(hits)), days, run)
     for key, table in (("instance_id", "daily_instance_anomaly_summary"), ("user_id", "daily_user_anomaly_summary")):
-        _write_days(lake, table, anomaly_summary(hits, key, ["day", "stage"]), days, stage)
+        lake.replace_days(table, anomaly_summary(hits, key, ["day", "stage"]), days, run)
     if c.control_sample > 0:
         cleared = checked.where(~F.col("is_anomaly")).select(*scored.columns)
         pool = scored.where(~long).unionByName(cleared)
         sampled = flagged(sample_per_group(pool, c.control_sample, ["day"], seed=c.seed))
-        _write_days(lake, "controls", sampled, days, stage)
+        lake.replace_days("controls", sampled, days, run)
     day_frame = lake.spark.createDataFrame([(d,) for d in days], "day date")
     lake.append(LEDGER, ledger_rows(day_frame, scored, hits, stage))
 
 
-def _write_days(lake: Lakehouse, table: str, rows: DataFrame, days: list[date], stage: str) -> None:
-    for d in days:  # a day without rows now must not keep those of an earlier run
-        delete_folder(lake.spark, f"{lake.path(table)}/day={d.isoformat()}/stage={stage}")
-    (
-        rows.hint("rebalance", "day")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("day", "stage")
-        .parquet(lake.path(table))
-    )
+def _typed(hits: DataFrame) -> DataFrame:
+    """Hits with the types of the anomalies table where it has their columns."""
+    kinds = {f.name: f.dataType for f in S.ANOMALIES}
+    return hits.select(*[F.col(c).cast(kinds[c]).alias(c) if c in kinds else F.col(c) for c in hits.columns])
 
 
 def _run(lake: Lakehouse, days: list[date], read_days, config: BacktestConfig, first: int, meta: dict) -> list[date]:

@@ -6,20 +6,10 @@ import json
 from dataclasses import asdict, dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.ml.classification import (
-    GBTClassificationModel,
-    GBTClassifier,
-    RandomForestClassificationModel,
-    RandomForestClassifier,
-)
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import StringIndexer, StringIndexerModel, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import (
-    DecisionTreeRegressionModel,
-    DecisionTreeRegressor,
-    GBTRegressionModel,
-    GBTRegressor,
-)
+from pyspark.ml.regression import GBTRegressionModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,6 +18,7 @@ from logsight.functions import values as V
 from logsight.operators.features import FeatureSpec, feature_spec, fingerprint_counts, prepare
 from logsight.operators.order_stats import exact_quantiles
 from logsight.operators.sampling import sample_rows
+from logsight.plans.boosting import Boosted, Boosting, boost, boost_mean, pinball, softmax
 from logsight.scratch import Scratch, materialise, scratch_dir
 
 #: Stands for a missing number: trees split it off, and the indicator columns name it.
@@ -62,6 +53,13 @@ class ModelConfig:
     validation_fraction: float = 0.1
     #: Boosting ends when the held-out loss has not fallen by a millionth in so many rounds.
     patience: int = 15
+    #: The quantile of what the mean misses has fewer, larger steps: its leaves are exact quantiles.
+    quantile_step: float = 0.2
+    quantile_iter: int = 64
+    quantile_patience: int = 6
+    quartile_step: float = 0.3
+    quartile_iter: int = 40
+    quartile_patience: int = 4
     classifier_depth: int = 8
     classifier_iter: int = 250
     classifier_step: float = 0.08
@@ -71,17 +69,16 @@ class ModelConfig:
 
 @dataclass
 class StageModels:
-    """Everything scoring needs; the tables are DataFrames, the models Spark ML models."""
+    """Everything scoring needs; mean is the expected time, high the quantile of what it misses, on the log scale."""
 
     config: ModelConfig
     spec: FeatureSpec
     fingerprints: DataFrame
     indexer: StringIndexerModel
     mean: GBTRegressionModel
-    tree: DecisionTreeRegressionModel
-    leaf_quantiles: DataFrame
+    high: Boosted
     explode: GBTClassificationModel | None = None
-    quartile: RandomForestClassificationModel | None = None
+    quartile: Boosted | None = None
     quartile_edges: list[float] = field(default_factory=list)
 
 
@@ -148,28 +145,23 @@ def train(prepared: DataFrame, fingerprints: DataFrame, config: ModelConfig) ->
     try:
         if frame.count() < config.min_train_rows:
             return None
-        mean = fit_mean(frame, config)
-        # what the mean misses, and its quantile in each leaf of a tree over it
-        missed = mean.transform(frame).withColumn("missed", F.col("label") - F.col("_mean_log")).drop("_mean_log")
-        tree = DecisionTreeRegressor(
-            labelCol="missed",
-            maxDepth=config.max_depth,
-            minInstancesPerNode=config.min_leaf_rows,
-            leafCol="_leaf",
-            predictionCol="_tree_log",
-            seed=config.seed,
-        ).fit(missed)
-        leaves = exact_quantiles(
-            tree.transform(missed), ["_leaf"], {"y": F.col("missed")}, [config.quantile]
-        ).withColumnRenamed("y_q0", "_q_log")
+        growth = Boosting(
+            config.max_depth, config.max_iter, config.step_size, config.min_leaf_rows, config.patience,
+            cut_every=2 * config.patience, seed=config.seed,
+        )
+        mean, _ = boost_mean(frame, growth)
+        missed = mean.setPredictionCol("_mean_log").transform(frame).withColumn("label", F.col("label") - F.col("_mean_log"))
+        finer = Boosting(
+            config.max_depth, min(config.quantile_iter, config.max_iter), config.quantile_step, config.min_leaf_rows,
+            config.quantile_patience, cut_every=config.quantile_patience + 2, seed=config.seed,
+        )
         models = StageModels(
             config=config,
             spec=spec,
             fingerprints=fingerprints,
             indexer=indexer,
             mean=mean,
-            tree=tree,
-            leaf_quantiles=materialise(leaves, "leaf-quantiles"),
+            high=boost(missed, pinball(config.quantile), finer),
         )
         if config.train_classifiers:
             _fit_classifiers(frame, models)
@@ -178,66 +170,20 @@ def train(prepared: DataFrame, fingerprints: DataFrame, config: ModelConfig) ->
         frame.unpersist()
 
 
-def kept_rounds(losses: list[float], patience: int, tol: float = 1e-6) -> tuple[int, bool]:
-    """(rounds up to the least held-out loss, whether it has not fallen for `patience` rounds since)."""
-    best, at = float("inf"), 0
-    for i, loss in enumerate(losses):
-        if loss < best - tol:
-            best, at = loss, i
-        elif i - at >= patience:
-            return at + 1, True
-    return at + 1, False
-
-
-def fit_mean(frame: DataFrame, config: ModelConfig) -> GBTRegressionModel:
-    """Boosted trees up to the round with the least held-out loss, as far as patience goes.
-
-    Rounds are fitted in doubling numbers until the held-out loss has stopped falling, and then once more in
-    the number that is kept, which gives the same trees.
-    """
-    sc = frame.sparkSession.sparkContext
-    if sc.getCheckpointDir() is None:  # boosting cuts its lineage there
-        sc.setCheckpointDir(scratch_dir(frame.sparkSession))
-
-    def fit(rounds: int) -> GBTRegressionModel:
-        return GBTRegressor(
-            lossType="squared",
-            maxDepth=config.max_depth,
-            stepSize=config.step_size,
-            maxIter=rounds,
-            minInstancesPerNode=config.min_leaf_rows,
-            seed=config.seed,
-            predictionCol="_mean_log",
-        ).fit(learnt)
-
-    learnt, held_out = frame.where(~F.col("held_out")), frame.where("held_out")
-    if held_out.isEmpty():
-        return fit(config.max_iter)
-    rounds = min(config.max_iter, 2 * config.patience)
-    while True:
-        model = fit(rounds)
-        kept, stopped = kept_rounds(model.evaluateEachIteration(held_out, "squared"), config.patience)
-        if stopped or rounds >= config.max_iter:
-            return model if kept == rounds else fit(kept)
-        rounds = min(config.max_iter, 2 * rounds)
-
-
 def _fit_classifiers(frame: DataFrame, models: StageModels) -> None:
     c = models.config
     edges = quartile_edges(frame, "y_ms").first()
     models.quartile_edges = list(edges)
-    q25, q50, q75 = (F.lit(e) for e in edges)
-    y = F.col("y_ms")
-    models.quartile = RandomForestClassifier(
-        labelCol="quartile",
-        maxDepth=c.classifier_depth,
-        minInstancesPerNode=c.classifier_leaf_rows,
-        seed=c.seed,
-        predictionCol="_quartile",
-        rawPredictionCol="_quartile_raw",
-        probabilityCol="_quartile_p",
-    ).fit(frame.withColumn("quartile", quartile_label(y, q25, q50, q75)))
-    labelled = frame.withColumn("explodes", explode_label(y, c.explode_threshold_ms))
+    growth = Boosting(
+        c.classifier_depth, min(c.quartile_iter, c.classifier_iter), c.quartile_step, c.classifier_leaf_rows,
+        c.quartile_patience, cut_every=c.quartile_patience + 2, seed=c.seed,
+    )
+    quarter = quartile_label(F.col("y_ms"), *map(F.lit, edges)).cast("double")
+    models.quartile = boost(frame.withColumn("label", quarter), softmax(4), growth)
+    sc = frame.sparkSession.sparkContext
+    if sc.getCheckpointDir() is None:  # Spark's own boosting cuts its lineage there
+        sc.setCheckpointDir(scratch_dir(frame.sparkSession))
+    labelled = frame.withColumn("explodes", explode_label(F.col("y_ms"), c.explode_threshold_ms))
     if labelled.agg(F.count_distinct("explodes")).first()[0] == 2:
         boosted = GBTClassifier(
             labelCol="explodes",
@@ -256,18 +202,17 @@ def predict(models: StageModels, prepared: DataFrame) -> DataFrame:
     """Add predictions in ms to prepared rows: mean, quantile, and the larger of both if conservative."""
     c = models.config
     kept = prepared.columns
-    df = models.tree.transform(models.mean.transform(encode(prepared, models.spec, models.indexer)))
-    # one row per leaf: at most 2**max_depth rows, whatever the data
-    df = df.join(F.broadcast(models.leaf_quantiles), "_leaf", "left")
+    df = encode(prepared, models.spec, models.indexer)
+    df = models.high.predict(models.mean.setPredictionCol("_mean_log").transform(df), "_missed_log")
     mean_ms = V.from_log(F.col("_mean_log"), c.min_pred_ms)
-    q_ms = V.from_log(F.col("_mean_log") + F.coalesce(F.col("_q_log"), F.col("_tree_log")), c.min_pred_ms)
+    q_ms = V.from_log(F.col("_mean_log") + F.col("_missed_log"), c.min_pred_ms)
     p_explode, quartile = F.lit(0.0), F.lit(0).cast("long")
     if models.explode is not None:
         df = models.explode.transform(df)
         p_explode = vector_to_array("_explodes_p")[1]
     if models.quartile is not None:
-        df = models.quartile.transform(df)
-        quartile = F.col("_quartile").cast("long")
+        df = models.quartile.predict(df, "_quartile")
+        quartile = F.col("_quartile")
     df = df.withColumns({"pred_mean_ms": mean_ms, "pred_q_ms": q_ms, "p_explode": p_explode, "pred_quartile": quartile})
     used = F.greatest("pred_mean_ms", "pred_q_ms") if c.conservative else F.col("pred_mean_ms")
     return df.withColumn("pred_execution_ms", used).select(
@@ -305,12 +250,11 @@ def save_models(models: StageModels, path: str) -> None:
     spark = models.fingerprints.sparkSession
     models.indexer.write().overwrite().save(f"{path}/indexer")
     models.mean.write().overwrite().save(f"{path}/mean")
-    models.tree.write().overwrite().save(f"{path}/tree")
+    models.high.save(spark, f"{path}/high")
     if models.explode is not None:
         models.explode.write().overwrite().save(f"{path}/explode")
     if models.quartile is not None:
-        models.quartile.write().overwrite().save(f"{path}/quartile")
-    models.leaf_quantiles.write.mode("overwrite").parquet(f"{path}/leaf_quantiles")
+        models.quartile.save(spark, f"{path}/quartile")
     models.fingerprints.write.mode("overwrite").parquet(f"{path}/fingerprints")
     about = {
         "config": asdict(models.config),
@@ -330,9 +274,8 @@ def load_models(spark: SparkSession, path: str) -> StageModels:
         fingerprints=spark.read.parquet(f"{path}/fingerprints"),
         indexer=StringIndexerModel.load(f"{path}/indexer"),
         mean=GBTRegressionModel.load(f"{path}/mean"),
-        tree=DecisionTreeRegressionModel.load(f"{path}/tree"),
-        leaf_quantiles=spark.read.parquet(f"{path}/leaf_quantiles"),
+        high=Boosted.load(spark, f"{path}/high"),
         explode=GBTClassificationModel.load(f"{path}/explode") if about["has_explode"] else None,
-        quartile=RandomForestClassificationModel.load(f"{path}/quartile") if about["has_quartile"] else None,
+        quartile=Boosted.load(spark, f"{path}/quartile") if about["has_quartile"] else None,
         quartile_edges=about["quartile_edges"],
     )

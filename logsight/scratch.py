@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -29,6 +30,29 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def create_file(spark: SparkSession, path: str, text: str, stale_hours: float) -> bool:
+    """Create a file that is not there yet; false if it is. One that is older than stale_hours is replaced.
+
+    The file system decides who is first, so of several callers one succeeds.
+    """
+    jvm, name = spark._jvm, spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = name.getFileSystem(spark._jsc.hadoopConfiguration())
+    if system.exists(name):
+        age = jvm.java.lang.System.currentTimeMillis() - system.getFileStatus(name).getModificationTime()
+        if age < stale_hours * 3_600_000:
+            return False
+        # of several that find it stale, the one that moves it away goes on
+        if not system.rename(name, jvm.org.apache.hadoop.fs.Path(f"{path}.stale-{uuid.uuid4().hex}")):
+            return False
+    try:
+        out = system.create(name, False)
+    except Py4JJavaError:  # another was first
+        return False
+    out.write(bytearray(text.encode()))
+    out.close()
+    return True
+
+
 def folders_in(spark: SparkSession, path: str) -> list[str]:
     """Names of what a folder holds; none when it does not exist."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
@@ -36,6 +60,14 @@ def folders_in(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in system.listStatus(folder)] if system.exists(folder) else []
 
 
+def move_folder(spark: SparkSession, source: str, target: str) -> None:
+    paths = [spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target)]
+    system = paths[0].getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(paths[1].getParent())
+    if not system.rename(*paths):
+        raise OSError(f"{source} could not be moved to {target}")
+
+
 def materialise(df: DataFrame, label: str, partition_by: list[str] | None = None, path: str | None = None) -> DataFrame:
     """Write a result once and read it back: later uses scan it with known size and statistics."""
     spark = df.sparkSession

@@ -1,52 +1,72 @@
-"""Reading of existing Arrow/Feather shard files, one task per file."""
+"""Reading of existing Arrow/Feather shard files from any file system that Spark reads."""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
-
-FORMAT = "arrow_shards"
+from pyspark.sql.pandas.types import to_arrow_schema
 
+SUFFIXES = (".arrow", ".feather")
 
-def _source() -> type[DataSource]:
-    # defined inside a function, so that executors get the classes by value
 
-    class Shards(DataSourceReader):
-        def __init__(self, paths: list[str], schema: T.StructType):
-            self.paths, self.schema = paths, schema
-
-        def partitions(self):
-            return [InputPartition(p) for p in self.paths]
+def scan_shards(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
+    """The wanted columns of all shards by name, absent ones NULL; types are made to fit.
 
-        def read(self, partition):
-            import pyarrow as pa
-            from pyspark.sql.pandas.types import to_arrow_schema
+    Spark fetches the files, so paths may have any scheme that it knows, and deals them out to tasks; a task
+    holds one shard at a time (of at most 2 GB) and decodes only the wanted columns of one record batch after
+    the other.
+    """
+    wanted = to_arrow_schema(schema)
 
-            wanted = to_arrow_schema(self.schema)
-            with pa.memory_map(partition.value) as file:
-                reader = pa.ipc.open_file(file)
-                for i in range(reader.num_record_batches):
-                    batch = reader.get_batch(i)
-                    present = set(batch.schema.names)
-                    columns = [
+    def batches(found: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for content in found.column(0):
+            source = pa.BufferReader(content.as_buffer())
+            names = pa.ipc.open_file(source).schema.names
+            picked = [names.index(n) for n in wanted.names if n in names]
+            source.seek(0)
+            shard = pa.ipc.open_file(source, options=pa.ipc.IpcReadOptions(included_fields=picked or [0]))
+            for i in range(shard.num_record_batches):
+                batch = shard.get_batch(i)
+                present = set(batch.schema.names)
+                yield pa.RecordBatch.from_arrays(
+                    [
                         batch.column(f.name).cast(f.type) if f.name in present else pa.nulls(batch.num_rows, f.type)
                         for f in wanted
-                    ]
-                    yield pa.RecordBatch.from_arrays(columns, schema=wanted)
+                    ],
+                    schema=wanted,
+                )
 
-    class ArrowShards(DataSource):
-        @classmethod
-        def name(cls):
-            return FORMAT
+    def run(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in rows:
+            for i in range(found.num_rows):
+                yield from batches(found.slice(i, 1))
 
-        def reader(self, schema):
-            return Shards(self.options["paths"].split("\n"), schema)
+    return spark.read.format("binaryFile").load(paths).select("content").mapInArrow(run, schema)
 
-    return ArrowShards
 
+def write_shards(df: DataFrame, folder: str, codec: str = "lz4") -> DataFrame:
+    """Write a frame as shards, one a task, to a folder that tasks reach by Arrow's file systems; their paths."""
 
-def scan_shards(spark: SparkSession, paths: list[str], schema: T.StructType) -> DataFrame:
-    """The wanted columns of all shards (absent ones NULL); files must be on shared storage."""
-    spark.dataSource.register(_source())
-    return spark.read.format(FORMAT).schema(schema).option("paths", "\n".join(paths)).load()
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+        from pyspark import TaskContext
+
+        system, place = fs.FileSystem.from_uri(folder)
+        system.create_dir(place)
+        name = f"{place}/shard-{TaskContext.get().partitionId():06d}.arrow"
+        writer = None
+        with system.open_output_stream(name) as out:  # a task that runs again replaces its shard
+            for batch in batches:
+                if writer is None:
+                    writer = pa.ipc.new_file(out, batch.schema, options=pa.ipc.IpcWriteOptions(compression=codec))
+                writer.write_batch(batch)
+            if writer is None:
+                writer = pa.ipc.new_file(out, to_arrow_schema(schema))
+            writer.close()
+        yield pa.RecordBatch.from_pydict({"path": [name]})
+
+    schema = df.schema
+    return df.mapInArrow(run, "path string")

@@ -6,11 +6,13 @@ from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logsight import schema as S
 from logsight.functions import values as V
+from logsight.sources.arrow_shards import SUFFIXES, scan_shards
 
-SCAN_FORMATS = {".parquet": "parquet", ".orc": "orc", ".json": "json"}
+SCAN_FORMATS = {".parquet": "parquet", ".orc": "orc", ".json": "json", **dict.fromkeys(SUFFIXES, "arrow")}
 
 
 def scan_log(spark: SparkSession, path: str, limit: int | None = None) -> DataFrame:
@@ -135,16 +137,27 @@ def parse_paths(text: str) -> list[str]:
     return list(dict.fromkeys(p.strip() for p in text.split(",") if p.strip()))
 
 
-def scan_training_files(spark: SparkSession, paths: list[str], wanted: list[str]) -> DataFrame:
-    """All files as one frame by column name; an unknown suffix is an error."""
+def scan_training_files(
+    spark: SparkSession, paths: list[str], wanted: list[str], kinds: T.StructType | None = None
+) -> DataFrame:
+    """All files as one frame by column name; an unknown suffix is an error.
+
+    Arrow shards are read as the types that ``kinds`` gives the wanted columns.
+    """
     by_format: dict[str, list[str]] = {}
     for p in paths:
         suffix = p[p.rfind("."):].lower() if "." in p else ""
         if suffix not in SCAN_FORMATS:
             raise ValueError(f"unsupported training file type: {p}")
         by_format.setdefault(SCAN_FORMATS[suffix], []).append(p)
+    if not by_format:
+        raise ValueError("no training files are named")
     frames = []
     for fmt, group in by_format.items():
+        if fmt == "arrow":
+            known = kinds or S.QUERY_EVENT
+            frames.append(scan_shards(spark, group, T.StructType([known[c] for c in wanted if c in known.names])))
+            continue
         reader = spark.read.option("mergeSchema", "true") if fmt != "json" else spark.read
         frames.append(keep_present(reader.format(fmt).load(group), wanted))
     merged = frames[0]

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsight.plans.models import StageModels, load_models, save_models
-from logsight.scratch import delete_folder
+from logsight.scratch import create_file, delete_folder
 from logsight.sources.store import Lakehouse
 
 REGISTRY = "models"
@@ -55,7 +55,7 @@ def register(lake: Lakehouse, models: StageModels, trained_on: date, keep: int =
     tag = f"model_{stage}_{trained_on.isoformat()}"
     path = f"{lake.path('model_files')}/{tag}-{uuid.uuid4().hex[:8]}"
     save_models(models, path)
-    entry = lake.spark.range(1).select(
+    entry = lake.spark.range(0, 1, 1, 1).select(
         F.lit(tag).alias("tag"),
         F.lit(stage).alias("stage"),
         F.lit(trained_on).alias("trained_on"),
@@ -64,20 +64,50 @@ def register(lake: Lakehouse, models: StageModels, trained_on: date, keep: int =
         F.current_timestamp().alias("created_at"),
         F.lit(False).alias("retired"),
     )
-    lake.append(REGISTRY, entry)
+    _enter(lake, entry)
     gone = [r["path"] for r in superseded(lake, stage, keep).select("path").collect()]  # the few versions over keep
     old = superseded(lake, stage, keep).withColumns({"retired": F.lit(True), "created_at": F.current_timestamp()})
-    lake.append(REGISTRY, old.select(*REGISTRY_SCHEMA.names))
+    if gone:
+        _enter(lake, old.select(*REGISTRY_SCHEMA.names))
     for folder in gone:
         delete_folder(lake.spark, folder)
     return tag
 
 
+def _enter(lake: Lakehouse, entries: DataFrame) -> None:
+    """Add entries, in a folder of their own: of several runs that register at once none disturbs the others."""
+    entries.write.parquet(f"{lake.path(REGISTRY)}/entry={uuid.uuid4().hex}")
+
+
 def load_latest(lake: Lakehouse, stage: str) -> tuple[str, StageModels] | None:
     row = latest(lake, stage).first()
     return (row["tag"], load_models(lake.spark, row["path"])) if row else None
 
 
+def trained(lake: Lakehouse, stage: str, day: date) -> bool:
+    """Whether a version of the day was ever registered."""
+    entries = lake.read(REGISTRY, REGISTRY_SCHEMA).where((F.col("stage") == stage) & (F.col("trained_on") == F.lit(day)))
+    return not entries.isEmpty()
+
+
+def claim(lake: Lakehouse, stage: str, day: date, owner: str, stale_hours: float = 24.0) -> bool:
+    """Whether this owner may train the day: the first to ask is the only one.
+
+    A claim is a file that can only be created once. One older than stale_hours is that of a run that died and
+    gives way; a finished training leaves its claim, and its registry entry says that the day is done.
+    """
+    return create_file(lake.spark, _claim(lake, stage, day), owner, stale_hours)
+
+
+def release(lake: Lakehouse, stage: str, day: date) -> None:
+    """Give a claim back after a failed training, so that another run can try."""
+    delete_folder(lake.spark, _claim(lake, stage, day))
+
+
+def _claim(lake: Lakehouse, stage: str, day: date) -> str:
+    return f"{lake.path('training_claims')}/{stage}-{day.isoformat()}"
+
+
 def days_to_train(landed: DataFrame, lake: Lakehouse, stage: str, every: int = 1) -> DataFrame:
     """Landed days due for training: every n-th present day without a version yet."""
     if every <= 0:

@@ -15,6 +15,7 @@ from logsight.scratch import Scratch, materialise
 from logsight.sources import registry
 from logsight.sources.ingest import normalise_batch
 from logsight.sources.store import ANOMALIES_TABLE, Lakehouse, run_id
+from logsight.streaming.limits import start_batches
 
 
 def detect(
@@ -34,6 +35,7 @@ def start_scoring(
     width: str = DEFAULT_WIDTH,
     t: AnomalyThresholds = AnomalyThresholds(),
     publish: Callable[[DataFrame], None] | None = None,
+    max_days: int | None = None,
 ):
     """Score every micro-batch; without a model yet, a batch is passed over.
 
@@ -62,9 +64,7 @@ def start_scoring(
             if publish is not None:
                 publish(rows)
 
-    return (
-        events.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger).foreachBatch(run).start()
-    )
+    return start_batches(events, run, checkpoint, trigger, max_days)
 
 
 def start_anomaly_windows(

@@ -18,6 +18,7 @@ from logsight.functions.classify import ClassThresholds
 from logsight.operators.windows import DEFAULT_WIDTH, add_partials, window_partials
 from logsight.scratch import Scratch, delete_folder, folders_in
 from logsight.sources.store import MINUTE_STATS_TABLE, Lakehouse, enforce_retention, run_id
+from logsight.streaming.limits import start_batches
 
 #: How long a window stays open past its instance's newest event.
 DELAY = "1 hour"
@@ -120,6 +121,7 @@ def start_stats(
     keep_days: int | None = None,
     archive: str | None = None,
     t: ClassThresholds = ClassThresholds(),
+    max_days: int | None = None,
 ):
     """Write closed windows, late events and counts of both; a replayed batch replaces itself.
 
@@ -159,9 +161,7 @@ def start_stats(
             newest[0] = day
             enforce_retention(lake, MINUTE_STATS_TABLE, keep_days, archive or lake.path("archive"))
 
-    return (
-        events.writeStream.option("checkpointLocation", checkpoint).trigger(**trigger).foreachBatch(write).start()
-    )
+    return start_batches(events, write, checkpoint, trigger, max_days)
 
 
 def late_rows(batch: DataFrame, late: DataFrame, width: str) -> DataFrame:

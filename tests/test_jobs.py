@@ -45,12 +45,41 @@ def test_stream_with_retention(spark, log, tmp_path):
 def test_bounded_statistics_close_every_window(spark, log, tmp_path):
     day = log.where("arrival_timestamp < timestamp '2024-01-02'")
     kafka.as_messages(day).select("value").write.text(str(tmp_path / "in"))
-    words = ["--messages", str(tmp_path / "in"), "--checkpoint", str(tmp_path / "c"), "--window", "1 hour", "--bounded"]
+    words = ["--messages", str(tmp_path / "in"), "--window", "1 hour", "--bounded"]
     job(spark, tmp_path, "stats", *words)
-    kept = Lakehouse(spark, str(tmp_path), "stream").read("minute_stats")
+    job(spark, tmp_path, "stats", *words)  # replaces itself
+    job(spark, tmp_path, "stats", *words[:-1], "--once", "--checkpoint", str(tmp_path / "c"))
+    stats = Lakehouse(spark, str(tmp_path), "stream").read("minute_stats")
+    assert stats.select("run").distinct().count() == 2
+    kept = stats.where("run like 'bounded%'")
     assert kept.agg(F.sum("total_queries")).first()[0] == day.count()
 
 
+def test_landed_days_are_trained_when_due(spark, log, tmp_path, capsys):
+    kafka.as_messages(log.where("arrival_timestamp < timestamp '2024-01-05'")).select("value").write.text(str(tmp_path / "in"))
+    words = ["--messages", str(tmp_path / "in"), "--once", "--checkpoint", str(tmp_path / "c"), "--out", str(tmp_path / "landed")]
+    job(spark, tmp_path, "land", *words, "--writer", "w0", "--max-days", "3")
+    landed = spark.read.parquet(str(tmp_path / "landed"))
+    assert landed.select("day").distinct().count() == 3
+    job(spark, tmp_path, "compact", "--events", str(tmp_path / "landed"))
+    assert spark.read.parquet(str(tmp_path / "landed")).where("run = 'compacted'").select("day").distinct().count() == 2
+    job(spark, tmp_path, "train", "--events", str(tmp_path / "landed"), "--due", "--every", "2")
+    assert "2024-01-01" in capsys.readouterr().out or "no day is due" in capsys.readouterr().out
+
+
+def test_training_from_named_files(spark, log, tmp_path, capsys):
+    half = F.col("query_id") % 2
+    log.where(half == 0).write.parquet(str(tmp_path / "a.parquet"))
+    log.where(half == 1).write.orc(str(tmp_path / "b.orc"))
+    (tmp_path / "list").write_text(f"{tmp_path / 'a.parquet'}\n\n{tmp_path / 'b.orc'}\n")
+    job(spark, tmp_path, "train", "--manifest", str(tmp_path / "list"))
+    assert "model_postcompile_2024-01-30" in capsys.readouterr().out
+    with pytest.raises(ValueError, match="unsupported"):
+        job(spark, tmp_path, "train", "--files", "x.csv")
+    with pytest.raises(SystemExit):
+        job(spark, tmp_path, "stats", "--messages", "x")
+
+
 def test_lost_offsets_end_a_stream_unless_allowed():
     assert kafka.source_options("s", "t")["failOnDataLoss"] == "true"
     assert kafka.source_options("s", "t", allow_data_loss=True)["failOnDataLoss"] == "false"

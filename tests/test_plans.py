@@ -13,7 +13,7 @@ from logsight.plans import regimes, report
 from logsight.scratch import materialise
 from logsight.sources import files
 from logsight.sources.query_log import fixture_predictions
-from logsight.sources.store import Lakehouse, append_stats
+from logsight.sources.store import Lakehouse, write_stats
 
 
 def plan(df) -> str:
@@ -59,7 +59,7 @@ def test_only_long_rows_are_read_for_flags(log):
 
 
 def test_reports_prune_days(spark, lake, log):
-    append_stats(lake, minute_stats(log, "1 hour"))
+    write_stats(lake, minute_stats(log, "1 hour"))
     stats = Lakehouse(spark, lake.root, lake.name).read("minute_stats")
     text = plan(report.class_chart(stats, report.time_window(stats, "24h")))
     assert "PartitionFilters: [isnotnull(day" in text

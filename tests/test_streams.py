@@ -132,13 +132,50 @@ def test_landing_and_progress(spark, lake, log, tmp_path):
     landed = spark.read.parquet(str(tmp_path / "out"))
     assert landed.count() == log.where("not was_cached and not was_aborted").count()
     assert landed.select("day").distinct().count() == 30
-    progress = lake.read("landing_progress_w0")
+    progress = landing.progress(lake)
     assert progress.agg(F.sum("rows")).first()[0] == log.count()
     assert [r["day"] for r in landing.incomplete(progress).collect()] == [date(2024, 1, 30)]
     with pytest.raises(ValueError):
         landing.start_landing(source, "x", "y", NOW, "gzip")
 
 
+def test_landing_with_progress_and_compaction(spark, lake, log, tmp_path):
+    path, folder = str(tmp_path / "out"), tmp_path / "in"
+    for d in (1, 2, 3):
+        log.where(F.dayofmonth("arrival_timestamp").between(d, d + 1) & (F.col("query_id") % 3 == d - 1)).write.mode("append").parquet(str(folder))
+        source = spark.readStream.schema(log.schema).parquet(str(folder))
+        landing.start_landing(source, path, str(tmp_path / "cp"), NOW, lake=lake, writer="w").awaitTermination()
+    before = spark.read.parquet(path)
+    rows, days = before.drop("run", "batch_id"), landing.ready_days(landing.progress(lake))
+    done = [r["day"] for r in days.orderBy("day").collect()]
+    assert [d.day for d in done] == [1, 2, 3]
+    expected = {r["query_id"] for r in rows.collect()}
+    landing.compact_days(spark, path, done)
+    landing.compact_days(spark, path, done)
+    after = spark.read.parquet(path)
+    assert after.count() == len(expected) and {r["query_id"] for r in after.select("query_id").collect()} == expected
+    assert after.where("run = 'compacted'").select("day").distinct().count() == 3
+    # a run that ended with the day written aside and dropped, but not moved
+    import shutil
+
+    staged = f"{path}/_compacted/day=2024-01-02"
+    shutil.move(f"{path}/day=2024-01-02/run=compacted/batch_id=0", staged)
+    landing.compact_days(spark, path, done)
+    assert spark.read.parquet(path).count() == len(expected)
+
+
+def test_stream_ends_after_its_days(spark, lake, tmp_path):
+    folder = tmp_path / "in"
+    put(folder, "a.json", [message(i, f"2024-01-0{1 + i % 4}T0{i % 5}:00:00Z") for i in range(20)])
+    stream = events.events(events.message_files(spark, str(folder)))
+    query = stats.start_stats(stream, lake, str(tmp_path / "cp"), {"processingTime": "0 seconds"}, max_days=2)
+    assert query.awaitTermination(60)
+    rows = stats.read_stats(lake).select("total_queries").unionByName(stats.open_windows(spark, str(tmp_path / "cp")).select("total_queries"))
+    assert rows.agg(F.sum("total_queries")).first()[0] == 10
+    with pytest.raises(ValueError):
+        stats.start_stats(stream, lake, str(tmp_path / "cp2"), NOW, max_days=0)
+
+
 def test_scoring_needs_a_model_and_picks_up_a_new_one(spark, lake, log, tmp_path):
     folder = tmp_path / "in"
     day1, day2 = (log.where(F.to_date("arrival_timestamp") == F.lit(f"2024-01-0{d}").cast("date")) for d in (1, 2))

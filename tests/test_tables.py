@@ -1,15 +1,19 @@
 """Result tables: evolution, replay, ledger, retention, registry, backtest."""
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from logsight import schema as S
-from logsight.plans import backtest, models, report
+from logsight.operators import windows
+from logsight.plans import backtest, boosting, models, report, retrain
 from logsight.sources import registry, store
+from logsight.streaming import landing
 from logsight.streaming.scoring import detect
+from logsight.streaming.stats import read_stats
 
 
 def test_append_evolves(spark, lake):
@@ -36,21 +40,91 @@ def test_runs_are_named_by_their_checkpoint(spark, tmp_path):
     assert a != b and store.run_id(spark, str(tmp_path / "a")) == a
 
 
-def test_append_stores_no_null_for_a_value(spark, lake):
-    lake.append("n", spark.createDataFrame([(1,)], "x int"))
-    lake.append("n", spark.createDataFrame([("7",), (None,)], "x string"))
-    for odd in ("abc", "9999999999"):
-        with pytest.raises(Exception, match="does not fit int"):
-            lake.append("n", spark.createDataFrame([(odd,)], "x string"))
-    assert sorted(str(r["x"]) for r in lake.read("n").collect()) == ["1", "7", "None"]
-
-
-@pytest.mark.parametrize(
-    ("losses", "kept"),
-    [([3, 2, 1], (3, False)), ([1, 2, 2, 2], (1, True)), ([3, 1, 2, 0.5, 1, 1, 1], (4, True)), ([2, 2, 2], (1, False))],
-)
-def test_boosting_waits_before_it_stops(losses, kept):
-    assert models.kept_rounds(losses, 3) == kept
+def test_append_widens_and_stores_no_null_for_a_value(spark, lake):
+    """int, then long, double and text; what was written before is not rewritten."""
+    lake.append("n", spark.createDataFrame([(1, 5)], "x int, y long"))
+    first = spark.read.parquet(lake.path("n")).inputFiles()
+    lake.append("n", spark.createDataFrame([(1 << 40,), (None,)], "x long"))
+    assert lake.read("n").schema["x"].dataType.simpleString() == "bigint"
+    lake.append("n", spark.createDataFrame([(2,)], "x int"))  # narrower: becomes the known type
+    assert len(lake.versions("n")) == 2
+    lake.append("n", spark.createDataFrame([(0.5, 7)], "x double, y int"))
+    lake.append("n", spark.createDataFrame([("abc",)], "x string"))
+    got = lake.read("n")
+    assert sorted(str(r["x"]) for r in got.collect()) == sorted(["1", str(1 << 40), "None", "2", "0.5", "abc"])
+    assert sorted(r["y"] for r in got.where("y is not null").collect()) == [5, 7]
+    assert spark.read.parquet(lake.path("n")).inputFiles() == first
+    lake.append("days", spark.createDataFrame([(date(2024, 1, 1),)], "x date"))
+    with pytest.raises(Exception, match="does not fit date|DATATYPE_MISMATCH"):
+        lake.append("days", spark.createDataFrame([(5,)], "x int"))
+
+
+def test_streams_and_bounded_runs_share_a_table(spark, lake, log, tmp_path):
+    """One layout: a stream, a bounded run and a backtest write the same tables, twice each, and all can be read."""
+    day = log.where("arrival_timestamp < timestamp '2024-01-02'")
+    expected = windows.minute_stats(day, "1 hour")
+    for _ in range(2):
+        lake.replace_batch(store.MINUTE_STATS_TABLE, expected, 0, "window_start", "stream")
+        store.write_stats(lake, expected, store.bounded_run("folder"))
+    assert read_stats(lake).count() == 2 * expected.count()
+    assert lake.read(store.MINUTE_STATS_TABLE).select("run").distinct().count() == 2
+    hits = log.limit(4).select(*[F.col(f.name) if f.name in log.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in S.ANOMALIES])
+    hits = hits.withColumn("window_start", F.date_trunc("hour", S.TIME))
+    days = [r["d"] for r in hits.select(F.to_date(S.TIME).alias("d")).distinct().collect()]
+    for _ in range(2):
+        store.write_anomalies(lake, hits, "bounded")
+        lake.replace_batch(store.ANOMALIES_TABLE, hits, 3, "window_start", "stream")
+        lake.replace_days(store.ANOMALIES_TABLE, hits.withColumns({"day": F.to_date(S.TIME), "stage": F.lit("s")}), days, "backtest-s")
+    assert lake.read(store.ANOMALIES_TABLE).count() == lake.read(store.ANOMALIES_TABLE, S.ANOMALIES).count() == 12
+
+
+def test_archive_replaces_itself(spark, lake, tmp_path):
+    """A day that is archived again, after a run that ended before its rows were dropped, is there once."""
+    days = [(datetime(2024, 1, d), d) for d in range(1, 5)]
+    rows = spark.createDataFrame(days, "window_start timestamp, n int")
+    for _ in range(2):
+        lake.replace_batch("t", rows, 0, "window_start", "one")
+        assert store.enforce_retention(lake, "t", 2, str(tmp_path / "old")) == 2
+    assert spark.read.parquet(str(tmp_path / "old" / "t")).count() == 2
+
+
+def test_claims_have_one_winner(spark, lake):
+    with ThreadPoolExecutor(8) as pool:
+        won = list(pool.map(lambda i: registry.claim(lake, "s", date(2024, 1, 1), f"o{i}"), range(16)))
+    assert sum(won) == 1
+    assert not registry.claim(lake, "s", date(2024, 1, 1), "later")
+    registry.release(lake, "s", date(2024, 1, 1))
+    assert registry.claim(lake, "s", date(2024, 1, 1), "again")
+    assert registry.claim(lake, "s", date(2024, 1, 1), "much later", stale_hours=0.0)
+
+
+def test_due_days_are_trained_once(spark, lake, log, fitted):
+    landed = log.where("arrival_timestamp < timestamp '2024-01-06'").withColumn("day", F.to_date(S.TIME)).cache()
+    seen = landed.groupBy(F.col("day").alias("seen_day")).agg(F.count("*").alias("rows"), F.max(S.TIME).alias("latest"))
+    for writer, upto in (("a", 5), ("b", 3)):
+        rows = seen.where(F.dayofmonth("seen_day") <= upto).withColumn("writer", F.lit(writer))
+        lake.replace_batch(landing.PROGRESS, rows, 0, "seen_day", writer)
+    done = [r["day"].day for r in landing.ready_days(landing.progress(lake)).orderBy("day").collect()]
+    assert done == [1, 2, 4]  # day 3 waits for b, day 5 for a; b has nothing of day 4
+    windows_of = []
+
+    def train(rows, config):
+        windows_of.append(sorted(r["day"].day for r in rows.select("day").distinct().collect()))
+        return fitted
+
+    config = models.ModelConfig(train_window_days=2)
+    with ThreadPoolExecutor(2) as pool:
+        runs = [pool.submit(retrain.train_due, lake, landed, config, train=train) for _ in range(2)]
+        trained = sum((r.result() for r in runs), [])
+    assert sorted(d.day for d in trained) == [1, 2, 4] and sorted(windows_of) == [[1], [1, 2], [3, 4]]
+    assert retrain.train_due(lake, landed, config, train=train) == []
+
+    def fails(rows, config):
+        raise RuntimeError("no memory")
+
+    with pytest.raises(RuntimeError):
+        retrain.train_due(lake, landed, config, complete=False, train=fails)
+    assert [d.day for d in retrain.train_due(lake, landed, config, complete=False, train=train)] == [3, 5]
 
 
 @pytest.mark.parametrize("present,kept", [(7, 7), (8, 8), (9, 8)])
@@ -115,7 +189,7 @@ def test_instance_ids_from_a_frame(spark):
     assert [r["instance_id"] for r in report.for_instances(stats, ids).collect()] == [2]
 
 
-QUICK = models.ModelConfig(max_iter=3, train_classifiers=True, min_leaf_rows=20)
+QUICK = models.ModelConfig(max_iter=3, train_classifiers=True, min_leaf_rows=20, classifier_iter=2, classifier_depth=4)
 
 
 @pytest.fixture(scope="module")
@@ -163,10 +237,11 @@ def test_boosting_gains_over_many_rounds(spark):
     label = sum((F.sin(F.col(c) * (i + 1)) * 2 for i, c in enumerate(x)), F.lit(0.0))
     frame = rows.withColumn("label", label + F.randn(9) * 0.1).withColumn("held_out", F.col("id") % 5 == 0)
     frame = VectorAssembler(inputCols=x, outputCol="features").transform(frame).cache()
-    config = models.ModelConfig(step_size=0.1, max_depth=3, max_iter=120, patience=15)
-    fitted = models.fit_mean(frame, config)
-    losses = fitted.evaluateEachIteration(frame.where("held_out"), "squared")
-    assert len(losses) > 50 and losses[-1] < 0.6 * losses[0] and not math.isnan(losses[-1])
+    fitted, losses = boosting.boost_mean(frame, boosting.Boosting(depth=3, rounds=60, step=0.1, cut_every=30))
+    assert fitted.getNumTrees == len(losses) > 50 and losses[-1] < 0.6 * losses[0] and not math.isnan(losses[-1])
+    # the model is what its losses say: continued fits add up, and the prefix is theirs
+    scored = fitted.setPredictionCol("p").transform(frame.where("held_out"))
+    assert scored.agg(F.avg(F.pow(F.col("p") - F.col("label"), 2))).first()[0] == pytest.approx(losses[-1], rel=1e-6)
 
 
 def test_too_few_rows(log):
