@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from logsight.llm.bpe import encoder
 from logsight.llm.text import prepare, whole_text
+from logsight.llm.token_files import kept_encoder
 
 #: Rests of up to one part in so many of the capacity are not cut further.
 FINEST = 16
@@ -105,7 +105,7 @@ def pack(
     end = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(path)
+        e = kept_encoder(path)
         bins = Bins(capacity, TaskContext.get().partitionId() * SEQUENCES)
         names: dict[int, object] = {}
         row = 0
@@ -113,7 +113,7 @@ def pack(
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 for name, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    ids = b"".join([*e.encode(text), end])
+                    ids = e.encode(text) + end
                     tokens, start = len(ids) // WIDTH, 0
                     names[row] = name
                     for length, k in cuts(tokens, capacity):

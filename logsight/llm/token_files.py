@@ -125,13 +125,18 @@ class KeptEncoder(dict):
 _ENCODERS: dict[str, KeptEncoder] = {}
 
 
-def _encoder(path: str) -> KeptEncoder:
+def kept_encoder(path: str) -> KeptEncoder:
     """The encoder of a vocabulary file, made once in each worker."""
     if path not in _ENCODERS:
         _ENCODERS[path] = KeptEncoder(path)
     return _ENCODERS[path]
 
 
+def release_encoders() -> None:
+    """Give up what earlier stages kept in this worker, at the start of a task that needs the memory itself."""
+    _ENCODERS.clear()
+
+
 def write_tokens(
     docs: DataFrame,
     folder: str,
@@ -164,7 +169,7 @@ def write_tokens(
     end = b"" if end_id is None else np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path)
+        encoder = kept_encoder(path)
         part, row, start = TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             lo, held, size = 0, [], 0
