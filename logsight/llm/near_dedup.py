@@ -15,7 +15,7 @@ from logsight.llm.components import components
 from logsight.llm.scratch import written
 from logsight.llm.text import Texts, prepare, spread, whole_text
 
-SMALL_BUCKET = 8  # all pairs of a bucket of so many sets are compared
+SMALL_BUCKET = 2  # larger buckets compare their sets with one of them, and then only what is in other components
 BLOCK = 1024  # sets compared with each other at once in larger buckets
 BROADCAST_IDS = 200_000
 
