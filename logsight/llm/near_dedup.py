@@ -14,6 +14,7 @@ from logsight.llm import hypermin as H
 from logsight.llm.components import components
 from logsight.llm.scratch import written
 from logsight.llm.text import Texts, prepare, spread, whole_text
+from logsight.llm.token_files import release_encoders
 
 SMALL_BUCKET = 2  # larger buckets compare their sets with one of them, and then only what is in other components
 BLOCK = 1024  # sets compared with each other at once in larger buckets
@@ -104,6 +105,7 @@ def _fixed(rows: np.ndarray) -> pa.Array:
 
 def _signer(words: int, banding: H.Banding):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release_encoders()
         for batch in batches:
             for lo, hi, data, starts in Texts(batch.column(1)).blocks(H.BLOCK_BYTES, H.BLOCK_ROWS):
                 hashes, counts = H.shingle_sets(data, starts, words)

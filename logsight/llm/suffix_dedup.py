@@ -21,6 +21,7 @@ from pyspark.sql import types as T
 
 from logsight.llm.suffix_array import Shard, merge_shards
 from logsight.llm.text import U64, Hashed, mix, prepare, ranges, whole_text
+from logsight.llm.token_files import release_encoders
 
 GRAM = 16
 BLOCK_BYTES = 1 << 20
@@ -98,6 +99,7 @@ def suffix_dedup(
 
 def _packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The texts compressed, to be shuffled."""
+    release_encoders()
     compress = zstandard.ZstdCompressor(level=3).compress
     for batch in batches:
         for lo in range(0, batch.num_rows, 512):
