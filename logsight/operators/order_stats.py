@@ -1,9 +1,12 @@
 """Exact order statistics per group, without ever sorting a whole group in one task.
 
-Rows are first reduced to distinct values with counts (map-side combine does most of that), the
-values are spread over fixed logarithmic buckets, and only bucket totals are summed along the
-order of a group. A group that holds most of the table is therefore sorted by as many tasks as it
-has buckets, and repeated values cost nothing.
+Values are spread over fixed logarithmic buckets, and only bucket totals are summed along the order of a group,
+so one that holds most of the table is sorted by as many tasks as it has buckets.
+
+Quantiles need few places of that order. They are selected by refinement: a first pass shuffles counts per
+bucket only; of the buckets that hold a wanted place, those with many rows are split again by their range until
+none is dense; a last pass sorts the distinct values of what is left. Ranks need every value: rows are reduced to
+distinct values with counts, and those are sorted within their buckets.
 """
 
 from __future__ import annotations
@@ -13,6 +16,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from logsight.scratch import materialise
+
 #: Buckets per doubling of the value; one bucket spans about half a percent.
 STEPS = 128
 #: Larger than the lowest exponent of a double, so that buckets of positive values are positive.
@@ -27,20 +32,23 @@ def value_bucket(v: Column) -> Column:
     return F.coalesce(F.when(v > 0, size).when(v < 0, -size), zero)
 
 
-def value_counts(df: DataFrame, keys: Sequence[str], measures: dict[str, Column]) -> DataFrame:
-    """Rows (keys, measure, v, n): how often each value occurs, for all measures in one pass.
-
-    Missing values and NaN are left out.
-    """
+def _values(df: DataFrame, keys: Sequence[str], measures: dict[str, Column]) -> DataFrame:
+    """Rows (keys, measure, v) of all measures; missing values and NaN are left out."""
     pairs = F.array(
         *[
             F.struct(F.lit(name).alias("measure"), col.cast("double").alias("v"))
             for name, col in measures.items()
         ]
     )
-    long = df.select(*keys, F.inline(pairs))
-    usable = long.where(F.col("v").isNotNull() & ~F.isnan("v"))
-    return usable.groupBy(*keys, "measure", "v").agg(F.count(F.lit(1)).alias("n"))
+    return df.select(*keys, F.inline(pairs)).where(F.col("v").isNotNull() & ~F.isnan("v"))
+
+
+def value_counts(df: DataFrame, keys: Sequence[str], measures: dict[str, Column]) -> DataFrame:
+    """Rows (keys, measure, v, n): how often each value occurs, for all measures in one pass.
+
+    Missing values and NaN are left out.
+    """
+    return _values(df, keys, measures).groupBy(*keys, "measure", "v").agg(F.count(F.lit(1)).alias("n"))
 
 
 #: Keys wrapped in a struct: never NULL itself, so that one shuffle serves join and window alike.
@@ -89,30 +97,69 @@ def rows_below(counts: DataFrame, keys: Sequence[str]) -> DataFrame:
     return _unwrapped(_rows_below(bucketed, _bucket_totals(bucketed)), keys)
 
 
+def _position(q: float) -> Column:
+    return F.lit(float(q)) * (F.col("group_n") - 1)
+
+
+def _wanted(qs: Sequence[float]) -> Column:
+    """Whether a place holds a row that one of the quantiles needs."""
+    start, end, found = F.col("before"), F.col("before") + F.col("bucket_n"), F.lit(False)
+    for q in qs:
+        for at in (F.floor(_position(q)), F.ceil(_position(q))):
+            found = found | ((at >= start) & (at < end))
+    return found
+
+
+#: Rows of a bucket over which it is split again, and the parts that it is split into.
+DENSE, PARTS = 1_000_000, 1024
+
+
+def _places(rows: DataFrame, qs: Sequence[float], dense: int) -> DataFrame:
+    """(_k, measure, lo, hi, before, bucket_n, group_n): ranges of values that hold the wanted rows, written.
+
+    Only counts per bucket, and of dense buckets per part, are shuffled.
+    """
+    sums = [F.count(F.lit(1)).alias("bucket_n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
+    kept = [*GROUP, "lo", "hi", "before", "bucket_n", "group_n"]
+    totals = rows.withColumn("_bucket", value_bucket(F.col("v"))).groupBy(*PLACE).agg(*sums)
+    along, whole = Window.partitionBy(*GROUP).orderBy("_bucket"), Window.partitionBy(*GROUP)
+    before = F.sum("bucket_n").over(along) - F.col("bucket_n")
+    placed = totals.select("*", before.alias("before"), F.sum("bucket_n").over(whole).alias("group_n"))
+    places = materialise(placed.where(_wanted(qs)).select(*kept), "quantile-places")
+    while True:
+        crowded = places.where((F.col("bucket_n") > dense) & (F.col("hi") > F.col("lo")))
+        if crowded.isEmpty():
+            return places
+        inside = rows.join(crowded.select(*GROUP, "lo", "hi", "before", "group_n"), GROUP)
+        inside = inside.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+        share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
+        part = F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).alias("_part")
+        named = inside.select(*GROUP, F.col("lo").alias("_lo"), F.col("before").alias("_before"), "group_n", part, "v")
+        parts = named.groupBy(*GROUP, "_lo", "_before", "group_n", "_part").agg(*sums)
+        along = Window.partitionBy(*GROUP, "_lo").orderBy("_part")
+        before = F.col("_before") + F.sum("bucket_n").over(along) - F.col("bucket_n")
+        split = parts.withColumn("before", before).where(_wanted(qs)).select(*kept)
+        calm = places.where((F.col("bucket_n") <= dense) | (F.col("hi") <= F.col("lo")))
+        places = materialise(calm.select(*kept).unionByName(split), "quantile-places")
+
+
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], measures: dict[str, Column], qs: Sequence[float]
+    df: DataFrame, keys: Sequence[str], measures: dict[str, Column], qs: Sequence[float], dense: int = DENSE
 ) -> DataFrame:
     """One row per group with the quantiles of every measure, interpolated linearly.
 
     The result has the keys and ``{measure}_q0``, ``{measure}_q1``, ... in the order of ``qs``.
     Groups with no usable value of any measure are absent (without keys: one row of NULLs).
-    Only buckets that hold a wanted position are sorted.
+    The places of the wanted rows are found first, by counts; then only rows in them are shuffled and sorted.
     """
-    bucketed = _bucketed(value_counts(df, keys, measures), keys)
-    totals = _bucket_totals(bucketed)
-
-    def position(q: float) -> Column:
-        return F.lit(float(q)) * (F.col("group_n") - 1)
-
-    def holds(q: float) -> Column:
-        start, end = F.col("before"), F.col("before") + F.col("bucket_n")
-        lo, hi = F.floor(position(q)), F.ceil(position(q))
-        return ((lo >= start) & (lo < end)) | ((hi >= start) & (hi < end))
-
-    wanted = F.lit(False)
-    for q in qs:
-        wanted = wanted | holds(q)
-    ranked = _rows_below(bucketed, totals.where(wanted))
+    wrapped = F.struct(*keys) if keys else F.lit(0)
+    rows = _values(df, keys, measures).select(wrapped.alias("_k"), "measure", "v")
+    places = _places(rows, qs, dense)
+    near = rows.join(places.select(*GROUP, "lo", "hi", "before", "group_n"), GROUP)
+    near = near.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
+    counts = near.groupBy(*GROUP, "lo", "before", "group_n", "v").agg(F.count(F.lit(1)).alias("n"))
+    inside = Window.partitionBy(*GROUP, "lo").orderBy("v")
+    ranked = counts.withColumn("below", F.col("before") + F.sum("n").over(inside) - F.col("n"))
 
     def element(measure: str, index: Column) -> Column:
         here = (F.col("measure") == measure) & (F.col("below") <= index) & (index < F.col("below") + F.col("n"))
@@ -122,7 +169,7 @@ def exact_quantiles(
     for name in measures:
         for i, q in enumerate(qs):
             lo, hi, at = f"_{name}_lo{i}", f"_{name}_hi{i}", f"_{name}_at{i}"
-            pos = position(q)
+            pos = _position(q)
             parts += [
                 element(name, F.floor(pos)).alias(lo),
                 element(name, F.ceil(pos)).alias(hi),

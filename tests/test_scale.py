@@ -48,6 +48,50 @@ def test_quantiles_equal_builtin(skewed):
     pd.testing.assert_frame_equal(got, want[got.columns], check_exact=False, rtol=1e-12)
 
 
+def test_dense_buckets_are_split(spark):
+    """Values within half a percent of each other fill one bucket, which is split until no part is dense."""
+    close = spark.range(3000).select((F.lit(1000.0) + F.col("id") % 1500 / 997.0).alias("v"), (F.col("id") % 2).alias("g"))
+    more = close.unionByName(close.select((-F.col("v")).alias("v"), F.lit(5).alias("g")))
+    qs = [0.0, 0.3, 0.5, 0.999, 1.0]
+    want = more.groupBy("g").agg(*[F.expr(f"percentile(v, {q})").alias(f"v_q{i}") for i, q in enumerate(qs)]).orderBy("g").toPandas()
+    for dense in (1_000_000, 50, 1):
+        got = exact_quantiles(more, ["g"], {"v": F.col("v")}, qs, dense=dense).orderBy("g").toPandas()
+        pd.testing.assert_frame_equal(got, want[got.columns], check_exact=False, rtol=1e-12)
+
+
+def test_only_rows_of_wanted_buckets_are_shuffled(spark, capsys):
+    """The first pass shuffles counts of buckets; the second joins the few places before its shuffle."""
+    rows = spark.range(50_000).select(F.exp(F.rand(3) * 20).alias("v"))
+    found = exact_quantiles(rows, [], {"v": F.col("v")}, [0.5])
+    found.collect()
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    written = [int(n.replace(",", "")) for n in shuffled_rows(found)]
+    assert max(written) < 1_000
+
+
+def shuffled_rows(df):
+    """Rows written by each shuffle of a plan that has run."""
+    import re
+
+    stages = df._jdf.queryExecution().executedPlan()
+    out, todo = [], [stages]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if "AdaptiveSparkPlan" in name:
+            todo.append(node.executedPlan())
+            continue
+        if re.search("QueryStage", name):
+            todo.append(node.plan())
+            continue
+        if name == "Exchange":
+            out.append(str(node.metrics().apply("shuffleRecordsWritten").value()))
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return out
+
+
 def test_quantiles_without_keys(skewed):
     row = exact_quantiles(skewed, [], {"t": F.col("t")}, [0.5]).first()
     assert row["t_q0"] == skewed.select(F.expr("percentile(t, 0.5)")).first()[0]
