@@ -127,6 +127,7 @@ def main() -> None:
                 "queries": seconds,
                 "rows_per_second": {n: int(rows / seconds[n]) for n in per_row},
                 "rows": rows,
+                "trees": {"mean": trained["models"].mean.getNumTrees, "quantile": trained["models"].high.rounds},
                 "cpus": int(CPUS),
                 "sf": SF_DIR.rstrip("/").rsplit("sf", 1)[-1],
             }

