@@ -13,10 +13,10 @@ from pyspark.sql import types as T
 from logsight.llm import hypermin as H
 from logsight.llm.components import components
 from logsight.llm.scratch import written
-from logsight.llm.text import Texts, prepare, spread, whole_text
+from logsight.llm.text import Texts, give_back, prepare, spread, whole_text
 from logsight.llm.token_files import release_encoders
 
-SMALL_BUCKET = 2  # larger buckets compare their sets with one of them, and then only what is in other components
+SMALL_BUCKET = 8  # all pairs of a bucket of so many sets are compared
 BLOCK = 1024  # sets compared with each other at once in larger buckets
 BROADCAST_IDS = 200_000
 
@@ -123,6 +123,7 @@ def _signer(words: int, banding: H.Banding):
                     ],
                     names=["id", "n", "key", "regs", "bands"],
                 )
+        give_back()
 
     return run
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsight.llm.suffix_array import Shard, merge_shards
-from logsight.llm.text import U64, Hashed, mix, prepare, ranges, whole_text
+from logsight.llm.text import U64, Hashed, give_back, mix, prepare, ranges, whole_text
 from logsight.llm.token_files import release_encoders
 
 GRAM = 16
@@ -72,12 +72,12 @@ def suffix_dedup(
     packed_schema = T.StructType([*rows.schema.fields[:3], T.StructField("packed", T.BinaryType())])
     placed = rows.mapInArrow(_packer, packed_schema).groupBy("part")
 
-    hashes = placed.applyInArrow(_hash_sender(length, hash_buckets), "part bigint, bucket bigint, payload binary")
-    shared = hashes.groupBy("bucket").applyInArrow(_sharer(SPLIT_BYTES), "part bigint, bucket bigint, payload binary")
+    hashes = placed.applyInArrow(_tidy(_hash_sender(length, hash_buckets)), "part bigint, bucket bigint, payload binary")
+    shared = hashes.groupBy("bucket").applyInArrow(_tidy(_sharer(SPLIT_BYTES)), "part bigint, bucket bigint, payload binary")
     sent = placed.cogroup(shared.groupBy("part")).applyInArrow(
-        _snippet_sender(length, buckets), "bucket bigint, part bigint, payload binary"
+        _tidy_pair(_snippet_sender(length, buckets)), "bucket bigint, part bigint, payload binary"
     )
-    marks = sent.groupBy("bucket").applyInArrow(_finder(length), "part bigint, payload binary")
+    marks = sent.groupBy("bucket").applyInArrow(_tidy(_finder(length)), "part bigint, payload binary")
     schema = T.StructType(
         [
             T.StructField("id", T.LongType()),
@@ -89,7 +89,7 @@ def suffix_dedup(
             T.StructField("carried", rows.schema["carried"].dataType),
         ]
     )
-    out = placed.cogroup(marks.groupBy("part")).applyInArrow(_remover(schema), schema)
+    out = placed.cogroup(marks.groupBy("part")).applyInArrow(_tidy_pair(_remover(schema)), schema)
     named = F.col("id").cast(docs.schema[id_col].dataType).alias(id_col)
     return out.select(named, *[f.name for f in schema.fields[1:]])
 
@@ -210,6 +210,28 @@ def _batch(names: str, **columns: list) -> pa.Table:
     return pa.table([pa.array(columns[n], kinds.get(n, pa.int64())) for n in names.split()], names=names.split())
 
 
+def _tidy(run):
+    """The function of one group, which returns what it has freed."""
+
+    def tidy(table: pa.Table) -> pa.Table:
+        try:
+            return run(table)
+        finally:
+            give_back()
+
+    return tidy
+
+
+def _tidy_pair(run):
+    def tidy(docs: pa.Table, others: pa.Table) -> pa.Table:
+        try:
+            return run(docs, others)
+        finally:
+            give_back()
+
+    return tidy
+
+
 def _hash_sender(length: int, buckets: int):
     def run(docs: pa.Table) -> pa.Table:
         group = Group(docs)

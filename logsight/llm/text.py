@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 from collections.abc import Iterator
 
@@ -23,6 +24,14 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def give_back() -> None:
+    """Return what a task has freed to the system, so that an idle worker does not hold on to it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library only
+    if trim is not None:
+        trim(0)
+
+
 def whole_text(text_col: str = "text") -> Column:
     """The text, with null as the empty string."""
     return F.coalesce(F.col(text_col).cast("string"), F.lit(""))
