@@ -115,13 +115,13 @@ DENSE, PARTS = 1_000_000, 1024
 
 
 def _places(rows: DataFrame, qs: Sequence[float], dense: int) -> DataFrame:
-    """(_k, measure, lo, hi, before, bucket_n, group_n): ranges of values that hold the wanted rows, written.
+    """(_k, measure, _bucket, lo, hi, before, bucket_n, group_n): ranges of values that hold the wanted rows, written.
 
     Only counts per bucket, and of dense buckets per part, are shuffled.
     """
     sums = [F.count(F.lit(1)).alias("bucket_n"), F.min("v").alias("lo"), F.max("v").alias("hi")]
-    kept = [*GROUP, "lo", "hi", "before", "bucket_n", "group_n"]
-    totals = rows.withColumn("_bucket", value_bucket(F.col("v"))).groupBy(*PLACE).agg(*sums)
+    kept = [*PLACE, "lo", "hi", "before", "bucket_n", "group_n"]
+    totals = rows.groupBy(*PLACE).agg(*sums)
     along, whole = Window.partitionBy(*GROUP).orderBy("_bucket"), Window.partitionBy(*GROUP)
     before = F.sum("bucket_n").over(along) - F.col("bucket_n")
     placed = totals.select("*", before.alias("before"), F.sum("bucket_n").over(whole).alias("group_n"))
@@ -130,12 +130,12 @@ def _places(rows: DataFrame, qs: Sequence[float], dense: int) -> DataFrame:
         crowded = places.where((F.col("bucket_n") > dense) & (F.col("hi") > F.col("lo")))
         if crowded.isEmpty():
             return places
-        inside = rows.join(crowded.select(*GROUP, "lo", "hi", "before", "group_n"), GROUP)
+        inside = rows.join(crowded.select(*PLACE, "lo", "hi", "before", "group_n"), PLACE)
         inside = inside.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
         share = (F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo"))
         part = F.least(F.floor(share * PARTS), F.lit(PARTS - 1)).alias("_part")
-        named = inside.select(*GROUP, F.col("lo").alias("_lo"), F.col("before").alias("_before"), "group_n", part, "v")
-        parts = named.groupBy(*GROUP, "_lo", "_before", "group_n", "_part").agg(*sums)
+        named = inside.select(*PLACE, F.col("lo").alias("_lo"), F.col("before").alias("_before"), "group_n", part, "v")
+        parts = named.groupBy(*PLACE, "_lo", "_before", "group_n", "_part").agg(*sums)
         along = Window.partitionBy(*GROUP, "_lo").orderBy("_part")
         before = F.col("_before") + F.sum("bucket_n").over(along) - F.col("bucket_n")
         split = parts.withColumn("before", before).where(_wanted(qs)).select(*kept)
@@ -153,9 +153,10 @@ def exact_quantiles(
     The places of the wanted rows are found first, by counts; then only rows in them are shuffled and sorted.
     """
     wrapped = F.struct(*keys) if keys else F.lit(0)
-    rows = _values(df, keys, measures).select(wrapped.alias("_k"), "measure", "v")
+    rows = _values(df, keys, measures).select(wrapped.alias("_k"), "measure", "v", value_bucket(F.col("v")).alias("_bucket"))
     places = _places(rows, qs, dense)
-    near = rows.join(places.select(*GROUP, "lo", "hi", "before", "group_n"), GROUP)
+    # the bucket is a key of the join, so that a group of most rows is spread where places are too many to broadcast
+    near = rows.join(places.select(*PLACE, "lo", "hi", "before", "group_n"), PLACE)
     near = near.where((F.col("v") >= F.col("lo")) & (F.col("v") <= F.col("hi")))
     counts = near.groupBy(*GROUP, "lo", "before", "group_n", "v").agg(F.count(F.lit(1)).alias("n"))
     inside = Window.partitionBy(*GROUP, "lo").orderBy("v")
