@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 
@@ -16,6 +17,7 @@ from logsight.llm.text import U64, Hashed, mix, word_bounds
 HASH_BITS = 52
 MANTISSA_BITS = 10
 BLOCK_BYTES = 2 << 20
+SPARSE = 16  # with so few registers held it is cheaper to look at each than to go through an order
 BLOCK_ROWS = 2000  # a row number fits beside the hash in 64 bits
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -106,11 +108,46 @@ def registers(hashes: np.ndarray, counts: np.ndarray, size: int) -> np.ndarray:
     return out
 
 
+@cache
+def _borrowing(size: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each register the others in its own order of borrowing, and the place of each in that order."""
+    order = np.argsort(mix(np.arange(1, size * size + 1, dtype=U64)).reshape(size, size), axis=1, kind="stable")
+    place = np.empty_like(order, dtype=np.int32)
+    np.put_along_axis(place, order, np.broadcast_to(np.arange(size, dtype=np.int32), (size, size)), axis=1)
+    return order, place
+
+
+def densified(regs: np.ndarray) -> np.ndarray:
+    """Registers in which an empty one has borrowed the first that is held in its own order of all others.
+
+    Two sets then agree in any register with a chance of their similarity, however few shingles they have;
+    while empty registers count as equal, short texts with a passage in common meet in most bands. Sets
+    without a shingle keep empty registers.
+    """
+    size = regs.shape[1]
+    order, place = _borrowing(size)
+    out, held = regs.copy(), regs != 0
+    count = held.sum(axis=1)
+    for row in np.flatnonzero((count > 0) & (count <= SPARSE)):
+        own = np.flatnonzero(held[row])
+        source = own[np.argmin(place[:, own], axis=1)]
+        out[row] = np.where(held[row], regs[row], regs[row, source])
+    row, at = np.nonzero(~held & (count > SPARSE)[:, None])
+    for k in range(size):
+        if not len(row):
+            break
+        value = regs[row, order[at, k]]
+        found = value != 0
+        out[row[found], at[found]] = value[found]
+        row, at = row[~found], at[~found]
+    return out
+
+
 def band_keys(regs: np.ndarray, rows: int) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit key for each band of each text, and whether the band holds any register."""
+    """A 64-bit key for each band of each text, and whether the text has any register, for each band."""
     n, size = regs.shape
     bands = size // rows
-    grouped = regs.reshape(n, bands, rows)
+    grouped = densified(regs).reshape(n, bands, rows)
     h = np.broadcast_to(np.arange(bands, dtype=U64), (n, bands)).copy()
     with np.errstate(over="ignore"):
         for k in range(rows):
