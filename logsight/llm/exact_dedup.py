@@ -20,7 +20,7 @@ def normalised(text: Column) -> Column:
 def exact_dedup(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest_all: bool = False
 ) -> DataFrame:
-    """(id, keep_id, group_size, kept, digest) of every row.
+    """(id, keep_id, group_size, kept, digest, points, length, start) of every row.
 
     Texts are equal when they are so without white space. Rows are grouped by the length of that text; where
     a length is shared, by a hash of its first characters; where that is shared too, by the SHA-256 of all of
@@ -29,7 +29,9 @@ def exact_dedup(
 
     The row with the most code points in its original text stays, then the one with the smallest id; keep_id
     is its id. Null texts are empty; null ids come last, and a group of null ids only has a null keep_id. Rows
-    that agree in id and text are all marked kept if one is. Other columns are not read.
+    that agree in id and text are all marked kept if one is. Other columns are not read. points counts the
+    original text, length and start (a hash) are those of the text without white space: a row without a digest
+    is the only one with its length and start.
 
     Equal texts may be any share of all rows: groups are summed before they are shuffled, and rows meet their
     group's sum in joins whose large partitions can be split.
@@ -40,7 +42,7 @@ def exact_dedup(
         F.col(id_col).alias("id"),
         F.char_length(text).alias("points"),
         F.char_length(bare).alias("length"),
-        F.xxhash64(F.substring(bare, 1, PREFIX_CHARS)).alias("start"),
+        start_hash(bare).alias("start"),
         (F.sha2(bare, 256) if digest_all else F.lit(None).cast("string")).alias("digest"),
     )
     levels = written(levels, "levels")
@@ -54,11 +56,11 @@ def exact_dedup(
             F.col(id_col).alias("id"),
             F.char_length(text).alias("points"),
             F.char_length(bare).alias("length"),
-            F.xxhash64(F.substring(bare, 1, PREFIX_CHARS)).alias("start"),
+            start_hash(bare).alias("start"),
             bare.alias("bare"),
         )
         full = again.join(starts, ["length", "start"], "left_semi").withColumn("digest", F.sha2("bare", 256))
-    full = written(full.select("id", "points", "length", "digest"), "full")
+    full = written(full.select("id", "points", "length", "start", "digest"), "full")
 
     # the most code points first, then the smallest id: the least of (-points, null last, id)
     order = F.struct((-F.col("points")).alias("p"), F.col("id").isNull().alias("last"), F.col("id").alias("id"))
@@ -66,19 +68,25 @@ def exact_dedup(
     met = full.join(groups.where("size > 1"), ["length", "digest"], "left").select(
         "id", "digest", F.coalesce("size", F.lit(1)).alias("size"),
         F.when(F.col("size") > 1, F.col("best.id")).otherwise(F.col("id")).alias("keep_id"),
-        F.coalesce(F.col("points") == -F.col("best.p"), F.lit(True)).alias("most"),
+        F.coalesce(F.col("points") == -F.col("best.p"), F.lit(True)).alias("most"), "points", "length", "start",
     )
     alone = levels.join(starts, ["length", "start"], "left_anti").select(
-        "id", "digest", F.lit(1).cast("bigint").alias("size"), F.col("id").alias("keep_id"), F.lit(True).alias("most")
+        "id", "digest", F.lit(1).cast("bigint").alias("size"), F.col("id").alias("keep_id"), F.lit(True).alias("most"),
+        "points", "length", "start",
     )
     return met.unionByName(alone).select(
         F.col("id").alias(id_col),
         "keep_id",
         F.col("size").alias("group_size"),
         (F.col("id").eqNullSafe(F.col("keep_id")) & F.col("most")).alias("kept"),
-        "digest",
+        "digest", "points", "length", "start",
     )
 
 
+def start_hash(bare: Column) -> Column:
+    """The hash of the first characters of a text without white space."""
+    return F.xxhash64(F.substring(bare, 1, PREFIX_CHARS))
+
+
 def _shared(rows: DataFrame, by: list[str]) -> DataFrame:
     return rows.groupBy(*by).agg(F.count("*").alias("rows")).where("rows > 1").select(*by)

@@ -146,6 +146,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, words: int) -> Da
                     pa.binary(), len(counts), [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(hashes)]
                 )
                 yield pa.RecordBatch.from_arrays([_fixed(H.set_keys(hashes, counts)), sets], names=["key", "hashes"])
+        give_back()
 
     made = texts.mapInArrow(run, "key binary, hashes binary").dropDuplicates(["key"])
     return written(made.join(wanted.select("key"), "key", "left_semi"), "sets")
@@ -211,6 +212,7 @@ def _confirmed(likely: DataFrame, sets: DataFrame, per_mille: int) -> DataFrame:
                 shared = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
                 keep[i] = 1000 * shared >= per_mille * (len(x) + len(y) - shared)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
+        give_back()
 
     return both.mapInArrow(run, "a binary, b binary")
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from logsight.llm.text import prepare, whole_text
-from logsight.llm.token_files import kept_encoder
+from logsight.llm.token_files import KEPT_BYTES, kept_encoder
 
 #: Rests of up to one part in so many of the capacity are not cut further.
 FINEST = 16
@@ -89,6 +89,7 @@ def pack(
     text_col: str = "text",
     capacity: int = 2048,
     end_id: int = 1,
+    kept_bytes: int = KEPT_BYTES,
 ) -> DataFrame:
     """(id, start, length, ids, doc_tokens, sequence_id, offset) of every piece.
 
@@ -96,7 +97,8 @@ def pack(
     cut as `cuts` says and fill bins of capacity tokens; every id is in exactly one piece, offsets in a
     sequence have no gaps. Each task packs its own rows, so nothing is shuffled and a task that is run again
     gives the same sequences. Its unfilled bins become full sequences and sequences of a power of two. ids
-    are little-endian unsigned 32-bit integers. Repeated rows and null ids are documents like any other;
+    are little-endian unsigned 32-bit integers. kept_bytes bounds what a worker keeps of encoded pieces (twice
+    as much at most); it changes the speed only. Repeated rows and null ids are documents like any other;
     other columns are not read.
     """
     prepare(docs.sparkSession)
@@ -105,7 +107,7 @@ def pack(
     end = array("I", [end_id]).tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = kept_encoder(path)
+        e = kept_encoder(path, kept_bytes)
         bins = Bins(capacity, TaskContext.get().partitionId() * SEQUENCES)
         names: dict[int, object] = {}
         row = 0

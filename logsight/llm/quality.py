@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logsight.llm.labels import Calibration, Sample, calibrate, sample
-from logsight.llm.text import prepare, whole_text
+from logsight.llm.text import give_back, prepare, whole_text
+from logsight.llm.token_files import release_encoders
 
 DICTIONARY_BYTES = 112_640
 LEVEL = 3
@@ -84,7 +85,9 @@ def quality_score(docs: DataFrame, model: CompressionModel, text_col: str = "tex
 
     @F.pandas_udf("double")
     def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        release_encoders()
         for texts in batches:
             yield pd.Series(sent.value.score(texts.tolist()))
+        give_back()
 
     return score(whole_text(text_col))

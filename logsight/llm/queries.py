@@ -113,7 +113,7 @@ def op7_chat(spark, sf):
 def op8_exact_dedup(spark, sf):
     """Groups of documents that are equal without white space."""
     found = exact_dedup(_table(spark, sf, "documents"), digest_all=True)
-    return found.withColumnRenamed("digest", "text_sha256")
+    return found.withColumnRenamed("digest", "text_sha256").drop("points", "length", "start")
 
 
 ORACLE["op8_exact_dedup"] = r"""

@@ -122,14 +122,16 @@ class KeptEncoder(dict):
         return struct.pack(f"<{len(ids)}I", *ids)
 
 
-_ENCODERS: dict[str, KeptEncoder] = {}
+_ENCODERS: dict[tuple[str, int], KeptEncoder] = {}
 
 
-def kept_encoder(path: str) -> KeptEncoder:
-    """The encoder of a vocabulary file, made once in each worker."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = KeptEncoder(path)
-    return _ENCODERS[path]
+def kept_encoder(path: str, kept_bytes: int = KEPT_BYTES) -> KeptEncoder:
+    """The encoder of a vocabulary file, made once in each worker, which keeps one at a time."""
+    key = (path, kept_bytes)
+    if key not in _ENCODERS:
+        _ENCODERS.clear()
+        _ENCODERS[key] = KeptEncoder(path, kept_bytes)
+    return _ENCODERS[key]
 
 
 def release_encoders() -> None:

@@ -13,7 +13,7 @@ import pytest
 from logsight.llm import suffix_array, suffix_dedup
 from logsight.llm.components import components
 from logsight.llm.exact_dedup import exact_dedup
-from logsight.llm.hypermin import Banding, accidental, registers
+from logsight.llm.hypermin import Banding, accidental, band_keys, densified, registers
 from logsight.llm.near_dedup import near_dedup
 from logsight.llm.queries import QUERIES
 
@@ -220,3 +220,20 @@ def test_split_anchors_give_the_same_spans(spark, monkeypatch):
     got = sorted((str(r.doc_id), r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in found)
     assert got == suffix_brute(rows, 50)
     assert sum(r[2] for r in got) > 1000
+
+
+@pytest.mark.parametrize(("n", "shared"), [(5, 4), (20, 16), (60, 30), (390, 117)])
+def test_bands_follow_the_similarity_of_short_and_long_sets(n, shared):
+    """Empty registers that borrow agree as often as the sets do."""
+    rng, banding = np.random.default_rng(n), Banding(0.8)
+    a, b = [], []
+    for _ in range(300):
+        union, own = rng.integers(0, 1 << 52, n).astype(np.uint64), (n - shared) // 2
+        a.append(np.sort(union[: shared + own]))
+        b.append(np.sort(np.concatenate([union[:shared], union[shared + own :]])))
+    ra, rb = (registers(np.concatenate(x), np.array([len(s) for s in x]), banding.registers) for x in (a, b))
+    da, db = densified(ra), densified(rb)
+    assert (da != 0).all() and abs((da == db).mean() - shared / n) < 0.02
+    met = (band_keys(ra, banding.rows)[0] == band_keys(rb, banding.rows)[0]).mean()
+    assert abs(met - (shared / n) ** banding.rows) < 0.03
+    assert not densified(np.zeros((2, banding.registers), np.uint16)).any()
