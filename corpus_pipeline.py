@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logsight.llm.exact_dedup import exact_dedup, normalised
+from logsight.llm.exact_dedup import exact_dedup, normalised, start_hash
 from logsight.llm.labels import fold
 from logsight.llm.near_dedup import near_dedup
 from logsight.llm.packing import pack
@@ -19,6 +19,9 @@ from logsight.session import use_utc
 #: Rows without an id get one from their text, over this number and so after all others.
 NO_ID = 1 << 62
 
+#: Bytes of encoded pieces that a worker keeps while packing, beside what the stages before have left in use.
+PIECES_KEPT = 32 << 20
+
 
 def _key() -> Column:
     """The id of a row; equal texts without an id share one."""
@@ -41,12 +44,23 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that is equal without white space; of repeated rows one."""
-    key, digest = _free(docs, "key"), _free(docs, "digest")
-    rows = docs.withColumns({key: _key(), digest: F.sha2(normalised(whole_text()), 256)})
-    found = exact_dedup(docs.select(_key().alias("key"), "text"), id_col="key", digest_all=True)
-    kept = found.where("kept").select(F.col("key").alias(key), F.col("digest").alias(digest)).distinct()
-    return rows.join(kept, [key, digest], "left_semi").dropDuplicates([key, digest]).select(*docs.columns)
+    """One document of each group that is equal without white space; of repeated rows one.
+
+    Whole texts are hashed only where length and start are shared by several.
+    """
+    found = exact_dedup(docs.select(_key().alias("key"), "text"), id_col="key").where("kept")
+    kept = found.select("key", "points", "length", "start", "digest").distinct()
+    text = whole_text()
+    same = [
+        _key() == kept["key"],
+        F.char_length(text) == kept["points"],
+        F.char_length(normalised(text)) == kept["length"],
+        start_hash(normalised(text)) == kept["start"],
+        kept["digest"].isNull() | (F.sha2(normalised(text), 256) == kept["digest"]),
+    ]
+    names = [_free(docs, c) for c in kept.columns]
+    met = docs.join(kept, same).select(*[docs[c] for c in docs.columns], *[kept[c].alias(n) for c, n in zip(kept.columns, names, strict=True)])
+    return met.dropDuplicates(names).select(*docs.columns)
 
 
 def dissimilar_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,7 +83,7 @@ def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents' tokens in sequences of at most 2048."""
-    return pack(docs, tokenizer_path("word_bpe_49k.json"), capacity=2048, end_id=1)
+    return pack(docs, tokenizer_path("word_bpe_49k.json"), capacity=2048, end_id=1, kept_bytes=PIECES_KEPT)
 
 
 STAGES = [
