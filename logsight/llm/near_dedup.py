@@ -37,7 +37,8 @@ def near_dedup(
     Equal sets are one node first, so copies of any number cost nothing further. Nodes meet in bands of
     registers. Small buckets compare all their pairs. In larger ones every node is compared with the hub,
     the node that meets the most others; what is then still apart is compared in blocks with all of the
-    hub's nodes, so no link is lost. A pair at the threshold shares no band with a chance of 1e-8.
+    hub's nodes, so no link is lost. A pair at the threshold shares no band with a chance of 1e-8 where its
+    registers are independent, of about 3e-7 where short texts borrow the same ones often.
 
     Null and empty texts and texts without words have no shingles and are alone. Rows with the same id and
     text share a result. A null id is larger than any other; a group of null ids only has a null
