@@ -8,6 +8,9 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.sql import functions as F
 
+from logsight import schema as S
+from logsight.functions import values as V
+from logsight.plans import models
 from logsight.plans.boosting import Boosted, Boosting, best_prefix, boost, pinball, softmax, squared
 
 
@@ -68,6 +71,16 @@ def test_quantiles_by_boosting(frame):
     assert model.losses[-1] < 0.95 * one.agg(F.avg(loss.of_row(F.col("label"), [F.col("p")]))).first()[0]
 
 
+def test_quantile_holds_where_the_mean_has_learnt_its_rows_by_heart(log):
+    config = models.ModelConfig(max_iter=2, max_depth=8, min_leaf_rows=1, validation_fraction=0.3, quantile_iter=2)
+    rows = log.where("query_id < 2500")
+    scored = models.score(models.train_on(rows, config), rows)
+    apart = F.pmod(F.xxhash64(F.lit(config.seed), "query_id"), F.lit(1000)) < 300
+    below = V.log_target(F.col(S.TARGET)) <= F.log1p("pred_q_ms")
+    share = scored.where(apart & ~F.col("was_aborted")).agg(F.avg(below.cast("int"))).first()[0]
+    assert 0.88 <= share <= 0.92
+
+
 def test_classes_by_boosting(frame):
     edges = frame.where("not held_out").agg(F.percentile("label", [0.25, 0.5, 0.75])).first()[0]
     place = sum(((F.col("label") > e).cast("int") for e in edges), F.lit(0)).cast("double")
