@@ -81,6 +81,20 @@ def test_quantile_holds_where_the_mean_has_learnt_its_rows_by_heart(log):
     assert 0.88 <= share <= 0.92
 
 
+def test_training_rows_are_dealt_over_the_cores(spark, log, monkeypatch):
+    seen = []
+
+    def look(frame, growth):
+        seen.append([len(p) for p in frame.select("held_out").rdd.glom().collect()])
+        raise InterruptedError
+
+    monkeypatch.setattr(models, "boost_mean", look)
+    monkeypatch.setattr(models, "TASK_ROWS", 1000)
+    with pytest.raises(InterruptedError):
+        models.train_on(log.coalesce(1), models.ModelConfig())
+    assert len(seen[0]) == 8 and max(seen[0]) < 2 * min(seen[0])
+
+
 def test_classes_by_boosting(frame):
     edges = frame.where("not held_out").agg(F.percentile("label", [0.25, 0.5, 0.75])).first()[0]
     place = sum(((F.col("label") > e).cast("int") for e in edges), F.lit(0)).cast("double")
