@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -169,8 +169,9 @@ def _candidates(meetings: DataFrame) -> tuple[DataFrame, DataFrame]:
     first = small.select("keys", F.posexplode("keys").alias("at", "a"))
     pairs = first.select("a", F.explode(F.expr("slice(keys, at + 2, size(keys))")).alias("b"))
 
-    weights = meetings.groupBy("key").agg(F.sum(F.col("size") - 1).alias("weight"))
-    large = meetings.where(F.col("size") > SMALL_BUCKET).join(weights, "key")
+    # a node has no more rows than bands, however many it meets in them
+    weight = F.sum(F.col("size") - 1).over(Window.partitionBy("key"))
+    large = written(meetings.withColumn("weight", weight).where(F.col("size") > SMALL_BUCKET), "large")
     hubs = large.groupBy("band").agg(F.max(F.struct("weight", "key"))["key"].alias("hub"))
     star = large.select("band", "key").join(hubs, "band").where("key <> hub")
     met = star.select(F.least("key", "hub").alias("a"), F.greatest("key", "hub").alias("b"))

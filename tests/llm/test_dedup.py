@@ -14,7 +14,7 @@ from logsight.llm import suffix_array, suffix_dedup
 from logsight.llm.components import components
 from logsight.llm.exact_dedup import exact_dedup
 from logsight.llm.hypermin import Banding, accidental, band_keys, densified, registers
-from logsight.llm.near_dedup import near_dedup
+from logsight.llm.near_dedup import _candidates, near_dedup
 from logsight.llm.queries import QUERIES
 
 LAST = 1 << 70
@@ -41,6 +41,22 @@ def test_exact_groups(docs, rows, nothing, digest_all):
     assert exact_dedup(nothing).count() == 0
 
 
+def test_hubs_of_larger_buckets_without_a_join_by_node(spark):
+    bands = {1: range(10), 2: range(5, 15), 3: range(3), 4: [7, 20]}
+    rows = [(b, len(own), bytes([k])) for b, own in bands.items() for k in own]
+    weight = defaultdict(int)
+    for _, size, key in rows:
+        weight[key] += size - 1
+    star, pairs = _candidates(spark.createDataFrame(rows, "band long, size long, key binary"))
+    hubs = {b: max((weight[bytes([k])], bytes([k])) for k in own)[1] for b, own in bands.items() if len(own) > 8}
+    expected = {(hubs[b], bytes([k])) for b in hubs for k in bands[b] if bytes([k]) != hubs[b]}
+    assert {(bytes(r.hub), bytes(r.key)) for r in star.distinct().collect()} == expected
+    near = {tuple(sorted(p)) for p in expected} | {(bytes([a]), bytes([b])) for b_ in (3, 4) for a, b in combinations(bands[b_], 2)}
+    assert {(bytes(r.a), bytes(r.b)) for r in pairs.collect()} == near
+    # the only join is that of buckets and hubs
+    assert star._jdf.queryExecution().optimizedPlan().toString().count("Join ") == 1
+
+
 def shingles(text, n):
     w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     return frozenset(tuple(w[i : i + n]) for i in range(max(1, len(w) - n + 1))) if w else frozenset()
